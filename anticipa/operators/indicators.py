@@ -10,7 +10,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .labels import for_all, for_clients_with_facts
+from .labels import for_all, for_clients_with_facts, with_client
 
 # --- discount rates ---------------------------------------------------------------------------------------------
 
@@ -59,7 +59,7 @@ def rate_indicators_by_client(invoices: DataFrame, clients: DataFrame) -> DataFr
 
 
 def rate_indicators(invoices: DataFrame, clients: DataFrame) -> DataFrame:
-    frequencies = rate_frequencies(invoices, "cliente_id")
+    frequencies = rate_frequencies(with_client(invoices), "cliente_id")
     overall = _rate_summary(frequencies.groupBy("tasa_descuento").agg(F.sum("n").alias("n")))
     per_client = _rate_summary(frequencies, "cliente_id")
     return for_all(overall, *_rate_measures()).unionByName(
@@ -102,7 +102,7 @@ def annex_indicators_by_client(annexes: DataFrame, clients: DataFrame, as_of: da
 
 
 def annex_indicators(annexes: DataFrame, clients: DataFrame, as_of: date) -> DataFrame:
-    per_client = _annex_counts(annexes, as_of, "cliente_id")
+    per_client = _annex_counts(with_client(annexes), as_of, "cliente_id")
     overall = per_client.agg(*[F.sum(m).alias(m) for m in _ANNEX_MEASURES], F.sum("n").alias("n"))
     return for_all(overall.where(F.col("n") > 0), *_ANNEX_MEASURES).unionByName(
         for_clients_with_facts(per_client, clients, *_ANNEX_MEASURES)
@@ -134,7 +134,7 @@ def credit_days_by_client(invoices: DataFrame, clients: DataFrame) -> DataFrame:
 
 
 def credit_days(invoices: DataFrame, clients: DataFrame) -> DataFrame:
-    per_client = _credit_day_totals(invoices, "cliente_id")
+    per_client = _credit_day_totals(with_client(invoices), "cliente_id")
     overall = per_client.agg(F.sum("total").alias("total"), F.sum("n").alias("n")).where(F.col("n") > 0)
     return for_all(overall, _average_days()).unionByName(
         for_clients_with_facts(per_client, clients, _average_days())

@@ -7,6 +7,14 @@ from ..functions import ALL_KEY, ALL_LABEL, client_key
 from .inputs import unique_clients
 
 
+def with_client(facts: DataFrame) -> DataFrame:
+    """Facts that name a client, as the input contract demands.
+
+    Said here so that the portfolio and the client branch of a combined frame filter alike and share one shuffle.
+    """
+    return facts.where(F.col("cliente_id").isNotNull())
+
+
 def for_all(totals: DataFrame, *measures) -> DataFrame:
     return totals.select(F.lit(ALL_KEY).alias("id_analisis"), F.lit(ALL_LABEL).alias("cliente"), *measures)
 

@@ -47,26 +47,36 @@ def todays_rows(state: DataFrame, as_of: date) -> DataFrame:
 
 
 def plan_merge(computed: DataFrame, today: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row per affected table row: `id` (null on insert), the computed columns, and the `action`."""
+    """One row per affected table row: `id` (null on insert), the computed columns, and the `action`.
+
+    The computed frame is used once, so its job is not run twice. Each key gives its own row in slice -1, and a key
+    with copies also one row in every other slice, where the copies find what to do.
+    """
+    keys = list(keys)
     values = [c for c in computed.columns if c not in keys]
     survivors = today.groupBy(*keys).agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"))
-    decided = computed.withColumn("_computed", F.lit(True)).join(survivors, list(keys), "full")
+    slices = F.sequence(F.lit(-1), F.when(F.col("copies") > 1, _SALTS - 1).otherwise(-1))
+    per_slice = (
+        computed.withColumn("_computed", F.lit(True))
+        .join(survivors, keys, "full")
+        .select("*", F.explode(slices).alias("_slice"))
+    )
+    rows = today.select(
+        *keys, F.col("id").alias("_copy"), F.pmod(F.xxhash64("id"), F.lit(_SALTS)).cast("int").alias("_slice")
+    )
+    first = F.col("_slice") == -1
+    gone = F.col("_computed").isNull()
     action = (
-        F.when(F.col("id").isNull(), "insert").when(F.col("_computed").isNull(), "keep").otherwise("update")
+        F.when(gone, "keep")
+        .when(~first, "delete")
+        .when(F.col("id").isNull(), "insert")
+        .otherwise("update")
     )
-    per_key = decided.select("id", *keys, *values, action.alias("action"))
-
-    # Only keys with copies are spread over the slices, so this side stays small.
-    verdicts = decided.where(F.col("copies") > 1).select(
-        *keys,
-        *values,
-        F.col("id").alias("_survivor"),
-        F.when(F.col("_computed").isNull(), "keep").otherwise("delete").alias("action"),
-        F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("_salt"),
+    return (
+        per_slice.join(rows, [*keys, "_slice"], "left")
+        .where(first | (F.col("_copy") != F.col("id")))
+        .select(F.when(first, F.col("id")).otherwise(F.col("_copy")).alias("id"), *keys, *values, action.alias("action"))
     )
-    salted = today.select("id", *keys, F.pmod(F.xxhash64("id"), F.lit(_SALTS)).cast("int").alias("_salt"))
-    copies = salted.join(verdicts, [*keys, "_salt"]).where(F.col("id") != F.col("_survivor"))
-    return per_key.unionByName(copies.select("id", *keys, *values, "action"))
 
 
 def _new_id(keys: Sequence[str], as_of: date) -> Column:

@@ -28,6 +28,7 @@ def ambiguous_users(source: DataFrame) -> DataFrame:
 
 def plan_sync(source: DataFrame, target: DataFrame) -> DataFrame:
     """One row per affected row: user `id`, `target_id` (null on insert), `action` and the new values."""
+    target = target.where(F.col("id_user_sb").isNotNull() & F.col("id").isNotNull())
     survivors = target.groupBy(F.col("id_user_sb").alias("id")).agg(F.min("id").alias("target_id"))
     both = _by_id(source).join(survivors, "id", "full")
     action = (

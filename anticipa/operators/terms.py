@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import TERM_BUCKETS, term_bucket, term_predicate
 from ..schemas import MONEY_TOTAL
-from .labels import for_all, for_every_client
+from .labels import for_all, for_every_client, with_client
 
 _SLOTS = tuple((f"tramo_{i}", *bucket) for i, bucket in enumerate(TERM_BUCKETS))
 
@@ -58,7 +58,7 @@ def billed_by_term_by_client(items: DataFrame, clients: DataFrame) -> DataFrame:
 
 
 def billed_by_term(items: DataFrame, clients: DataFrame) -> DataFrame:
-    per_client = items.groupBy("cliente_id").agg(*_per_slot(_commission))
+    per_client = with_client(items).groupBy("cliente_id").agg(*_per_slot(_commission))
     return for_all(_merge(per_client), _open(*_BILLED)).unionByName(
         for_every_client(per_client, clients, _open(*_BILLED))
     )
@@ -76,7 +76,7 @@ def clients_by_term_by_client(items: DataFrame, clients: DataFrame) -> DataFrame
 
 
 def clients_by_term(items: DataFrame, clients: DataFrame) -> DataFrame:
-    per_client = items.groupBy("cliente_id").agg(*_per_slot(_present))
+    per_client = with_client(items).groupBy("cliente_id").agg(*_per_slot(_present))
     return for_all(_merge(per_client), _open(*_CLIENTS)).unionByName(
         for_every_client(per_client, clients, _open(*_CLIENTS))
     )
