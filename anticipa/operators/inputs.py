@@ -4,13 +4,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def annex_items(feed: DataFrame) -> DataFrame:
-    """One row per nested item with the annex columns the feed has; a null or empty array gives none."""
+# Item columns and their names inside the nested array.
+_ITEM_FIELDS = {"comision": "cant_comision", "dias_pago": "dias_pago", "created_at": "fecha_registro"}
+
+
+def annex_items(feed: DataFrame, *fields: str) -> DataFrame:
+    """One row per nested item with the annex columns the feed has; a null or empty array gives none.
+
+    Naming `fields` reads only those of the nested columns: the array is rebuilt from its single fields, which scans
+    can prune, while Spark never prunes what `inline` opens.
+    """
+    fields = fields or tuple(_ITEM_FIELDS)
     header = [c for c in ("anexo_id", "cliente_id") if c in feed.columns]
-    return feed.select(
-        *header,
-        F.inline("jsonb_agg").alias("comision", "dias_pago", "created_at"),
-    )
+    items = F.arrays_zip(*[F.col("jsonb_agg")[_ITEM_FIELDS[f]] for f in fields])
+    return feed.select(*header, F.inline(items).alias(*fields))
 
 
 def unique_clients(clients: DataFrame) -> DataFrame:

@@ -1,43 +1,44 @@
 """Commission totals and distinct clients per payment-term bucket.
 
-Facts are aggregated into one row per client holding all five buckets side by side. That row joins the client
-dimension on the client alone, so nothing is shuffled a second time, and only then opens into five rows.
+Facts shrink to one row per (client, bucket), combined map-side. Those few rows turn into one row per client holding
+all five buckets side by side, which meets the client dimension on the client alone and only then opens into five
+rows: zero-fill needs no join with a bucket table.
 """
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import TERM_BUCKETS, term_bucket, term_predicate
+from ..functions import TERM_BUCKETS, term_bucket
 from ..schemas import MONEY_TOTAL
 from .labels import for_all, for_every_client, with_client
 
-_SLOTS = tuple((f"tramo_{i}", *bucket) for i, bucket in enumerate(TERM_BUCKETS))
+_SLOTS = tuple((f"tramo_{i}", label) for i, (label, *_) in enumerate(TERM_BUCKETS))
 
 
-def _per_slot(make: Callable[[Column], Column]) -> list[Column]:
-    days = F.col("dias_pago")
-    return [make(term_predicate(days, first, last)).alias(slot) for slot, _, first, last in _SLOTS]
+def _bucketed(items: DataFrame) -> DataFrame:
+    return items.withColumn("dias", term_bucket(F.col("dias_pago"))).where(F.col("dias").isNotNull())
 
 
-def _commission(in_bucket: Column) -> Column:
-    return F.sum(F.when(in_bucket, F.col("comision")))
+def _commissions(items: DataFrame, *keys: str) -> DataFrame:
+    return _bucketed(items).groupBy(*keys, "dias").agg(F.sum("comision").alias("value"))
 
 
-def _present(in_bucket: Column) -> Column:
-    return F.max(F.when(in_bucket, 1).otherwise(0)).cast("long")
+def _presence(items: DataFrame) -> DataFrame:
+    return _bucketed(items).select("cliente_id", "dias").distinct().withColumn("value", F.lit(1))
 
 
-def _merge(per_client: DataFrame) -> DataFrame:
-    return per_client.agg(*[F.sum(slot).alias(slot) for slot, *_ in _SLOTS])
+def _side_by_side(buckets: DataFrame, *keys: str) -> DataFrame:
+    """One row per key, and without keys exactly one row, with the buckets as columns."""
+    return buckets.groupBy(*keys).agg(
+        *[F.sum(F.when(F.col("dias") == label, F.col("value"))).alias(slot) for slot, label in _SLOTS]
+    )
 
 
 def _open(measure: str, dtype: str) -> Column:
     """Five rows (bucket, measure) out of one wide row; an empty bucket counts 0."""
     rows = [
         F.struct(F.lit(label).alias("dias"), F.coalesce(F.col(slot), F.lit(0)).cast(dtype).alias(measure))
-        for slot, label, *_ in _SLOTS
+        for slot, label in _SLOTS
     ]
     return F.inline(F.array(*rows))
 
@@ -48,37 +49,37 @@ _CLIENTS = ("no_clientes", "bigint")
 
 def billed_by_term_all(items: DataFrame) -> DataFrame:
     """Five rows always. The amount summed is the commission, under the name the dashboard knows."""
-    return for_all(items.agg(*_per_slot(_commission)), _open(*_BILLED))
+    return for_all(_side_by_side(_commissions(items)), _open(*_BILLED))
 
 
 def billed_by_term_by_client(items: DataFrame, clients: DataFrame) -> DataFrame:
     """Five rows for every client, with or without items; items of unknown clients do not count."""
-    per_client = items.groupBy("cliente_id").agg(*_per_slot(_commission))
+    per_client = _side_by_side(_commissions(items, "cliente_id"), "cliente_id")
     return for_every_client(per_client, clients, _open(*_BILLED))
 
 
 def billed_by_term(items: DataFrame, clients: DataFrame) -> DataFrame:
-    per_client = with_client(items).groupBy("cliente_id").agg(*_per_slot(_commission))
-    return for_all(_merge(per_client), _open(*_BILLED)).unionByName(
-        for_every_client(per_client, clients, _open(*_BILLED))
+    buckets = _commissions(with_client(items), "cliente_id")
+    return for_all(_side_by_side(buckets), _open(*_BILLED)).unionByName(
+        for_every_client(_side_by_side(buckets, "cliente_id"), clients, _open(*_BILLED))
     )
 
 
 def clients_by_term_all(items: DataFrame) -> DataFrame:
     """Five rows always: exact distinct clients, known or not, with an item in the bucket."""
-    return for_all(_merge(items.groupBy("cliente_id").agg(*_per_slot(_present))), _open(*_CLIENTS))
+    return for_all(_side_by_side(_presence(with_client(items))), _open(*_CLIENTS))
 
 
 def clients_by_term_by_client(items: DataFrame, clients: DataFrame) -> DataFrame:
     """Five rows for every client, each 0 or 1."""
-    per_client = items.groupBy("cliente_id").agg(*_per_slot(_present))
+    per_client = _side_by_side(_presence(items), "cliente_id")
     return for_every_client(per_client, clients, _open(*_CLIENTS))
 
 
 def clients_by_term(items: DataFrame, clients: DataFrame) -> DataFrame:
-    per_client = with_client(items).groupBy("cliente_id").agg(*_per_slot(_present))
-    return for_all(_merge(per_client), _open(*_CLIENTS)).unionByName(
-        for_every_client(per_client, clients, _open(*_CLIENTS))
+    buckets = _presence(with_client(items))
+    return for_all(_side_by_side(buckets), _open(*_CLIENTS)).unionByName(
+        for_every_client(_side_by_side(buckets, "cliente_id"), clients, _open(*_CLIENTS))
     )
 
 

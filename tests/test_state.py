@@ -2,6 +2,7 @@
 
 from datetime import date, datetime
 from decimal import Decimal
+from uuid import uuid4
 
 import pytest
 from pyspark.sql import functions as F
@@ -166,7 +167,7 @@ def test_sync_into_an_empty_target(spark):
 
 
 def test_refresh_on_arrival(spark, tmp_path, inputs):
-    arrivals, out = str(tmp_path / "arrivals"), str(tmp_path / "out")
+    arrivals, out, name = str(tmp_path / "arrivals"), str(tmp_path / "out"), f"annexes-{uuid4()}"
     done = []
 
     def run():
@@ -174,7 +175,7 @@ def test_refresh_on_arrival(spark, tmp_path, inputs):
 
     def trigger():
         stream = spark.readStream.schema("anexo_id long").parquet(arrivals)
-        refresh_on_arrival(stream, run, f"annexes-{tmp_path.name}", once=True).awaitTermination()
+        refresh_on_arrival(stream, run, name, once=True).awaitTermination()
 
     spark.range(3).toDF("anexo_id").write.parquet(arrivals)
     trigger()
