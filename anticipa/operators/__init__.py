@@ -16,7 +16,7 @@ from .inputs import annex_items, unique_clients
 from .pareto import client_commission
 from .quality import enforce_contract, preview, reject_counts, split_contract
 from .snapshot import Dashboard, apply_merge, merged_day, plan_merge, todays_rows
-from .sync import ambiguous_users, apply_sync, plan_sync, synced, target_ids
+from .sync import apply_sync, plan_sync, rejected_users, synced, target_ids
 from .terms import (
     billed_by_term,
     billed_by_term_all,
@@ -29,7 +29,6 @@ from .terms import (
 
 __all__ = [
     "Dashboard",
-    "ambiguous_users",
     "apply_merge",
     "apply_sync",
     "annex_indicators",
@@ -56,6 +55,7 @@ __all__ = [
     "rate_indicators_all",
     "rate_indicators_by_client",
     "reject_counts",
+    "rejected_users",
     "split_contract",
     "synced",
     "target_ids",

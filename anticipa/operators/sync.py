@@ -2,10 +2,10 @@
 
 * id in both: update the target row with the smallest row id, delete its copies;
 * id only in the source: insert; id only in the target: delete all its rows;
-* id more than once in the source: ambiguous, so its rows are rejects and the surviving target row is kept as it is.
+* id more than once in the source, or without the required email: a reject, so the surviving target row is kept as it is.
 """
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _VALUES = ("email", "status", "license_plates")
@@ -21,9 +21,14 @@ def _by_id(source: DataFrame) -> DataFrame:
     return source.groupBy("id").agg(*[F.min(v).alias(v) for v in _VALUES], F.count(F.lit(1)).alias("rows"))
 
 
-def ambiguous_users(source: DataFrame) -> DataFrame:
-    """Source ids that occur more than once, with their number of rows."""
-    return source.groupBy("id").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > 1)
+def _fault() -> Column:
+    return F.when(F.col("rows") > 1, "repeated id").when(F.col("email").isNull(), "missing email")
+
+
+def rejected_users(source: DataFrame) -> DataFrame:
+    """Source ids the sync leaves alone, with their number of rows and the reason."""
+    by_id = source.groupBy("id").agg(F.min("email").alias("email"), F.count(F.lit(1)).alias("rows"))
+    return by_id.select("id", "rows", _fault().alias("reason")).where(F.col("reason").isNotNull())
 
 
 def plan_sync(source: DataFrame, target: DataFrame) -> DataFrame:
@@ -32,15 +37,17 @@ def plan_sync(source: DataFrame, target: DataFrame) -> DataFrame:
     survivors = target.groupBy(F.col("id_user_sb").alias("id")).agg(F.min("id").alias("target_id"))
     both = _by_id(source).join(survivors, "id", "full")
     action = (
-        F.when(F.col("rows") > 1, "keep")
-        .when(F.col("rows").isNull(), "delete")
+        F.when(F.col("rows").isNull(), "delete")
+        .when(_fault().isNotNull(), F.when(F.col("target_id").isNotNull(), "keep"))
         .when(F.col("target_id").isNull(), "insert")
         .otherwise("update")
     )
-    per_id = both.select("id", "target_id", action.alias("action"), *_VALUES, "rows")
-    decided = per_id.where((F.col("rows").isNull()) | (F.col("rows") == 1) | F.col("target_id").isNotNull())
     new = F.col("action").isin("insert", "update")
-    decided = decided.select("id", "target_id", "action", *[F.when(new, F.col(v)).alias(v) for v in _VALUES])
+    decided = (
+        both.withColumn("action", action)
+        .where(F.col("action").isNotNull())
+        .select("id", "target_id", "action", *[F.when(new, F.col(v)).alias(v) for v in _VALUES])
+    )
 
     # Copies are told apart by (id, row id), which is unique: a much copied id is no hot key.
     rows = target.select(F.col("id_user_sb").alias("id"), F.col("id").alias("target_id"))

@@ -38,7 +38,7 @@ def _commission(rate: str) -> Column:
 
 
 def _rate() -> Column:
-    return F.round(F.col("l_discount") * 100).cast("int")
+    return F.rint(F.col("l_discount") * 100).cast("int")
 
 
 def _days() -> Column:
@@ -116,7 +116,7 @@ def _items() -> Column:
     returned = F.col("l_returnflag") == "R"
     return (
         F.when(returned & (F.col("l_linestatus") == "F"), F.lit(None))
-        .when(returned, F.slice(F.array(first), 1, 0))
+        .when(returned, F.array())
         .when(F.col("l_returnflag") == "A", F.array(first, second))
         .otherwise(F.array(first))
     )

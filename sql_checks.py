@@ -163,7 +163,7 @@ WHERE l_returnflag <> 'R' AND l_tax > 0""",
   CASE WHEN action = 'keep' THEN status_antes ELSE status END AS status,
   CASE WHEN action = 'keep' THEN plates_antes ELSE license_plates END AS license_plates
 FROM cruce WHERE action <> 'delete'""",
-    "users_ambiguous": "SELECT id, veces AS rows FROM origen WHERE veces > 1",
+    "users_rejected": "SELECT id, veces AS rows, 'repeated id' AS reason FROM origen WHERE veces > 1",
     "users_target_ids": "SELECT id_user_sb FROM usuario_destino",
     "dashboard_today": "SELECT id, id_analisis, dias_promedio FROM dias_hoy",
     "snapshot_merge_plan": "SELECT id, id_analisis, cliente, dias_promedio, action FROM dias_cruce",

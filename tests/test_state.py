@@ -150,7 +150,7 @@ def test_sync(spark, tmp_path):
         ],
         key=repr,
     )
-    assert rows(op.ambiguous_users(source)) == [("lost", 2), ("twice", 2)]
+    assert rows(op.rejected_users(source)) == [("lost", 2, "repeated id"), ("twice", 2, "repeated id")]
     path = str(tmp_path / "users")
     op.apply_sync(source, target, path)
     got = spark.read.parquet(path)
