@@ -7,8 +7,8 @@ For one day and a natural key (analysis id, and the bucket or rate where the tab
 * key only computed: inserted;
 * key only present: all its rows are kept.
 
-Copies of one key may be many, so no window and no join ever brings them together unsalted: the surviving id is a
-map-side combined minimum, and the copies meet their key's decision spread over `_SALTS` slices.
+Copies of one key may be many, so they are never brought together whole: the surviving id is a map-side combined
+minimum, and the copies meet their key's verdict in slices of about `_COPIES_PER_SLICE` rows.
 """
 
 from collections.abc import Sequence
@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ..functions import day_window
 
-_SALTS = 64
+_COPIES_PER_SLICE = 100_000
 
 
 @dataclass(frozen=True)
@@ -46,36 +46,43 @@ def todays_rows(state: DataFrame, as_of: date) -> DataFrame:
     return state.where(day_window(F.col("created_at"), as_of))
 
 
-def plan_merge(computed: DataFrame, today: DataFrame, keys: Sequence[str]) -> DataFrame:
+def plan_merge(
+    computed: DataFrame, today: DataFrame, keys: Sequence[str], copies_per_slice: int = _COPIES_PER_SLICE
+) -> DataFrame:
     """One row per affected table row: `id` (null on insert), the computed columns, and the `action`.
 
     The computed frame is used once, so its job is not run twice. Each key gives its own row in slice -1, and a key
-    with copies also one row in every other slice, where the copies find what to do.
+    with copies also one row in each of its slices, where the copies find what to do.
     """
     keys = list(keys)
     values = [c for c in computed.columns if c not in keys]
-    survivors = today.groupBy(*keys).agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"))
-    slices = F.sequence(F.lit(-1), F.when(F.col("copies") > 1, _SALTS - 1).otherwise(-1))
+    for key in keys:
+        today = today.where(F.col(key).isNotNull())
+    survivors = today.groupBy(*keys).agg(
+        F.min("id").alias("id"), F.ceil(F.count(F.lit(1)) / copies_per_slice).alias("slices"), F.max("id").alias("_last")
+    )
+    own_row = F.lit(-1).cast("long")
+    last_slice = F.when(F.col("_last") > F.col("id"), F.col("slices") - 1).otherwise(own_row)
     per_slice = (
         computed.withColumn("_computed", F.lit(True))
         .join(survivors, keys, "full")
-        .select("*", F.explode(slices).alias("_slice"))
-    )
-    rows = today.select(
-        *keys, F.col("id").alias("_copy"), F.pmod(F.xxhash64("id"), F.lit(_SALTS)).cast("int").alias("_slice")
+        .select("*", F.explode(F.sequence(own_row, last_slice)).alias("_slice"))
+        .drop("slices", "_last")
     )
-    first = F.col("_slice") == -1
+
+    # A key with more than one slice has more than `copies_per_slice` rows, which bounds their number, and so the
+    # broadcast, by the day's rows over that constant.
+    hot = F.broadcast(survivors.where(F.col("slices") > 1).select(*keys, "slices"))
+    slice_of = F.coalesce(F.pmod(F.xxhash64("id"), F.col("slices")), F.lit(0).cast("long"))
+    rows = today.join(hot, keys, "left").select(*keys, F.col("id").alias("_copy"), slice_of.alias("_slice"))
+
+    own = F.col("_slice") == own_row
     gone = F.col("_computed").isNull()
-    action = (
-        F.when(gone, "keep")
-        .when(~first, "delete")
-        .when(F.col("id").isNull(), "insert")
-        .otherwise("update")
-    )
+    action = F.when(gone, "keep").when(~own, "delete").when(F.col("id").isNull(), "insert").otherwise("update")
     return (
         per_slice.join(rows, [*keys, "_slice"], "left")
-        .where(first | (F.col("_copy") != F.col("id")))
-        .select(F.when(first, F.col("id")).otherwise(F.col("_copy")).alias("id"), *keys, *values, action.alias("action"))
+        .where(own | (F.col("_copy") != F.col("id")))
+        .select(F.when(own, F.col("id")).otherwise(F.col("_copy")).alias("id"), *keys, *values, action.alias("action"))
     )
 
 
