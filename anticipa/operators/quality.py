@@ -12,7 +12,7 @@ def _reason(df: DataFrame, required: Sequence[str]) -> Column:
     """Why a row breaks the contract, or null. Unreadable text is named before missing fields."""
     checks = [F.when(F.col(CORRUPT).isNotNull(), "unreadable")] if CORRUPT in df.columns else []
     checks += [F.when(F.col(name).isNull(), f"missing {name}") for name in required]
-    return F.coalesce(*checks)
+    return F.coalesce(*checks, F.lit(None).cast("string"))
 
 
 def _accepted(df: DataFrame, required: Sequence[str]) -> Column:

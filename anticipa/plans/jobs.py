@@ -158,25 +158,31 @@ JOBS = {
 }
 
 
-def _input(inputs: Inputs, table: str) -> DataFrame:
-    return op.annex_items(inputs["annex_feed"]) if table == "annex_items" else inputs[table]
+def _accept(rows: DataFrame, required: tuple[str, ...], strict: bool) -> DataFrame:
+    return op.enforce_contract(rows, required) if strict else op.split_contract(rows, required)[0]
+
+
+def _table(inputs: Inputs, table: str, strict: bool) -> DataFrame:
+    if table != "annex_items":
+        return inputs[table]
+    # An unreadable annex must go before it is opened: with its items lost it would leave no trace.
+    return op.annex_items(_accept(inputs["annex_feed"], (), strict))
 
 
 def compute(name: str, inputs: Inputs, as_of: date, strict: bool = False) -> DataFrame:
     """The job's result over the rows that keep the contract; with `strict`, a bad row fails the job."""
     job = JOBS[name]
-    tables = []
-    for table, required in job.reads.items():
-        rows = _input(inputs, table)
-        tables.append(op.enforce_contract(rows, required) if strict else op.split_contract(rows, required)[0])
+    tables = [_accept(_table(inputs, table, strict), required, strict) for table, required in job.reads.items()]
     return job.compute(*tables, as_of)
 
 
 def rejects(name: str, inputs: Inputs) -> dict[str, DataFrame]:
     """Rows of each input that the job leaves out, with the reason."""
-    return {
-        table: op.split_contract(_input(inputs, table), required)[1] for table, required in JOBS[name].reads.items()
-    }
+    reads = JOBS[name].reads
+    left_out = {t: op.split_contract(_table(inputs, t, False), required)[1] for t, required in reads.items()}
+    if "annex_items" in reads:
+        left_out["annex_feed"] = op.split_contract(inputs["annex_feed"], ())[1]
+    return left_out
 
 
 def refresh(

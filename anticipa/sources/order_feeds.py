@@ -94,7 +94,7 @@ def annexes(spark: SparkSession, folder: str) -> DataFrame:
     status = F.coalesce(
         *[F.when(F.col("o_orderpriority") == name, code) for name, code in _STATUS_BY_PRIORITY], F.lit(1)
     )
-    written = F.date_format("o_orderdate", "yyyy-MM-dd'T'23:30:00-08:00")
+    written = F.concat(F.col("o_orderdate").cast("date").cast("string"), F.lit("T23:30:00-08:00"))
     return (
         _table(spark, folder, "orders")
         .select(
@@ -128,10 +128,9 @@ def annex_pages(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def annex_feed(spark: SparkSession, folder: str) -> DataFrame:
-    pages = _table(spark, folder, "lineitem").select("l_orderkey", _items().alias("jsonb_agg"))
-    return pages.join(_holders(spark, folder), "l_orderkey").select(
-        F.col("l_orderkey").alias("anexo_id"), "cliente_id", "jsonb_agg"
-    )
+    # The nested arrays are built after the join, so that only their plain ingredients are shuffled.
+    lines = _table(spark, folder, "lineitem").join(_holders(spark, folder), "l_orderkey")
+    return lines.select(F.col("l_orderkey").alias("anexo_id"), "cliente_id", _items().alias("jsonb_agg"))
 
 
 def loose_invoices(spark: SparkSession, folder: str) -> DataFrame:

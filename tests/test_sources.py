@@ -73,6 +73,26 @@ def test_nested_feed(spark, tmp_path):
     assert [r.reason for r in plans.rejects("billed_by_term_all", inputs)["annex_items"].collect()] == ["missing dias_pago"]
 
 
+def test_unreadable_annexes_are_rejects(spark, tmp_path):
+    item = {"cant_comision": 1, "dias_pago": 5, "fecha_registro": "2024-01-01"}
+    annex = {"anexo_id": 1, "cliente_id": 5, "jsonb_agg": [item]}
+    feed = write_lines(
+        tmp_path / "feed",
+        annex,
+        {**annex, "anexo_id": 2, "jsonb_agg": [item, {**item, "dias_pago": "soon"}]},
+        {**annex, "anexo_id": 3, "jsonb_agg": {"not": "a list"}},
+        '{"anexo_id": 4, "jsonb_agg": [',
+    )
+    inputs = {"annex_feed": sources.annex_feed(spark, feed)}
+    got = plans.compute("billed_by_term_all", inputs, None).collect()
+    assert {r.dias: r.total_facturado for r in got}["0-30"] == 1
+    left_out = plans.rejects("billed_by_term_all", inputs)
+    assert [r.reason for r in left_out["annex_feed"].collect()] == ["unreadable"] * 3
+    assert left_out["annex_items"].count() == 0
+    with pytest.raises(PySparkException, match="input contract broken"):
+        plans.compute("billed_by_term_all", inputs, None, strict=True).collect()
+
+
 def test_annex_dates(spark, tmp_path):
     base = {"anexo_id": 1, "cliente_id": 1, "estatus": "s", "estatus_id": 4}
     table = write_lines(
