@@ -13,7 +13,7 @@ from pyspark.sql import SparkSession
 
 from . import operators as op
 from . import sources
-from .plans import JOBS, refresh
+from .plans import JOBS, refresh, refresh_all
 from .sources import Table
 
 # Which reader serves each input a job names; flat items come out of the nested feed.
@@ -30,7 +30,7 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     parser.add_argument("--tables", required=True, help="JSON file that says where the tables lie")
     commands = parser.add_subparsers(dest="command", required=True)
     run = commands.add_parser("refresh", help="run jobs and merge their results into the day's snapshot")
-    run.add_argument("jobs", nargs="+", choices=sorted(JOBS), metavar="job")
+    run.add_argument("jobs", nargs="+", choices=["all", *sorted(JOBS)], metavar="job", help="job names, or all")
     run.add_argument("--dashboards", required=True, help="folder of the dashboard tables")
     run.add_argument("--as-of", type=date.fromisoformat, default=None, help="day of the snapshot, today (UTC) if left out")
     run.add_argument("--strict", action="store_true", help="fail on the first row that breaks the input contract")
@@ -50,6 +50,8 @@ def main(argv: Sequence[str] | None = None) -> dict[str, dict[str, int]]:
         return {}
     as_of = args.as_of or datetime.now(timezone.utc).date()
     inputs = {name: reader(spark, tables[name]) for name, reader in _READERS.items() if name in tables}
+    if "all" in args.jobs:
+        return refresh_all(spark, inputs, args.dashboards, as_of, args.strict)
     return {job: refresh(spark, job, inputs, args.dashboards, as_of, args.strict) for job in args.jobs}
 
 

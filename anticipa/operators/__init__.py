@@ -1,5 +1,6 @@
 """Relational operators over the typed inputs. All are lazy; none starts a Spark job."""
 
+from .groups import credit_days_of_groups, invoice_groups, pareto_of_groups, rates_of_groups
 from .indicators import (
     annex_indicators,
     annex_indicators_all,
@@ -18,35 +19,43 @@ from .quality import enforce_contract, preview, reject_counts, split_contract
 from .snapshot import Dashboard, apply_merge, merged_day, plan_merge, todays_rows
 from .sync import apply_sync, plan_sync, rejected_users, synced, target_ids
 from .terms import (
+    billed_of_buckets,
     billed_by_term,
     billed_by_term_all,
     billed_by_term_by_client,
     clients_by_term,
     clients_by_term_all,
     clients_by_term_by_client,
+    clients_of_buckets,
+    term_buckets,
     unbucketed,
 )
 
 __all__ = [
     "Dashboard",
-    "apply_merge",
-    "apply_sync",
     "annex_indicators",
     "annex_indicators_all",
     "annex_indicators_by_client",
     "annex_items",
+    "apply_merge",
+    "apply_sync",
     "billed_by_term",
     "billed_by_term_all",
     "billed_by_term_by_client",
+    "billed_of_buckets",
     "client_commission",
     "clients_by_term",
     "clients_by_term_all",
     "clients_by_term_by_client",
+    "clients_of_buckets",
     "credit_days",
     "credit_days_all",
     "credit_days_by_client",
+    "credit_days_of_groups",
     "enforce_contract",
+    "invoice_groups",
     "merged_day",
+    "pareto_of_groups",
     "plan_merge",
     "plan_sync",
     "preview",
@@ -54,11 +63,13 @@ __all__ = [
     "rate_indicators",
     "rate_indicators_all",
     "rate_indicators_by_client",
+    "rates_of_groups",
     "reject_counts",
     "rejected_users",
     "split_contract",
     "synced",
     "target_ids",
+    "term_buckets",
     "todays_rows",
     "unbucketed",
     "unique_clients",

@@ -59,7 +59,11 @@ def rate_indicators_by_client(invoices: DataFrame, clients: DataFrame) -> DataFr
 
 
 def rate_indicators(invoices: DataFrame, clients: DataFrame) -> DataFrame:
-    frequencies = rate_frequencies(with_client(invoices), "cliente_id")
+    return rates_of_frequencies(rate_frequencies(with_client(invoices), "cliente_id"), clients)
+
+
+def rates_of_frequencies(frequencies: DataFrame, clients: DataFrame) -> DataFrame:
+    """Portfolio and client rows from invoices counted by (client, rate)."""
     overall = _rate_summary(frequencies.groupBy("tasa_descuento").agg(F.sum("n").alias("n")))
     per_client = _rate_summary(frequencies, "cliente_id")
     return for_all(overall, *_rate_measures()).unionByName(
@@ -134,7 +138,11 @@ def credit_days_by_client(invoices: DataFrame, clients: DataFrame) -> DataFrame:
 
 
 def credit_days(invoices: DataFrame, clients: DataFrame) -> DataFrame:
-    per_client = _credit_day_totals(with_client(invoices), "cliente_id")
+    return credit_days_of_totals(_credit_day_totals(with_client(invoices), "cliente_id"), clients)
+
+
+def credit_days_of_totals(per_client: DataFrame, clients: DataFrame) -> DataFrame:
+    """Portfolio and client rows from the days' `total` and number `n` per client."""
     overall = per_client.agg(F.sum("total").alias("total"), F.sum("n").alias("n")).where(F.col("n") > 0)
     return for_all(overall, _average_days()).unionByName(
         for_clients_with_facts(per_client, clients, _average_days())

@@ -16,6 +16,11 @@ def client_commission(invoices: DataFrame, clients: DataFrame) -> DataFrame:
     groups = invoices.groupBy("cliente_id", "nombre_fiscal", "tasa_descuento").agg(
         F.sum("cant_comision").alias("importe")
     )
+    return commission_of_groups(groups, clients)
+
+
+def commission_of_groups(groups: DataFrame, clients: DataFrame) -> DataFrame:
+    """The groups of known clients as dashboard rows."""
     return groups.join(clients.select("cliente_id"), "cliente_id", "left_semi").select(
         client_key().alias("id_analisis"),
         F.col("nombre_fiscal").alias("cliente"),

@@ -27,6 +27,11 @@ def _presence(items: DataFrame) -> DataFrame:
     return _bucketed(items).select("cliente_id", "dias").distinct().withColumn("value", F.lit(1))
 
 
+def term_buckets(items: DataFrame) -> DataFrame:
+    """Commission per (client, bucket): both charts follow from it."""
+    return _commissions(with_client(items), "cliente_id")
+
+
 def _side_by_side(buckets: DataFrame, *keys: str) -> DataFrame:
     """One row per key, and without keys exactly one row, with the buckets as columns."""
     return buckets.groupBy(*keys).agg(
@@ -59,7 +64,11 @@ def billed_by_term_by_client(items: DataFrame, clients: DataFrame) -> DataFrame:
 
 
 def billed_by_term(items: DataFrame, clients: DataFrame) -> DataFrame:
-    buckets = _commissions(with_client(items), "cliente_id")
+    return billed_of_buckets(term_buckets(items), clients)
+
+
+def billed_of_buckets(buckets: DataFrame, clients: DataFrame) -> DataFrame:
+    """Portfolio and client rows from the commissions per (client, bucket)."""
     return for_all(_side_by_side(buckets), _open(*_BILLED)).unionByName(
         for_every_client(_side_by_side(buckets, "cliente_id"), clients, _open(*_BILLED))
     )
@@ -77,7 +86,12 @@ def clients_by_term_by_client(items: DataFrame, clients: DataFrame) -> DataFrame
 
 
 def clients_by_term(items: DataFrame, clients: DataFrame) -> DataFrame:
-    buckets = _presence(with_client(items))
+    return clients_of_buckets(_presence(with_client(items)), clients)
+
+
+def clients_of_buckets(buckets: DataFrame, clients: DataFrame) -> DataFrame:
+    """Portfolio and client rows from one row per (client, bucket)."""
+    buckets = buckets.withColumn("value", F.lit(1))
     return for_all(_side_by_side(buckets), _open(*_CLIENTS)).unionByName(
         for_every_client(_side_by_side(buckets, "cliente_id"), clients, _open(*_CLIENTS))
     )

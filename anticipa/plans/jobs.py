@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .. import operators as op
 from ..operators import Dashboard
 from ..schemas import REQUIRED
+from ..session import written
 
 Inputs = Mapping[str, DataFrame]
 
@@ -193,3 +194,33 @@ def refresh(
     return op.apply_merge(
         spark, compute(name, inputs, as_of, strict), dashboard, f"{folder}/{dashboard.name}", as_of
     )
+
+
+def refresh_all(
+    spark: SparkSession, inputs: Inputs, folder: str, as_of: date, strict: bool = False
+) -> dict[str, dict[str, int]]:
+    """Refresh every dashboard, portfolio and client rows, reading each input's facts once.
+
+    The aggregates that several dashboards follow from are written to the shared folder, so that a lost executor
+    costs at most its part of one of them.
+    """
+    required = REQUIRED["invoices"] if strict else ("factura_id", "cliente_id")
+    invoices = _accept(inputs["invoices"], required, strict)
+    items = _accept(_table(inputs, "annex_items", strict), _ITEMS, strict)
+    annexes = _accept(inputs["annexes"], _ANNEXES, strict)
+    clients = _accept(inputs["clients"], _CLIENTS, strict)
+    known = _accept(inputs["clients"], _CLIENT_IDS, strict)
+    groups = written(op.invoice_groups(invoices), "invoice-groups")
+    buckets = written(op.term_buckets(items), "term-buckets")
+    computed = {
+        "indicadores_tasas_dashboard": op.rates_of_groups(groups, clients),
+        "indicadores_anexos_dashboard": op.annex_indicators(annexes, clients, as_of),
+        "indicadores_dias_credito_dashboard": op.credit_days_of_groups(groups, clients),
+        "grafica_total_facturado_x_condicion_pago": op.billed_of_buckets(buckets, clients),
+        "grafica_clientes_x_condicion_pago": op.clients_of_buckets(buckets, clients),
+        "parreto_clientes_comision": op.pareto_of_groups(groups, known),
+    }
+    return {
+        name: op.apply_merge(spark, rows, DASHBOARDS[name], f"{folder}/{name}", as_of)
+        for name, rows in computed.items()
+    }

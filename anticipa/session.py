@@ -1,8 +1,9 @@
 """Session settings and the shared working folder."""
 
 import tempfile
+from uuid import uuid4
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", app: str = "anticipa", **conf: str) -> SparkSession:
@@ -33,3 +34,10 @@ def shared_folder(spark: SparkSession) -> str:
     folder = tempfile.mkdtemp(prefix="anticipa-")
     spark.sparkContext.setCheckpointDir(folder)
     return folder
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """`df` as a table in the shared folder: computed once, and read back instead of recomputed."""
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid4()}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

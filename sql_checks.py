@@ -149,6 +149,11 @@ FROM factura f WHERE EXISTS (SELECT 1 FROM cliente c WHERE c.cliente_id = f.clie
 GROUP BY f.cliente_id, f.nombre_fiscal, f.tasa_descuento""",
     "rate_frequencies_by_client": """SELECT cliente_id, tasa_descuento, COUNT(*) AS n FROM factura
 GROUP BY cliente_id, tasa_descuento""",
+    "invoice_groups": """SELECT cliente_id, nombre_fiscal, tasa_descuento, COUNT(*) AS n, CAST(SUM(dias_pago) AS BIGINT) AS dias,
+  COUNT(dias_pago) AS n_dias, CAST(SUM(cant_comision) AS DECIMAL(28,4)) AS importe
+FROM factura GROUP BY cliente_id, nombre_fiscal, tasa_descuento""",
+    "term_buckets": """SELECT cliente_id, dias, CAST(SUM(cant_comision) AS DECIMAL(28,4)) AS value
+FROM item_cliente WHERE dias IS NOT NULL GROUP BY cliente_id, dias""",
     "annex_items_flatten": "SELECT anexo_id, cliente_id, cant_comision AS comision, dias_pago FROM item_cliente",
     "contract_unbucketed": "SELECT COUNT(*) AS n_unbucketed FROM item WHERE dias IS NULL",
     "contract_rejects": """SELECT CASE WHEN l_returnflag = 'R' THEN 'missing tasa_descuento' ELSE 'missing dias_pago' END AS reason,
@@ -192,10 +197,21 @@ _BOTH = {
 }
 
 
+# The same figures by way of the shared aggregates.
+_SAME = {
+    "rate_indicators_of_groups": "rate_indicators",
+    "credit_days_of_groups": "credit_days",
+    "billed_by_term_of_buckets": "billed_by_term",
+    "clients_by_term_of_buckets": "clients_by_term",
+}
+
+
 def all_checks() -> dict[str, str]:
     both = {
         name: f"SELECT * FROM ({whole}) w UNION ALL SELECT * FROM ({_QUERIES[part]}) p"
         for name, (whole, part) in _BOTH.items()
     }
+    both |= {name: both[other] for name, other in _SAME.items()}
+    both["pareto_of_groups"] = _QUERIES["pareto_client_commission"]
     return {name: f"{_FEEDS.strip()}\n{sql}" for name, sql in {**_QUERIES, **both}.items()}
 

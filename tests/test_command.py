@@ -43,6 +43,15 @@ def test_refresh(spark, tmp_path):
     # The invoice without a term lacks a field the other jobs use, not this one.
     assert table("parreto_clientes_comision", "cliente", "tasa_cliente", "importe", "snapshot_date") == [("x", 3, Decimal("5.2500"), date(2024, 3, 5))]
 
+    whole = main(["--tables", where, "refresh", "all", "--dashboards", out, "--as-of", "2024-03-05"])
+    assert {name: d["update"] for name, d in whole.items()} == {
+        "indicadores_tasas_dashboard": 2,
+        "indicadores_anexos_dashboard": 2,
+        "indicadores_dias_credito_dashboard": 2,
+        "grafica_total_facturado_x_condicion_pago": 15,
+        "grafica_clientes_x_condicion_pago": 15,
+        "parreto_clientes_comision": 1,
+    }
     again = main(["--tables", where, "refresh", "credit_days", "--dashboards", out, "--as-of", "2024-03-05"])
     assert again == {"credit_days": {"insert": 0, "update": 2, "delete": 0, "keep": 0}}
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from anticipa import operators as op
 from anticipa import schemas
-from anticipa.plans import DASHBOARDS, JOBS, compute, refresh
+from anticipa.plans import DASHBOARDS, JOBS, compute, refresh, refresh_all
 from anticipa.sources import order_feeds as feeds
 from anticipa.streaming import refresh_on_arrival
 from helpers import rows
@@ -123,6 +123,32 @@ def test_portfolio_and_client_refreshes_share_a_table(spark, tmp_path, inputs):
     assert done["keep"] == done["insert"] == done["delete"] == 0 and done["update"] > 1
 
 
+COMBINED = [n for n in JOBS if not n.endswith(("_all", "_by_client"))]
+
+
+def test_refresh_all_equals_the_single_refreshes(spark, tmp_path, inputs):
+    """Also where fields are missing, which leaves an invoice out of some figures only."""
+    whole = inputs["invoices"]
+    gaps = {
+        "tasa_descuento": F.col("tasa_descuento") != 4,
+        "dias_pago": F.col("dias_pago") < 70,
+        "cant_comision": F.col("cant_comision") > 500,
+        "nombre_fiscal": ~F.col("nombre_fiscal").endswith("8"),
+        "cliente_id": F.col("factura_id") != 1,
+    }
+    holes = whole.select(*[F.when(gaps[c], F.col(c)).alias(c) if c in gaps else c for c in whole.columns])
+    for name, invoices in (("whole", whole), ("holes", holes)):
+        tables = {**inputs, "invoices": invoices}
+        single, together = f"{tmp_path}/{name}/single", f"{tmp_path}/{name}/together"
+        done = {JOBS[j].dashboard: refresh(spark, j, tables, single, feeds.AS_OF) for j in COMBINED}
+        assert refresh_all(spark, tables, together, feeds.AS_OF) == done and set(done) == set(DASHBOARDS)
+        for dashboard in DASHBOARDS:
+            columns = spark.read.parquet(f"{single}/{dashboard}").columns
+            assert rows(spark.read.parquet(f"{together}/{dashboard}").select(columns)) == rows(
+                spark.read.parquet(f"{single}/{dashboard}").select(columns)
+            )
+
+
 USERS = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schemas.USERS)
 TARGET = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schemas.USERS_TARGET)
 
