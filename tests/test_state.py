@@ -123,6 +123,17 @@ def test_portfolio_and_client_refreshes_share_a_table(spark, tmp_path, inputs):
     assert done["keep"] == done["insert"] == done["delete"] == 0 and done["update"] > 1
 
 
+def test_number_of_spark_jobs_does_not_grow_with_clients(spark, tmp_path):
+    counts = []
+    for scale in ("sf0.001", "sf0.01"):
+        tables = {t: getattr(feeds, t)(spark, f"/root/testdata/{scale}") for t in ("invoices", "clients")}
+        group = f"refresh-{scale}-{uuid4()}"
+        spark.sparkContext.setJobGroup(group, group)
+        refresh(spark, "rate_indicators_by_client", tables, f"{tmp_path}/{scale}", feeds.AS_OF)
+        counts.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)))
+    assert counts[0] == counts[1] > 0
+
+
 COMBINED = [n for n in JOBS if not n.endswith(("_all", "_by_client"))]
 
 
