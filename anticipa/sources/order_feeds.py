@@ -10,6 +10,7 @@ Every source table is read whole; the edge cases come from the values:
 """
 
 from datetime import date
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,13 +33,18 @@ def _client_of_order() -> Column:
     return F.when(prospect, -1 - F.col("o_custkey")).otherwise(F.col("o_custkey") * 2)
 
 
+def _hundredths(name: str) -> Column:
+    return F.rint(F.col(name) * 100).cast("long")
+
+
 def _commission(rate: str) -> Column:
-    price = F.col("l_extendedprice").cast("decimal(12,2)")
-    return (price * F.col(rate).cast("decimal(4,2)")).cast(MONEY)
+    """Price times rate, exact: the doubles hold hundredths, whose product is counted in whole ten-thousandths."""
+    units = _hundredths("l_extendedprice") * _hundredths(rate)
+    return (units.cast("decimal(18,0)") * Decimal("0.0001")).cast(MONEY)
 
 
 def _rate() -> Column:
-    return F.rint(F.col("l_discount") * 100).cast("int")
+    return _hundredths("l_discount").cast("int")
 
 
 def _days() -> Column:
@@ -110,7 +116,7 @@ def annexes(spark: SparkSession, folder: str) -> DataFrame:
 
 def _items() -> Column:
     """Nested items of one page; nothing is grouped to build them, so no annex can grow without bound."""
-    shipped = F.col("l_shipdate").cast("string").alias("fecha_registro")
+    shipped = F.col("l_shipdate").cast("date").cast("string").alias("fecha_registro")
     first = F.struct(_commission("l_tax").alias("cant_comision"), _days().alias("dias_pago"), shipped)
     second = F.struct(_commission("l_discount").alias("cant_comision"), (_days() - 30).alias("dias_pago"), shipped)
     returned = F.col("l_returnflag") == "R"
