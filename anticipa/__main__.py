@@ -32,7 +32,7 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     run = commands.add_parser("refresh", help="run jobs and merge their results into the day's snapshot")
     run.add_argument("jobs", nargs="+", choices=["all", *sorted(JOBS)], metavar="job", help="job names, or all")
     run.add_argument("--dashboards", required=True, help="folder of the dashboard tables")
-    run.add_argument("--as-of", type=date.fromisoformat, default=None, help="day of the snapshot, today (UTC) if left out")
+    run.add_argument("--as-of", type=date.fromisoformat, help="day of the snapshot, today (UTC) if left out")
     run.add_argument("--strict", action="store_true", help="fail on the first row that breaks the input contract")
     sync = commands.add_parser("sync", help="write a new copy of the users target that equals the source")
     sync.add_argument("--out", required=True, help="folder for the synced table; must not exist")

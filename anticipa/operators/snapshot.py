@@ -59,7 +59,9 @@ def plan_merge(
     for key in keys:
         today = today.where(F.col(key).isNotNull())
     survivors = today.groupBy(*keys).agg(
-        F.min("id").alias("id"), F.ceil(F.count(F.lit(1)) / copies_per_slice).alias("slices"), F.max("id").alias("_last")
+        F.min("id").alias("id"),
+        F.max("id").alias("_last"),
+        F.ceil(F.count(F.lit(1)) / copies_per_slice).alias("slices"),
     )
     own_row = F.lit(-1).cast("long")
     last_slice = F.when(F.col("_last") > F.col("id"), F.col("slices") - 1).otherwise(own_row)

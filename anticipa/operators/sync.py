@@ -2,7 +2,8 @@
 
 * id in both: update the target row with the smallest row id, delete its copies;
 * id only in the source: insert; id only in the target: delete all its rows;
-* id more than once in the source, or without the required email: a reject, so the surviving target row is kept as it is.
+* id more than once in the source, or without the required email: a reject, so the surviving target row is kept as it
+  is.
 """
 
 from pyspark.sql import Column, DataFrame

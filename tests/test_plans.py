@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from anticipa import operators as op
+from anticipa import sources
+from anticipa.sources import Table
 from anticipa.sources import order_feeds as feeds
 from helpers import final_plan, rows
 
@@ -64,6 +66,16 @@ def test_scan_reads_only_what_is_asked(spark):
     assert "ReadSchema: struct<l_quantity:double,l_discount:double>" in plan
 
 
+def test_only_the_named_item_fields_are_read(spark, tmp_path):
+    path = str(tmp_path / "feed")
+    feeds.annex_feed(spark, FOLDER).write.parquet(path)
+    feed = sources.annex_feed(spark, Table(path))
+    plan = final_plan(op.clients_by_term_all(op.annex_items(feed, "dias_pago")))
+    assert "ReadSchema: struct<cliente_id:bigint,jsonb_agg:array<struct<dias_pago:int>>>" in plan
+    plan = final_plan(op.billed_by_term_all(op.annex_items(feed, "comision", "dias_pago")))
+    assert "ReadSchema: struct<jsonb_agg:array<struct<cant_comision:decimal(18,4),dias_pago:int>>>" in plan
+
+
 def test_no_driver_side_work_in_the_package():
     banned = r"\.collect\(|toPandas|\.rdd\b|localCheckpoint|udf|crossJoin|toLocalIterator|\.cache\(|\.persist\("
     for file in (ROOT / "anticipa").rglob("*.py"):

@@ -65,6 +65,18 @@ def test_refresh_twice_is_idempotent(spark, tmp_path):
     assert rows(spark.read.parquet(path)) == before
 
 
+def test_nothing_computed(spark, tmp_path):
+    path = str(tmp_path / "t")
+    nothing = {"insert": 0, "update": 0, "delete": 0, "keep": 0}
+    assert op.apply_merge(spark, days(spark), DAYS, path, D1) == nothing
+    op.apply_merge(spark, days(spark, ("A", "a", 1.0)), DAYS, path, D1)
+    before = read(spark, path)
+    for empty in (days(spark), days(spark, ("B", "b", 2.0)).where("1 = 0"), days(spark, ("B", "b", 2.0)).where("cliente = 'x'")):
+        assert op.apply_merge(spark, empty, DAYS, path, D1) == {**nothing, "keep": 1}
+    assert op.apply_merge(spark, days(spark), DAYS, path, D2) == nothing
+    assert read(spark, path) == before
+
+
 def test_copies_collapse_or_stay(spark, tmp_path):
     path = str(tmp_path / "t")
     noon = datetime(2024, 3, 5, 12)
