@@ -121,3 +121,28 @@ def test_columns_and_filters_reach_the_scan(spark):
     valid, _ = op.split_contract(sources.clients(spark, table), ("cliente_id",))
     plan = valid.select("cliente_id")._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<c_custkey:bigint>" in plan and "IsNotNull(c_custkey)" in plan
+
+
+def test_jdbc_takes_the_databases_columns_by_name(spark):
+    """Against a stand-in for the reader, as no database is started."""
+    seen = {}
+
+    class Reader:
+        def format(self, name):
+            seen["format"] = name
+            return self
+
+        def options(self, **options):
+            seen.update(options)
+            return self
+
+        def load(self):
+            return spark.createDataFrame([("x", 7, "A")], "extra string, cliente int, nombre_fiscal string")
+
+    class Session:
+        read = Reader()
+
+    options = {"url": "jdbc:any", "dbtable": "cliente", "partitionColumn": "cliente", "numPartitions": "8"}
+    got = sources.clients(Session(), Table(format="jdbc", options=options, columns={"cliente_id": "cliente"}))
+    assert seen == {"format": "jdbc", **options}
+    assert got.schema.simpleString() == "struct<cliente_id:bigint,nombre_fiscal:string>" and rows(got) == [(7, "A")]
