@@ -13,7 +13,7 @@ from pyspark.sql import SparkSession
 
 from . import operators as op
 from . import sources
-from .plans import JOBS, refresh, refresh_all
+from .plans import JOBS, refresh, refresh_all, rejects
 from .sources import Table
 
 # Which reader serves each input a job names; flat items come out of the nested feed.
@@ -34,6 +34,7 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     run.add_argument("--dashboards", required=True, help="folder of the dashboard tables")
     run.add_argument("--as-of", type=date.fromisoformat, help="day of the snapshot, today (UTC) if left out")
     run.add_argument("--strict", action="store_true", help="fail on the first row that breaks the input contract")
+    run.add_argument("--rejects", help="also write the rows left out, as JSON with the reason, to this new folder")
     sync = commands.add_parser("sync", help="write a new copy of the users target that equals the source")
     sync.add_argument("--out", required=True, help="folder for the synced table; must not exist")
     return parser.parse_args(argv)
@@ -50,7 +51,12 @@ def main(argv: Sequence[str] | None = None) -> dict[str, dict[str, int]]:
         return {}
     as_of = args.as_of or datetime.now(timezone.utc).date()
     inputs = {name: reader(spark, tables[name]) for name, reader in _READERS.items() if name in tables}
-    if "all" in args.jobs:
+    whole = "all" in args.jobs
+    if args.rejects:
+        for job in JOBS if whole else args.jobs:
+            for table, rows in rejects(job, inputs).items():
+                rows.write.json(f"{args.rejects}/{job}/{table}")
+    if whole:
         return refresh_all(spark, inputs, args.dashboards, as_of, args.strict)
     return {job: refresh(spark, job, inputs, args.dashboards, as_of, args.strict) for job in args.jobs}
 

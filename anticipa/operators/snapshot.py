@@ -3,7 +3,7 @@
 For one day and a natural key (analysis id, and the bucket or rate where the table has one):
 
 * rows of other days are history and never touched;
-* key computed and present: the row with the smallest id is updated and keeps its `created_at`; copies are deleted;
+* key computed and present: of its rows, the one with the smallest id is updated and keeps its `created_at`; copies are deleted;
 * key only computed: inserted;
 * key only present: all its rows are kept.
 
@@ -26,12 +26,11 @@ _COPIES_PER_SLICE = 100_000
 
 @dataclass(frozen=True)
 class Dashboard:
-    """A dashboard table: key, measures, and which other columns an update refreshes."""
+    """A dashboard table. An update refreshes the measures; the client label stays that of the day's first row."""
 
     name: str
     keys: tuple[str, ...]
     measures: tuple[str, ...]
-    refreshes_label: bool = False
 
     @property
     def columns(self) -> tuple[str, ...]:
@@ -51,11 +50,13 @@ def plan_merge(
 ) -> DataFrame:
     """One row per affected table row: `id` (null on insert), the computed columns, and the `action`.
 
-    The computed frame is used once, so its job is not run twice. Each key gives its own row in slice -1, and a key
+    Keys are never null, in the computed frame as in the table the merge itself writes. The computed frame is used
+    once, so its job is not run twice. Each key gives its own row in slice -1, and a key
     with copies also one row in each of its slices, where the copies find what to do.
     """
     keys = list(keys)
     values = [c for c in computed.columns if c not in keys]
+    # Said of the keys themselves, so that both uses of the survivors below filter alike and share one shuffle.
     for key in keys:
         today = today.where(F.col(key).isNotNull())
     survivors = today.groupBy(*keys).agg(
@@ -93,8 +94,8 @@ def _new_id(keys: Sequence[str], as_of: date) -> Column:
     return F.abs(F.shiftright(F.xxhash64(*keys, F.lit(as_of.isoformat())), 1))
 
 
-def merged_day(actions: DataFrame, today: DataFrame, dashboard: Dashboard, as_of: date) -> DataFrame:
-    """The day's rows after the merge."""
+def _merged_rows(actions: DataFrame, today: DataFrame, dashboard: Dashboard, as_of: date) -> DataFrame:
+    """The day's rows with their `action`, the deleted ones among them."""
     keys = list(dashboard.keys)
     old = today.select(
         *keys,
@@ -102,22 +103,26 @@ def merged_day(actions: DataFrame, today: DataFrame, dashboard: Dashboard, as_of
         F.col("created_at").alias("_created_at"),
         *[F.col(c).alias(f"_old_{c}") for c in dashboard.columns if c not in (*keys, "id", "created_at")],
     )
-    live = actions.where(F.col("action") != "delete")
     # Keys and id together are unique, so a much copied key is not a hot join key here.
-    both = live.join(old, [*keys, "id"], "left")
-    kept = F.col("action") == "keep"
+    both = actions.join(old, [*keys, "id"], "left")
+    kept, new = F.col("action") == "keep", F.col("action") == "insert"
     columns = {
         "id": F.coalesce(F.col("id"), _new_id(keys, as_of)),
+        "cliente": F.when(new, F.col("cliente")).otherwise(F.col("_old_cliente")) if "cliente" not in keys else None,
         **{k: F.col(k) for k in keys},
         **{m: F.when(kept, F.col(f"_old_{m}")).otherwise(F.col(m)) for m in dashboard.measures},
         "created_at": F.coalesce(F.col("_created_at"), F.lit(as_of).cast("timestamp_ntz")),
     }
-    if "cliente" not in keys:
-        fresh = F.col("action") == "insert"
-        if dashboard.refreshes_label:
-            fresh = ~kept
-        columns["cliente"] = F.when(fresh, F.col("cliente")).otherwise(F.col("_old_cliente"))
-    return both.select(*[columns[c].alias(c) for c in dashboard.columns])
+    return both.select(*[columns[c].alias(c) for c in dashboard.columns], "action")
+
+
+def _live(merged: DataFrame) -> DataFrame:
+    return merged.where(F.col("action") != "delete").drop("action")
+
+
+def merged_day(actions: DataFrame, today: DataFrame, dashboard: Dashboard, as_of: date) -> DataFrame:
+    """The day's rows after the merge."""
+    return _live(_merged_rows(actions, today, dashboard, as_of))
 
 
 def _stored(spark: SparkSession, computed: DataFrame, dashboard: Dashboard, path: str) -> DataFrame:
@@ -139,15 +144,15 @@ def apply_merge(
     """Merge `computed` into the table at `path` and return how many rows each action touched.
 
     One write, of the one day's partition. Files of the day are replaced only when the write commits, so lost
-    tasks and executors are re-run against unchanged input.
+    tasks and executors are re-run against unchanged input. The actions are counted in the writing stage, where a
+    task counts once however often it is run.
     """
     today = todays_rows(_stored(spark, computed, dashboard, path), as_of)
+    counts = [F.count_if(F.col("action") == a).alias(a) for a in ("insert", "update", "delete", "keep")]
     seen = Observation()
-    actions = plan_merge(computed, today, dashboard.keys).observe(
-        seen, *[F.count_if(F.col("action") == a).alias(a) for a in ("insert", "update", "delete", "keep")]
-    )
+    merged = _merged_rows(plan_merge(computed, today, dashboard.keys), today, dashboard, as_of).observe(seen, *counts)
     (
-        merged_day(actions, today, dashboard, as_of)
+        _live(merged)
         .withColumn("snapshot_date", F.lit(as_of))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

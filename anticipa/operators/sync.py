@@ -19,6 +19,7 @@ def target_ids(target: DataFrame) -> DataFrame:
 
 def _by_id(source: DataFrame) -> DataFrame:
     # With a single row the minimum is that row's value, so this needs no second pass over the source.
+    source = source.where(F.col("id").isNotNull())
     return source.groupBy("id").agg(*[F.min(v).alias(v) for v in _VALUES], F.count(F.lit(1)).alias("rows"))
 
 

@@ -52,7 +52,9 @@ def test_refresh(spark, tmp_path):
         "grafica_clientes_x_condicion_pago": 15,
         "parreto_clientes_comision": 1,
     }
-    again = main(["--tables", where, "refresh", "credit_days", "--dashboards", out, "--as-of", "2024-03-05"])
+    left_out = str(tmp_path / "rejects")
+    again = main(["--tables", where, "refresh", "credit_days", "--dashboards", out, "--as-of", "2024-03-05", "--rejects", left_out])
+    assert [r.reason for r in spark.read.json(f"{left_out}/credit_days/invoices").collect()] == ["missing dias_pago"]
     assert again == {"credit_days": {"insert": 0, "update": 2, "delete": 0, "keep": 0}}
 
 
