@@ -53,7 +53,7 @@ def main(argv: Sequence[str] | None = None) -> dict[str, dict[str, int]]:
     inputs = {name: reader(spark, tables[name]) for name, reader in _READERS.items() if name in tables}
     whole = "all" in args.jobs
     if args.rejects:
-        for job in JOBS if whole else args.jobs:
+        for job in [j for j in JOBS if not j.endswith(("_all", "_by_client"))] if whole else args.jobs:
             for table, rows in rejects(job, inputs).items():
                 rows.write.json(f"{args.rejects}/{job}/{table}")
     if whole:

@@ -74,7 +74,7 @@ def plan_merge(
     )
 
     # A key with more than one slice has more than `copies_per_slice` rows, which bounds their number, and so the
-    # broadcast, by the day's rows over that constant.
+    # broadcast, by the day's rows over that constant: a day of five billion rows has at most 50,000 such keys.
     hot = F.broadcast(survivors.where(F.col("slices") > 1).select(*keys, "slices"))
     slice_of = F.coalesce(F.pmod(F.xxhash64("id"), F.col("slices")), F.lit(0).cast("long"))
     rows = today.join(hot, keys, "left").select(*keys, F.col("id").alias("_copy"), slice_of.alias("_slice"))
