@@ -5,6 +5,7 @@ from decimal import Decimal
 from uuid import uuid4
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from anticipa import operators as op
@@ -12,7 +13,7 @@ from anticipa import schemas
 from anticipa.plans import DASHBOARDS, JOBS, compute, refresh, refresh_all
 from anticipa.sources import order_feeds as feeds
 from anticipa.streaming import refresh_on_arrival
-from helpers import rows
+from helpers import final_plan, rows
 
 FOLDER = "/root/testdata/sf0.001"
 D1, D2 = date(2024, 3, 5), date(2024, 3, 6)
@@ -95,6 +96,19 @@ def test_copies_collapse_or_stay(spark, tmp_path):
     assert spark.read.parquet(path).where(F.col("snapshot_date") < D1).count() == 1
 
 
+def test_a_failed_refresh_leaves_the_table_as_it_was(spark, tmp_path):
+    path = str(tmp_path / "t")
+    op.apply_merge(spark, days(spark, ("A", "a", 1.0)), DAYS, path, D1)
+    before = rows(spark.read.parquet(path))
+    broken = days(spark, ("A", "a", 2.0), ("B", "b", 3.0)).where(
+        F.when(F.col("id_analisis") == "A", True).otherwise(F.raise_error(F.lit("lost")).cast("boolean"))
+    )
+    with pytest.raises(PySparkException, match="lost"):
+        op.apply_merge(spark, broken, DAYS, path, D1)
+    assert rows(spark.read.parquet(path)) == before
+    assert op.apply_merge(spark, days(spark, ("A", "a", 2.0)), DAYS, path, D1)["update"] == 1
+
+
 def test_pareto_keeps_every_rate_and_name(spark, tmp_path):
     dashboard = DASHBOARDS["parreto_clientes_comision"]
     path = str(tmp_path / "t")
@@ -210,6 +224,25 @@ def test_sync(spark, tmp_path):
     assert {r.action for r in op.plan_sync(source, got).collect()} == {"update", "keep"}
 
 
+def test_sync_of_much_copied_ids(spark):
+    """A third of each side under one id: no window, no collected group, copies told apart by row id."""
+    source = spark.range(9000).select(
+        F.when(F.col("id") < 3000, "hot").otherwise(F.col("id").cast("string")).alias("id"),
+        F.lit("m").alias("email"),
+        F.lit(None).cast("string").alias("status"),
+        F.lit(None).cast("string").alias("license_plates"),
+    )
+    target = spark.range(9000).select(
+        "id",
+        F.when(F.col("id") < 3000, "hot2").otherwise(F.col("id").cast("string")).alias("id_user_sb"),
+        *[F.lit("old").alias(c) for c in ("email", "status", "license_plates")],
+    )
+    actions = op.plan_sync(source, target)
+    assert {r.action: r["count"] for r in actions.groupBy("action").count().collect()} == {"update": 6000, "delete": 3000}
+    assert "Window" not in final_plan(actions)
+    assert op.synced(actions, target).where("email <> 'm'").count() == 0
+
+
 def test_sync_into_an_empty_target(spark):
     source = spark.createDataFrame([("a", "a@x", None, None)], USERS)
     assert rows(op.plan_sync(source, spark.createDataFrame([], TARGET))) == [("a", None, "insert", "a@x", None, None)]
