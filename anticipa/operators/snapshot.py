@@ -3,7 +3,8 @@
 For one day and a natural key (analysis id, and the bucket or rate where the table has one):
 
 * rows of other days are history and never touched;
-* key computed and present: of its rows, the one with the smallest id is updated and keeps its `created_at`; copies are deleted;
+* key computed and present: of its rows, the one with the smallest id is updated and keeps its `created_at`; the other
+  copies are deleted;
 * key only computed: inserted;
 * key only present: all its rows are kept.
 

@@ -15,8 +15,6 @@ from pyspark.sql import types as T
 from .. import schemas
 from ..functions import written_date
 
-TEXT_FORMATS = ("json", "csv")
-
 
 @dataclass(frozen=True)
 class Table:
@@ -29,13 +27,16 @@ class Table:
 
 
 def read(spark: SparkSession, table: Table, schema: T.StructType) -> DataFrame:
-    """Read `table` with the columns of `schema`; a missing field is null.
+    """Read `table` with the columns of `schema`, matched by name; a missing field is null.
 
-    Text formats add `_corrupt_record`, which holds the raw text of rows that do not fit the schema.
+    JSON adds `_corrupt_record`, which holds the raw text of rows that do not fit the schema.
     """
+    if table.format == "csv":
+        raise ValueError("CSV matches columns by position; use JSON, Parquet, ORC or JDBC")
     renamed = T.StructType([T.StructField(table.columns.get(f.name, f.name), f.dataType, True) for f in schema])
     reader = spark.read.format(table.format).options(**table.options)
-    if table.format in TEXT_FORMATS:
+    text = table.format == "json"
+    if text:
         renamed = renamed.add(schemas.CORRUPT, T.StringType(), True)
         reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", schemas.CORRUPT)
     if table.format == "jdbc":
@@ -43,7 +44,7 @@ def read(spark: SparkSession, table: Table, schema: T.StructType) -> DataFrame:
         df = reader.load()
         return df.select(*[F.col(table.columns.get(f.name, f.name)).cast(f.dataType).alias(f.name) for f in schema])
     df = reader.schema(renamed).load(table.path)
-    extra = [schemas.CORRUPT] if table.format in TEXT_FORMATS else []
+    extra = [schemas.CORRUPT] if text else []
     return df.select(*[F.col(table.columns.get(f.name, f.name)).alias(f.name) for f in schema], *extra)
 
 

@@ -106,16 +106,20 @@ def test_annex_dates(spark, tmp_path):
     assert {r.reason for r in rejects.collect()} == {"missing created_on"} and rejects.count() == 2
 
 
-@pytest.mark.parametrize("kind", ["parquet", "orc", "json", "csv"])
+@pytest.mark.parametrize("kind", ["parquet", "orc", "json"])
 def test_formats_give_the_same_rows(spark, tmp_path, kind):
     users = spark.createDataFrame([("a", "a@x", "on", None), ("b", "b@x", None, "P1")], schemas.USERS)
     path = str(tmp_path / kind)
-    options = {"header": "true"} if kind == "csv" else {}
-    users.write.format(kind).options(**options).save(path)
-    got = sources.users(spark, Table(path, kind, options))
+    users.select(*reversed(users.columns)).write.format(kind).save(path)
+    got = sources.users(spark, Table(path, kind))
     assert rows(op.split_contract(got, schemas.REQUIRED["users"])[0]) == rows(users)
 
 
+def test_formats_without_column_names_are_refused(spark, tmp_path):
+    with pytest.raises(ValueError, match="by position"):
+        sources.users(spark, Table(str(tmp_path), "csv"))
+
+
 def test_columns_and_filters_reach_the_scan(spark):
     table = Table("/root/testdata/sf0.001/customer.parquet", columns={"cliente_id": "c_custkey", "nombre_fiscal": "c_name"})
     valid, _ = op.split_contract(sources.clients(spark, table), ("cliente_id",))
