@@ -14,8 +14,10 @@ from .labels import for_all, for_clients_with_facts, with_client
 
 # --- discount rates ---------------------------------------------------------------------------------------------
 
-# Wider than any 32-bit rate, so count * span - rate orders by count first, then by smaller rate.
-_RATE_SPAN = Decimal(10**10)
+# As wide as all 32-bit rates, so count * span - rate orders by count first, then by smaller rate.
+_RATE_SPAN = 2**32
+# Smaller counts make that product fit a long.
+_LONG_COUNTS = 2**31
 
 
 def rate_frequencies(invoices: DataFrame, *keys: str) -> DataFrame:
@@ -23,11 +25,20 @@ def rate_frequencies(invoices: DataFrame, *keys: str) -> DataFrame:
     return invoices.groupBy(*keys, "tasa_descuento").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _rate_summary(frequencies: DataFrame, *keys: str) -> DataFrame:
-    """Everything follows from the frequency table, which is bounded by the number of distinct rates.
+def _mode() -> Column:
+    """Most frequent rate, the smallest of several.
 
-    The mode's order is packed in one decimal because a struct would force a sort-based aggregate.
+    The order is packed in one number because a struct would force a sort-based aggregate: in a long, and in a
+    slower decimal only for the counts beyond it, which win over all others.
     """
+    rate, n = F.col("tasa_descuento"), F.col("n")
+    small = F.when(n < _LONG_COUNTS, n * F.lit(_RATE_SPAN) - rate)
+    large = F.when(n >= _LONG_COUNTS, n.cast("decimal(19,0)") * Decimal(_RATE_SPAN) - rate)
+    return F.coalesce(F.max_by(rate, large), F.max_by(rate, small))
+
+
+def _rate_summary(frequencies: DataFrame, *keys: str) -> DataFrame:
+    """Everything follows from the frequency table, which is bounded by the number of distinct rates."""
     rate = F.col("tasa_descuento")
     return (
         frequencies.groupBy(*keys)
@@ -36,7 +47,7 @@ def _rate_summary(frequencies: DataFrame, *keys: str) -> DataFrame:
             F.max(rate).alias("tasa_maxima"),
             F.sum(rate * F.col("n")).alias("total"),
             F.sum("n").alias("n"),
-            F.max_by(rate, F.col("n").cast("decimal(19,0)") * _RATE_SPAN - rate).alias("moda"),
+            _mode().alias("moda"),
         )
         .where(F.col("n") > 0)
     )

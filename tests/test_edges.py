@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from anticipa import operators as op
 from anticipa import schemas
 from anticipa.functions import TERM_BUCKETS, day_window, term_bucket, written_date
+from anticipa.operators.indicators import rates_of_frequencies
 from helpers import rows
 
 DAY = date(2024, 3, 5)
@@ -64,6 +65,23 @@ def test_mode_takes_the_smallest_of_the_most_frequent(spark):
     }
 
 
+def test_mode_of_huge_counts(spark):
+    huge = 2**31
+    cases = {
+        1: ([(5, huge), (-3, huge), (9, huge - 1)], -3),
+        2: ([(2**31 - 1, huge - 1), (-(2**31), huge - 2)], 2**31 - 1),
+        3: ([(4, huge), (1, huge + 1), (0, 7)], 1),
+        4: ([(10**6, 10**12), (-(10**6), 10**12)], -(10**6)),
+        5: ([(2**31 - 1, 3), (-(2**31), 3)], -(2**31)),
+    }
+    data = [(c, rate, n) for c, (pairs, _) in cases.items() for rate, n in pairs]
+    frequencies = spark.createDataFrame(data, "cliente_id long, tasa_descuento int, n long")
+    got = rates_of_frequencies(frequencies, clients(spark, *[(c, str(c)) for c in cases]))
+    assert {int(r.cliente): r.moda for r in got.where("cliente <> 'Todos'").collect()} == {
+        c: mode for c, (_, mode) in cases.items()
+    }
+
+
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.integers(-(2**31), 2**31 - 1), min_size=1, max_size=12))
 def test_rates_of_any_size(spark, rates):
