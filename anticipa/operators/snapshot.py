@@ -9,7 +9,7 @@ For one day and a natural key (analysis id, and the bucket or rate where the tab
 * key only present: all its rows are kept.
 
 Copies of one key may be many, so they are never brought together whole: the surviving id is a map-side combined
-minimum, and the copies meet their key's verdict in slices of about `_COPIES_PER_SLICE` rows.
+minimum, and the copies meet their key's computed row in slices of about `_COPIES_PER_SLICE` rows.
 """
 
 from collections.abc import Sequence
@@ -46,84 +46,85 @@ def todays_rows(state: DataFrame, as_of: date) -> DataFrame:
     return state.where(day_window(F.col("created_at"), as_of))
 
 
-def plan_merge(
-    computed: DataFrame, today: DataFrame, keys: Sequence[str], copies_per_slice: int = _COPIES_PER_SLICE
-) -> DataFrame:
-    """One row per affected table row: `id` (null on insert), the computed columns, and the `action`.
+def _matched(computed: DataFrame, today: DataFrame, keys: Sequence[str], copies_per_slice: int) -> DataFrame:
+    """Every row of today next to the computed row of its key, and the computed rows that have none.
 
     Keys are never null, in the computed frame as in the table the merge itself writes. The computed frame is used
-    once, so its job is not run twice. Each key gives its own row in slice -1, and a key
-    with copies also one row in each of its slices, where the copies find what to do.
+    once, so its job is not run twice. Adds today's other columns as `_old_<name>` and the `action`.
     """
     keys = list(keys)
-    values = [c for c in computed.columns if c not in keys]
     # Said of the keys themselves, so that both uses of the survivors below filter alike and share one shuffle.
     for key in keys:
         today = today.where(F.col(key).isNotNull())
     survivors = today.groupBy(*keys).agg(
-        F.min("id").alias("id"),
-        F.max("id").alias("_last"),
-        F.ceil(F.count(F.lit(1)) / copies_per_slice).alias("slices"),
+        F.min("id").alias("_survivor"), F.ceil(F.count(F.lit(1)) / copies_per_slice).alias("_slices")
     )
-    own_row = F.lit(-1).cast("long")
-    last_slice = F.when(F.col("_last") > F.col("id"), F.col("slices") - 1).otherwise(own_row)
+    # One row per slice of a present key; a key that is not present has the one slice -1, which no row is in.
+    absent = F.col("_survivor").isNull()
+    first, last = F.when(absent, -1).otherwise(0), F.when(absent, -1).otherwise(F.col("_slices") - 1)
     per_slice = (
         computed.withColumn("_computed", F.lit(True))
         .join(survivors, keys, "full")
-        .select("*", F.explode(F.sequence(own_row, last_slice)).alias("_slice"))
-        .drop("slices", "_last")
+        .withColumn("_slice", F.explode(F.sequence(first.cast("long"), last.cast("long"))))
     )
 
     # A key with more than one slice has more than `copies_per_slice` rows, which bounds their number, and so the
     # broadcast, by the day's rows over that constant: a day of five billion rows has at most 50,000 such keys.
-    hot = F.broadcast(survivors.where(F.col("slices") > 1).select(*keys, "slices"))
-    slice_of = F.coalesce(F.pmod(F.xxhash64("id"), F.col("slices")), F.lit(0).cast("long"))
-    rows = today.join(hot, keys, "left").select(*keys, F.col("id").alias("_copy"), slice_of.alias("_slice"))
-
-    own = F.col("_slice") == own_row
-    gone = F.col("_computed").isNull()
-    action = F.when(gone, "keep").when(~own, "delete").when(F.col("id").isNull(), "insert").otherwise("update")
+    hot = F.broadcast(survivors.where(F.col("_slices") > 1).select(*keys, "_slices"))
+    slice_of = F.coalesce(F.pmod(F.xxhash64("id"), F.col("_slices")), F.lit(0).cast("long"))
+    rows = today.join(hot, keys, "left").select(
+        *keys, slice_of.alias("_slice"), *[F.col(c).alias(f"_old_{c}") for c in today.columns if c not in keys]
+    )
+    action = (
+        F.when(F.col("_computed").isNull(), "keep")
+        .when(absent, "insert")
+        .when(F.col("_old_id") == F.col("_survivor"), "update")
+        .otherwise("delete")
+    )
+    # A slice that no row fell into leaves an unmatched row behind.
     return (
         per_slice.join(rows, [*keys, "_slice"], "left")
-        .where(own | (F.col("_copy") != F.col("id")))
-        .select(F.when(own, F.col("id")).otherwise(F.col("_copy")).alias("id"), *keys, *values, action.alias("action"))
+        .where(absent | F.col("_old_id").isNotNull())
+        .withColumn("action", action)
     )
 
 
+def plan_merge(
+    computed: DataFrame, today: DataFrame, keys: Sequence[str], copies_per_slice: int = _COPIES_PER_SLICE
+) -> DataFrame:
+    """One row per affected table row: `id` (null on insert), the computed columns, and the `action`."""
+    values = [c for c in computed.columns if c not in keys]
+    matched = _matched(computed, today, keys, copies_per_slice)
+    return matched.select(F.col("_old_id").alias("id"), *keys, *values, "action")
+
+
 def _new_id(keys: Sequence[str], as_of: date) -> Column:
     """Stable id for an inserted row. It only has to be unique within its key and day."""
     return F.abs(F.shiftright(F.xxhash64(*keys, F.lit(as_of.isoformat())), 1))
 
 
-def _merged_rows(actions: DataFrame, today: DataFrame, dashboard: Dashboard, as_of: date) -> DataFrame:
+def _merged_rows(computed: DataFrame, today: DataFrame, dashboard: Dashboard, as_of: date) -> DataFrame:
     """The day's rows with their `action`, the deleted ones among them."""
-    keys = list(dashboard.keys)
-    old = today.select(
-        *keys,
-        "id",
-        F.col("created_at").alias("_created_at"),
-        *[F.col(c).alias(f"_old_{c}") for c in dashboard.columns if c not in (*keys, "id", "created_at")],
-    )
-    # Keys and id together are unique, so a much copied key is not a hot join key here.
-    both = actions.join(old, [*keys, "id"], "left")
+    keys = dashboard.keys
     kept, new = F.col("action") == "keep", F.col("action") == "insert"
     columns = {
-        "id": F.coalesce(F.col("id"), _new_id(keys, as_of)),
-        "cliente": F.when(new, F.col("cliente")).otherwise(F.col("_old_cliente")) if "cliente" not in keys else None,
-        **{k: F.col(k) for k in keys},
+        "id": F.coalesce(F.col("_old_id"), _new_id(keys, as_of)),
         **{m: F.when(kept, F.col(f"_old_{m}")).otherwise(F.col(m)) for m in dashboard.measures},
-        "created_at": F.coalesce(F.col("_created_at"), F.lit(as_of).cast("timestamp_ntz")),
+        "created_at": F.coalesce(F.col("_old_created_at"), F.lit(as_of).cast("timestamp_ntz")),
     }
-    return both.select(*[columns[c].alias(c) for c in dashboard.columns], "action")
+    if "cliente" not in keys:
+        columns["cliente"] = F.when(new, F.col("cliente")).otherwise(F.col("_old_cliente"))
+    matched = _matched(computed, today, keys, _COPIES_PER_SLICE)
+    return matched.select(*[columns.get(c, F.col(c)).alias(c) for c in dashboard.columns], "action")
 
 
 def _live(merged: DataFrame) -> DataFrame:
     return merged.where(F.col("action") != "delete").drop("action")
 
 
-def merged_day(actions: DataFrame, today: DataFrame, dashboard: Dashboard, as_of: date) -> DataFrame:
+def merged_day(computed: DataFrame, today: DataFrame, dashboard: Dashboard, as_of: date) -> DataFrame:
     """The day's rows after the merge."""
-    return _live(_merged_rows(actions, today, dashboard, as_of))
+    return _live(_merged_rows(computed, today, dashboard, as_of))
 
 
 def _stored(spark: SparkSession, computed: DataFrame, dashboard: Dashboard, path: str) -> DataFrame:
@@ -151,7 +152,7 @@ def apply_merge(
     today = todays_rows(_stored(spark, computed, dashboard, path), as_of)
     counts = [F.count_if(F.col("action") == a).alias(a) for a in ("insert", "update", "delete", "keep")]
     seen = Observation()
-    merged = _merged_rows(plan_merge(computed, today, dashboard.keys), today, dashboard, as_of).observe(seen, *counts)
+    merged = _merged_rows(computed, today, dashboard, as_of).observe(seen, *counts)
     (
         _live(merged)
         .withColumn("snapshot_date", F.lit(as_of))
