@@ -125,7 +125,7 @@ def test_hot_order_and_hot_client(spark, conf, tmp_path):
 
 
 def test_much_copied_dashboard_key(spark, conf):
-    """Copies of a key meet its verdict in slices of bounded size."""
+    """Copies of a key meet its computed row in slices of bounded size."""
     conf(autoBroadcastJoinThreshold="-1")
     today = spark.range(30000).select(
         "id", F.when(F.col("id") < 20000, "CLIENTE-1").otherwise(F.concat(F.lit("CLIENTE-"), "id")).alias("id_analisis")
