@@ -15,12 +15,11 @@ def _reason(df: DataFrame, required: Sequence[str]) -> Column:
     return F.coalesce(*checks, F.lit(None).cast("string"))
 
 
-def _accepted(df: DataFrame, required: Sequence[str]) -> Column:
+def _accepted(df: DataFrame, required: Sequence[str]) -> DataFrame:
     # Spelled as plain null tests, so that they reach the scan.
-    keep = F.lit(True)
     for name in required:
-        keep = keep & F.col(name).isNotNull()
-    return keep & F.col(CORRUPT).isNull() if CORRUPT in df.columns else keep
+        df = df.where(F.col(name).isNotNull())
+    return df.where(F.col(CORRUPT).isNull()).drop(CORRUPT) if CORRUPT in df.columns else df
 
 
 def split_contract(df: DataFrame, required: Sequence[str]) -> tuple[DataFrame, DataFrame]:
@@ -28,7 +27,7 @@ def split_contract(df: DataFrame, required: Sequence[str]) -> tuple[DataFrame, D
 
     `required` lists the fields the job uses. Both frames are lazy, so a job that only uses the first pays one scan.
     """
-    valid = df.where(_accepted(df, required)).drop(CORRUPT)
+    valid = _accepted(df, required)
     rejects = df.withColumn("reason", _reason(df, required)).where(F.col("reason").isNotNull())
     return valid, rejects
 

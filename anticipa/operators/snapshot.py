@@ -59,14 +59,14 @@ def _matched(computed: DataFrame, today: DataFrame, keys: Sequence[str], copies_
     survivors = today.groupBy(*keys).agg(
         F.min("id").alias("_survivor"), F.ceil(F.count(F.lit(1)) / copies_per_slice).alias("_slices")
     )
-    # One row per slice of a present key; a key that is not present has the one slice -1, which no row is in.
-    absent = F.col("_survivor").isNull()
-    first, last = F.when(absent, -1).otherwise(0), F.when(absent, -1).otherwise(F.col("_slices") - 1)
+    # One row per slice of the key; a key that is not present has one slice, which no row is in.
+    last_slice = F.coalesce(F.col("_slices"), F.lit(1)) - 1
     per_slice = (
         computed.withColumn("_computed", F.lit(True))
         .join(survivors, keys, "full")
-        .withColumn("_slice", F.explode(F.sequence(first.cast("long"), last.cast("long"))))
+        .withColumn("_slice", F.explode(F.sequence(F.lit(0).cast("long"), last_slice)))
     )
+    absent = F.col("_survivor").isNull()
 
     # A key with more than one slice has more than `copies_per_slice` rows, which bounds their number, and so the
     # broadcast, by the day's rows over that constant: a day of five billion rows has at most 50,000 such keys.
