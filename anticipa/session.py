@@ -36,8 +36,8 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, **options: str) -> DataFrame:
     """`df` as a table in the shared folder: computed once, and read back instead of recomputed."""
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid4()}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.parquet(path)
