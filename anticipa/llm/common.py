@@ -27,6 +27,11 @@ def ascii_lower(column: Column) -> Column:
     return F.translate(column, UPPER, LOWER)
 
 
+def columns_of(df: DataFrame) -> list[Column]:
+    """The columns of `df` by name, whatever characters the names hold."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+
+
 def running_total(
     df: DataFrame, groups: list[str], key: str, value: Column, name: str, rows_per_slice: int = 100_000
 ) -> DataFrame:

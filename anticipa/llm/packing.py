@@ -68,6 +68,7 @@ def token_table(docs: DataFrame, path: str, end_id: int | None) -> DataFrame:
     return written(
         ids.select("row", "doc_id", F.expr(f"CAST(octet_length(ids) DIV {width} AS BIGINT)").alias("doc_tokens"), "ids"),
         "tokens",
+        compression="zstd",
     )
 
 

@@ -6,7 +6,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from anticipa.llm import packing, simhash, tokens, training_order
+from anticipa.llm import (
+    decontaminate,
+    kd_shards,
+    languages,
+    licenses,
+    packing,
+    secrets,
+    simhash,
+    tokens,
+    top_k,
+    training_order,
+    url_reputation,
+)
 from anticipa.llm.common import ship_code
 from anticipa.session import shared_folder
 
@@ -47,11 +59,79 @@ def op7_training_order(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_url_reputation(spark: SparkSession, folder: str) -> DataFrame:
+    """Outcomes: a page is bad if the document of its number is labelled of low quality or toxic."""
+    labels = _read(spark, folder, "labels")
+    bad = F.greatest(1 - F.col("quality"), F.col("toxic"))
+    outcomes = labels.select(F.col("doc_id").alias("page_id"), bad.cast("int").alias("bad"))
+    return url_reputation.filter_urls(_read(spark, folder, "pages"), outcomes)
+
+
+def op4_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return top_k.top_k(_read(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+def op5_kd_shards(spark: SparkSession, folder: str) -> DataFrame:
+    rows = kd_shards.shard_by_bytes(_read(spark, folder, "documents"), 40)
+    return rows.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op6_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    rows = decontaminate.contamination(_read(spark, folder, "documents"), _read(spark, folder, "benchmark"))
+    return rows.select(
+        "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+def op8_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _read(spark, folder, "documents").select("doc_id", "text")
+    base = F.filter("spans", lambda s: s.kind.isin(*secrets.BASE))
+
+    def count(kind: str):
+        return F.size(F.filter("spans", lambda s: s.kind == kind)).cast("long").alias(f"n_{kind}")
+
+    return secrets.with_spans(docs).select(
+        "doc_id", *(count(k) for k in secrets.BASE),
+        F.sha2(secrets.listed(base).cast("binary"), 256).alias("base_sha256"),
+        secrets.listed(F.col("spans")).alias("spans"),
+    )
+
+
+def op9_languages(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _read(spark, folder, "documents")
+    model = languages.train(docs.where(~languages.held_out(F.col("doc_id"))).select("text", "lang"))
+    judged = languages.identify(docs.select("doc_id", "text"), model)
+    return judged.select(
+        "doc_id", languages.held_out(F.col("doc_id")).alias("held_out"), "language.lang_pred", "language.score"
+    )
+
+
+def op10_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    rows = licenses.scan(_read(spark, folder, "documents"))
+    return rows.select(
+        "doc_id", "n_words", F.size("starts").cast("long").alias("n_base"),
+        F.array_min("starts").cast("long").alias("first_word"), F.array_max("starts").cast("long").alias("last_word"),
+        F.array_join("base_labels", ",").alias("base_labels"), F.array_join("labels", ",").alias("labels"), "score",
+    )
+
+
 def queries() -> dict:
     return {
         "op1_simhash": op1_simhash,
         "op2_packing": op2_packing,
+        "op3_url_reputation": op3_url_reputation,
+        "op4_top_k": op4_top_k,
+        "op5_kd_shards": op5_kd_shards,
+        "op6_decontaminate": op6_decontaminate,
         "op7_training_order": op7_training_order,
+        "op8_secrets": op8_secrets,
+        "op9_languages": op9_languages,
+        "op10_licenses": op10_licenses,
     }
 
 

@@ -10,6 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from anticipa.llm.common import columns_of
 from anticipa.session import written
 
 SHINGLE_WORDS, RADIUS, SEED, TILE_ROWS = 4, 4, 42, 4096
@@ -182,13 +183,12 @@ def one_of_each_group(docs: DataFrame, **options) -> DataFrame:
     rows, groups = near_groups(docs, **options)
     first = (
         rows.join(groups, "fingerprint").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .select(F.col("doc_id").alias("_id"), F.col("fingerprint").alias("_fingerprint"), "group_key").distinct()
+        .select(F.col("doc_id").alias("_first_id"), F.col("fingerprint").alias("_first_bits"),
+                F.col("group_key").alias("_first_group")).distinct()
     )
     first = written(first, "first")
-    marked = docs.withColumn("_fingerprint", fingerprint(F.col("text"), options["shingle"]))
-    kept = marked.join(
-        first.withColumnRenamed("_fingerprint", "_same"),
-        F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_fingerprint") == F.col("_same")),
+    kept = docs.withColumn("_own_bits", fingerprint(F.col("text"), options["shingle"])).join(
+        first, F.col("doc_id").eqNullSafe(F.col("_first_id")) & (F.col("_own_bits") == F.col("_first_bits"))
     )
     # Repeated rows of that doc_id, and other fingerprints of the group under it, are all that can be left to drop.
-    return kept.dropDuplicates(["group_key"]).select(*(F.col(c) for c in docs.columns))
+    return kept.dropDuplicates(["_first_group"]).select(*columns_of(docs))

@@ -3,20 +3,23 @@
 import os
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-CACHED_WORDS = 600_000
+CACHED_WORDS = 800_000
+_CHARS_AT_ONCE = 3_000_000
 
 
 class WordCache:
     """Encodes texts word by word, each new word once.
 
     The tokenizer's pre-tokens never cross white space, so the ids of a text are those of its parts between spaces and
-    line breaks. Ids are kept as little-endian bytes of `dtype`. The cache is emptied when it is full.
+    line breaks. Ids are kept as little-endian bytes of `dtype`. The cache holds at most `limit` words in two halves:
+    when the recent half is full it becomes the older one, which is then forgotten.
     """
 
     def __init__(self, path: str, limit: int = CACHED_WORDS):
@@ -29,51 +32,71 @@ class WordCache:
         for token, i in self.tokenizer.get_vocab().items():
             self.ends[i] = token.endswith("</w>")
         self.limit = limit
-        self.cache: dict[str, bytes] = {}
+        self.recent: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
-    def _learn(self, words: list[str]) -> None:
-        """Put `words` into the cache."""
-        plain = [w for w in words if w.isalpha()]
+    def _learn(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of new words, which go into the cache."""
+        plain, learnt, width = [w for w in words if w.isalpha()], {}, self.dtype.itemsize
         for k in range(0, len(plain), 256):  # letters only: one pre-token each, so whole runs can be encoded at once
             part = plain[k : k + 256]
             ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids)
             stops = np.flatnonzero(self.ends[ids]) + 1
             if len(stops) == len(part) and stops[-1] == len(ids):
-                for word, a, b in zip(part, [0, *stops[:-1]], stops):
-                    self.cache[word] = ids[a:b].astype(self.dtype).tobytes()
-        rest = [w for w in words if w not in self.cache]
+                raw, stops = ids.astype(self.dtype).tobytes(), (stops * width).tolist()
+                learnt.update((word, raw[a:b]) for word, a, b in zip(part, [0, *stops], stops))
+        rest = [w for w in words if w not in learnt]
         for word, found in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
-            self.cache[word] = np.array(found.ids, self.dtype).tobytes()
+            learnt[word] = np.array(found.ids, self.dtype).tobytes()
+        if len(self.recent) + len(learnt) > self.limit // 2:
+            self.older, self.recent = self.recent, {}
+        self.recent.update(learnt)
+        return learnt
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as bytes."""
         out: list[bytes] = []
-        for k in range(0, len(texts), 500):
-            out += self._encode(texts[k : k + 500])
-        return out
+        batch, room = [], _CHARS_AT_ONCE
+        for text in texts:
+            batch.append(text)
+            room -= len(text)
+            if room < 0:
+                out += self._encode(batch)
+                batch, room = [], _CHARS_AT_ONCE
+        return out + self._encode(batch)
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.cache) > self.limit:
-            self.cache.clear()
-        cache = self.cache
         split = [t.replace("\n", " ").split(" ") for t in texts]
-        new = {w for words in split for w in words if w not in cache}
-        # A word and the stops after it are separate pre-tokens; letter case goes in the tokenizer.
-        parts = {}
-        for word in new:
+        known = dict.fromkeys(chain.from_iterable(split))
+        # A word and the stops after it are separate pre-tokens; the tokenizer drops letter case itself.
+        parts, got, new, recent, older = [], {}, {}, self.recent, self.older
+        for word in known:
             body = word.rstrip(".,")
-            if body and body.isascii() and body.isalpha():
-                parts[word] = (body.lower(), word[len(body) :])
-            elif body != word and body and body.isalpha():
-                parts[word] = (body, word[len(body) :])
-        wanted = {p for pair in parts.values() for p in pair} | (new - parts.keys())
-        self._learn([w for w in wanted if w not in cache])
-        for word, (body, tail) in parts.items():
-            cache[word] = cache[body] + cache[tail]
-        return [b"".join([cache[w] for w in words]) for words in split]
+            if body.isalpha():
+                tail = word[len(body) :]
+                if body.isascii():
+                    body = body.lower()
+            else:
+                body, tail = word, ""
+            parts.append((word, body, tail))
+            for p in (body, tail) if tail else (body,):
+                if p in got:
+                    continue
+                if (ids := recent.get(p)) is not None:
+                    got[p] = ids
+                elif (ids := older.get(p)) is not None:
+                    got[p] = recent[p] = ids
+                else:
+                    new[p] = None
+        if new:
+            got |= self._learn(list(new))
+        for word, body, tail in parts:
+            known[word] = got[body] + got[tail] if tail else got[body]
+        return [b"".join([known[w] for w in words]) for words in split]
 
 
 @lru_cache(maxsize=2)
-def _worker_cache(path: str) -> WordCache:
+def worker_cache(path: str) -> WordCache:
     return WordCache(path)
 
 
@@ -85,7 +108,7 @@ def id_bytes(text: Column, path: str, end_id: int | None = None) -> Column:
 
     @F.pandas_udf("binary")
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        words = _worker_cache(path)
+        words = worker_cache(path)
         end = b"" if end_id is None else np.array([end_id], words.dtype).tobytes()
         for texts in batches:
             yield pd.Series([ids + end for ids in words.encode(texts.tolist())], dtype=object)

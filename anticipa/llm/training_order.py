@@ -6,14 +6,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from anticipa.llm.common import running_total
-from anticipa.llm.packing import token_table
-from anticipa.llm.tokens import id_width
+from anticipa.llm.tokens import id_width, worker_cache
+from anticipa.session import written
 
-SEQUENCE_TOKENS, SHARD_SLOTS = 1024, 8192
+SEQUENCE_TOKENS, SHARD_SLOTS = 512, 16384
 ROUNDS = 6
 _HEAD = "<QqQII"  # slot, doc_id, start, tokens, 1 if doc_id is null
 _END = "\r\n\r\n"
@@ -55,6 +55,25 @@ def record_bytes(width: int, tokens: int = SEQUENCE_TOKENS) -> int:
     return struct.calcsize(_HEAD) + width * tokens + len(_END)
 
 
+def _numbered(docs: DataFrame, path: str, end_id: int, tokens: int) -> DataFrame:
+    """(part, before, doc_id, doc_tokens, ids), written: `before` sequences of the same part come before this row's."""
+
+    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        words, part, before = worker_cache(path), TaskContext.get().partitionId(), 0
+        end = np.array([end_id], words.dtype).tobytes()
+        for batch in batches:
+            ids = [x + end for x in words.encode(batch["text"].tolist())]
+            n = np.array([len(x) // words.dtype.itemsize for x in ids], np.int64)
+            ends = before + np.cumsum(-(-n // tokens))
+            starts = np.append(before, ends[:-1])[: len(n)]
+            yield pd.DataFrame({"part": part, "before": starts, "doc_id": batch["doc_id"], "doc_tokens": n, "ids": ids})
+            before = int(ends[-1]) if len(ends) else before
+
+    given = docs.select(F.col("doc_id").cast("string"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = given.mapInPandas(encode, "part long, before long, doc_id string, doc_tokens long, ids binary")
+    return written(rows, "tokens", compression="zstd")
+
+
 def write_in_order(
     docs: DataFrame, folder: str, path: str, key: int, end_id: int = 2,
     tokens: int = SEQUENCE_TOKENS, shard_slots: int = SHARD_SLOTS,
@@ -68,16 +87,17 @@ def write_in_order(
     documents: no shard.
     """
     width = id_width(path)
-    table = token_table(docs, path, end_id)
-    counted = running_total(
-        table.select("row", "doc_tokens"), [], "row", F.ceil(F.col("doc_tokens") / tokens), "first"
-    ).select("row", "first")
-    size = table.agg(F.sum(F.ceil(F.col("doc_tokens") / tokens))).first()[0] or 0
+    table = _numbered(docs, path, end_id, tokens)
+    parts = table.groupBy("part").agg(F.max(F.col("before") + F.ceil(F.col("doc_tokens") / tokens)).alias("n"))
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row per task that wrote the table
+    parts = parts.select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"), "n")
+    size = parts.agg(F.max(F.col("base") + F.col("n"))).first()[0] or 0
     cut = (
-        table.join(counted, "row")
+        table.join(parts, "part")
         .withColumn("k", F.explode(F.expr(f"sequence(0L, (doc_tokens - 1) DIV {tokens})")))
         .select(
-            "doc_id", (F.col("k") * tokens).alias("start"), (F.col("first") + F.col("k")).alias("index"),
+            "doc_id", (F.col("k") * tokens).alias("start"),
+            (F.col("base") + F.col("before") + F.col("k")).alias("index"),
             F.least(F.lit(tokens).cast("long"), F.col("doc_tokens") - F.col("k") * tokens).alias("n"),
             F.expr(f"substring(ids, CAST(k * {tokens * width} + 1 AS INT), {tokens * width})").alias("ids"),
         )
@@ -94,13 +114,13 @@ def write_in_order(
             dtype=object,
         )
 
-    packed = F.pandas_udf(record, "binary")("slot", F.col("doc_id").cast("string"), "start", "n", "ids")
+    packed = F.pandas_udf(record, "binary")("slot", "doc_id", "start", "n", "ids")
     shards = max(1, -(-size // shard_slots))
     (
-        cut.select(F.expr(f"slot DIV {shard_slots}").alias("shard"), "slot", packed.cast("string").alias("value"))
-        .repartitionByRange(shards, "shard")
-        .sortWithinPartitions("shard", "slot")
-        .select("shard", "value")
+        cut.withColumn("shard", F.expr(f"slot DIV {shard_slots}"))
+        .repartitionById(shards, F.col("shard").cast("int"))  # ranges of slots: one task and one file a shard
+        .sortWithinPartitions("slot")
+        .select("shard", packed.cast("string").alias("value"))
         .write.partitionBy("shard")
         .option("lineSep", _END)
         .text(folder)

@@ -3,32 +3,66 @@
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from anticipa.llm import decontaminate, languages, secrets, simhash
 from anticipa.llm import queries as corpus
-from anticipa.llm import simhash
-from anticipa.llm.common import ship_code
+from anticipa.llm.common import columns_of, ship_code
 from anticipa.session import written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in one of the languages that the labelled ones teach; null texts and texts without a letter go."""
+    ship_code(spark)
+    judged = languages.identify(docs, languages.train(docs.select("text", "lang")), name="_language")
+    return judged.where(F.col("_language.lang_pred") != languages.UNKNOWN).select(*columns_of(docs))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group stays."""
+    ship_code(spark)
     return simhash.one_of_each_group(docs)
 
 
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without any window of a benchmark item. Hits depend on the text alone, so texts go by their digest."""
+    ship_code(spark)
+    texts = docs.select(F.md5(F.col("text").cast("binary")).alias("doc_id"), "text")
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    found = decontaminate.contamination(texts, benchmark).where("n_hit > 0").select(F.col("doc_id").alias("_hit")).distinct()
+    own = F.md5(F.col("text").cast("binary"))
+    return docs.join(written(found, "contaminated"), own == F.col("_hit"), "left_anti").select(*columns_of(docs))
+
+
+def redacted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every secret is replaced by a mark, and n_chars follows; the documents stay."""
+    found = secrets.with_spans(docs, name="_spans")
+    text = secrets.redacted(F.col("text"), F.col("_spans"))
+    changed = F.size("_spans") > 0
+    new = {"text": text, "n_chars": F.when(changed, F.length(text).cast("long")).otherwise(F.col("n_chars"))}
+    return found.select(*(new[c].alias(c) if c in new else column for c, column in zip(docs.columns, columns_of(docs))))
+
+
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship_code(spark)
     return corpus.packed_digest(docs)
 
 
-STAGES: list[tuple[str, Stage]] = [("simhash", near_duplicates), ("packing", packed)]
+STAGES: list[tuple[str, Stage]] = [
+    ("language", known_language),
+    ("simhash", near_duplicates),
+    ("decontaminate", decontaminated),
+    ("secrets", redacted),
+    ("packing", packed),
+]
 
-# Fingerprints, trained models and tokenizers have no SQL: tests hold the rows against a brute-force version.
+# Trained models, fingerprints and tokenizers have no SQL: tests hold the rows against a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ship_code(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
