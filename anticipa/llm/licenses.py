@@ -68,10 +68,14 @@ def _share(words: Column, start: Column, template: list[str]) -> Column:
     return hits / F.lit(float(len(template)))
 
 
+def _offset(template: list[str], phrase: list[str]) -> int:
+    return next(k for k in range(len(template)) if template[k : k + len(phrase)] == phrase)
+
+
 def _laid_share(places: Column, words: Column, template: list[str], mandatory: list[str], rare: list[int]) -> Column:
     """Best share of the template, laid where a posting of its rare words says and its mandatory phrase stands."""
     votes = F.flatten(F.array(*(_starts_by(places, template[k], k) for k in rare)))
-    offset = next(k for k in range(len(template)) if template[k : k + len(mandatory)] == mandatory)
+    offset = _offset(template, mandatory)
     laid = F.filter(F.array_distinct(votes), lambda s: _at(words, s + offset, mandatory))
     return F.array_max(F.transform(laid, lambda s: _share(words, s, template)))
 
@@ -80,7 +84,7 @@ def scan(docs: DataFrame, phrases=PHRASES, templates=TEMPLATES) -> DataFrame:
     """One row per document of `docs` (doc_id, text): doc_id, n_words, starts, base_labels, labels, score.
 
     The words of all phrases and templates are weighed by how many documents hold them. A file's postings (word, place)
-    are kept for the rarest words only: the rarest of each phrase, and `RARE_WORDS` of each template. A phrase's
+    are kept for the rarest words only: the rarest of each phrase, mandatory or not, and `RARE_WORDS` of each template. A phrase's
     starts are its rarest word's places, verified word by word. A template is laid where the postings of its
     rare words agree on a relative position; the label holds if its mandatory phrase stands there. score is the best
     share of a template's words found at their places, for a label that holds; 1 for base phrases, 0 without
@@ -97,7 +101,9 @@ def scan(docs: DataFrame, phrases=PHRASES, templates=TEMPLATES) -> DataFrame:
 
     rare_of = [min(range(len(p)), key=lambda k: rarity(p[k])) for p, _ in wanted]
     anchors = {
-        label: sorted(range(len(t)), key=lambda k: rarity(t[k]))[:RARE_WORDS] for label, (t, _) in named.items()
+        label: sorted(range(len(t)), key=lambda k: rarity(t[k]))[:RARE_WORDS]
+        + [_offset(t, m) + min(range(len(m)), key=lambda k: rarity(m[k]))]
+        for label, (t, m) in named.items()
     }
     posted = sorted({p[r] for (p, _), r in zip(wanted, rare_of)} | {named[l][0][k] for l, a in anchors.items() for k in a})
     numbered = F.zip_with("words", F.sequence(F.lit(0), F.size("words")), lambda w, i: F.struct(w.alias("w"), i.alias("i")))

@@ -11,6 +11,7 @@ from anticipa.llm import (
     kd_shards,
     languages,
     licenses,
+    oracles,
     packing,
     secrets,
     simhash,
@@ -136,4 +137,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracles.oracle_sql()
