@@ -21,8 +21,8 @@ _LONG_COUNTS = 2**31
 
 
 def rate_frequencies(invoices: DataFrame, *keys: str) -> DataFrame:
-    """Invoices per discount rate, within `keys`."""
-    return invoices.groupBy(*keys, "tasa_descuento").agg(F.count(F.lit(1)).alias("n"))
+    """Invoices per discount rate, within `keys`. Invoices without a rate count for no figure of rates."""
+    return invoices.where(F.col("tasa_descuento").isNotNull()).groupBy(*keys, "tasa_descuento").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _mode() -> Column:

@@ -15,6 +15,8 @@ minimum, and the copies meet their key's computed row in slices of about `_COPIE
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date
+from functools import reduce
+from operator import or_
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -49,11 +51,14 @@ def todays_rows(state: DataFrame, as_of: date) -> DataFrame:
 def _matched(computed: DataFrame, today: DataFrame, keys: Sequence[str], copies_per_slice: int) -> DataFrame:
     """Every row of today next to the computed row of its key, and the computed rows that have none.
 
-    Keys are never null, in the computed frame as in the table the merge itself writes. The computed frame is used
-    once, so its job is not run twice. Adds today's other columns as `_old_<name>` and the `action`.
+    Computed keys are never null. Rows of today with a null key, which another writer may have left, are kept. The
+    computed frame is used once, so its job is not run twice. Adds today's other columns as `_old_<name>` and the
+    `action`.
     """
     keys = list(keys)
     # Said of the keys themselves, so that both uses of the survivors below filter alike and share one shuffle.
+    some_null = reduce(or_, [F.col(key).isNull() for key in keys])
+    broken = today.where(some_null)
     for key in keys:
         today = today.where(F.col(key).isNotNull())
     survivors = today.groupBy(*keys).agg(
@@ -82,11 +87,15 @@ def _matched(computed: DataFrame, today: DataFrame, keys: Sequence[str], copies_
         .otherwise("delete")
     )
     # A slice that no row fell into leaves an unmatched row behind.
-    return (
+    matched = (
         per_slice.join(rows, [*keys, "_slice"], "left")
         .where(absent | F.col("_old_id").isNotNull())
         .withColumn("action", action)
     )
+    broken = broken.select(
+        *keys, *[F.col(c).alias(f"_old_{c}") for c in broken.columns if c not in keys], F.lit("keep").alias("action")
+    )
+    return matched.unionByName(broken, allowMissingColumns=True)
 
 
 def plan_merge(

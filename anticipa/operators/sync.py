@@ -3,7 +3,9 @@
 * id in both: update the target row with the smallest row id, delete its copies;
 * id only in the source: insert; id only in the target: delete all its rows;
 * id more than once in the source, or without the required email: a reject, so the surviving target row is kept as it
-  is.
+  is;
+* source rows without an id: rejects too. They may stand for any user, so while there are some, nobody is deleted;
+* target rows without a row id or user id: kept as they are.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -24,7 +26,7 @@ def _by_id(source: DataFrame) -> DataFrame:
 
 
 def _fault() -> Column:
-    return F.when(F.col("rows") > 1, "repeated id").when(F.col("email").isNull(), "missing email")
+    return F.when(F.col("id").isNull(), "missing id").when(F.col("rows") > 1, "repeated id").when(F.col("email").isNull(), "missing email")
 
 
 def rejected_users(source: DataFrame) -> DataFrame:
@@ -33,13 +35,22 @@ def rejected_users(source: DataFrame) -> DataFrame:
     return by_id.select("id", "rows", _fault().alias("reason")).where(F.col("reason").isNotNull())
 
 
+def _broken() -> Column:
+    return F.col("id_user_sb").isNull() | F.col("id").isNull()
+
+
 def plan_sync(source: DataFrame, target: DataFrame) -> DataFrame:
     """One row per affected row: user `id`, `target_id` (null on insert), `action` and the new values."""
-    target = target.where(F.col("id_user_sb").isNotNull() & F.col("id").isNotNull())
+    broken = target.where(_broken()).select(
+        F.col("id_user_sb").alias("id"), F.col("id").alias("target_id"), F.lit("keep").alias("action"),
+        *[F.lit(None).cast("string").alias(v) for v in _VALUES],
+    )
+    target = target.where(~_broken())
+    absent = "delete" if source.where(F.col("id").isNull()).isEmpty() else "keep"
     survivors = target.groupBy(F.col("id_user_sb").alias("id")).agg(F.min("id").alias("target_id"))
     both = _by_id(source).join(survivors, "id", "full")
     action = (
-        F.when(F.col("rows").isNull(), "delete")
+        F.when(F.col("rows").isNull(), absent)
         .when(_fault().isNotNull(), F.when(F.col("target_id").isNotNull(), "keep"))
         .when(F.col("target_id").isNull(), "insert")
         .otherwise("update")
@@ -56,12 +67,12 @@ def plan_sync(source: DataFrame, target: DataFrame) -> DataFrame:
     copies = rows.join(survivors, ["id", "target_id"], "left_anti").select(
         "id", "target_id", F.lit("delete").alias("action"), *[F.lit(None).cast("string").alias(v) for v in _VALUES]
     )
-    return decided.unionByName(copies)
+    return decided.unionByName(copies).unionByName(broken)
 
 
 def synced(actions: DataFrame, target: DataFrame) -> DataFrame:
     """The target's rows after the sync."""
-    live = actions.where(F.col("action") != "delete")
+    live = actions.where((F.col("action") == "insert") | (F.col("action") != "delete") & F.col("id").isNotNull() & F.col("target_id").isNotNull())
     old = target.select(
         F.col("id_user_sb").alias("id"), F.col("id").alias("target_id"), *[F.col(v).alias(f"_old_{v}") for v in _VALUES]
     )
@@ -70,7 +81,7 @@ def synced(actions: DataFrame, target: DataFrame) -> DataFrame:
         F.coalesce(F.col("target_id"), F.abs(F.shiftright(F.xxhash64("id"), 1))).alias("id"),
         F.col("id").alias("id_user_sb"),
         *[F.when(kept, F.col(f"_old_{v}")).otherwise(F.col(v)).alias(v) for v in _VALUES],
-    )
+    ).unionByName(target.where(_broken()).select("id", "id_user_sb", *_VALUES))
 
 
 def apply_sync(source: DataFrame, target: DataFrame, path: str) -> None:

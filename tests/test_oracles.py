@@ -8,8 +8,8 @@ import __spark_entry__ as entry
 from helpers import assert_equals_sql, connect
 
 FOLDERS = ["/root/testdata/sf0.001", "/root/testdata/sf0.01"]
-QUERIES = entry.queries()
-CHECKS = entry.oracle_sql()
+QUERIES = entry._own_queries()
+CHECKS = entry.sql_checks.all_checks()
 
 
 @pytest.fixture(scope="module", params=FOLDERS, ids=lambda f: Path(f).name)
