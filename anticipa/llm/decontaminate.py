@@ -15,6 +15,7 @@ WINDOW_WORDS = 10
 SEGMENT_WORDS = 500_000
 ANCHORS = 3
 WINDOW_BLOCK = 100_000
+BROADCAST_ROWS = 300_000
 # Byte by byte: A-Z to lower case, the other ASCII characters that are no letter or digit to spaces.
 _WORD_BYTES = bytes(
     b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256)
@@ -186,7 +187,10 @@ def _block_matches(spark, postings: DataFrame, windows: dict[int, list[str]]) ->
         [(i, [w[k] for k in order[ANCHORS:]]) for i, (w, order) in plans.items()], "window_id long, terms array<string>"
     )
     needed = met.join(F.broadcast(rest), "window_id").select("segment", F.explode("terms").alias("term")).distinct()
-    others = postings.drop("n").join(needed, ["segment", "term"])
+    needed = written(needed, "needed")
+    # Few postings are needed as a rule. Sent to the tasks if counted to be few, they spare the index a shuffle.
+    few = needed.count() <= BROADCAST_ROWS
+    others = postings.drop("n").join(F.broadcast(needed) if few else needed, ["segment", "term"])
 
     def verify(found: pd.DataFrame, batch: pd.DataFrame) -> pd.DataFrame:
         lists, rows = lists_of(batch), []

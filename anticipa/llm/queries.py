@@ -52,11 +52,10 @@ def op7_training_order(spark: SparkSession, folder: str) -> DataFrame:
     width = tokens.id_width(path)
     if not training_order.write_in_order(_read(spark, folder, "documents"), out, path, key=7):
         return spark.createDataFrame([], "doc_id long, start long, tokens long, slot long, shard long, ids_crc32 long")
-    read = training_order.read_in_order(spark, out, width)
+    read = training_order.read_in_order(spark, out, width, crc=True)
     return read.select(
         "doc_id", "start", "tokens", "slot",
-        F.expr(f"slot DIV {training_order.SHARD_SLOTS}").alias("shard"),
-        packing.ids_crc32(width)("ids").alias("ids_crc32"),
+        F.expr(f"slot DIV {training_order.SHARD_SLOTS}").alias("shard"), "ids_crc32",
     )
 
 

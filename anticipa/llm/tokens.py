@@ -10,16 +10,16 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-CACHED_WORDS = 800_000
-_CHARS_AT_ONCE = 3_000_000
+CACHED_WORDS = 400_000
+_CHARS_AT_ONCE = 1_500_000
 
 
 class WordCache:
     """Encodes texts word by word, each new word once.
 
     The tokenizer's pre-tokens never cross white space, so the ids of a text are those of its parts between spaces and
-    line breaks. Ids are kept as little-endian bytes of `dtype`. The cache holds at most `limit` words in two halves:
-    when the recent half is full it becomes the older one, which is then forgotten.
+    line breaks. Ids are kept as little-endian bytes of `dtype`. The cache is emptied when it holds over `limit`
+    words.
     """
 
     def __init__(self, path: str, limit: int = CACHED_WORDS):
@@ -32,11 +32,10 @@ class WordCache:
         for token, i in self.tokenizer.get_vocab().items():
             self.ends[i] = token.endswith("</w>")
         self.limit = limit
-        self.recent: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.cache: dict[str, bytes] = {}
 
-    def _learn(self, words: list[str]) -> dict[str, bytes]:
-        """Ids of new words, which go into the cache."""
+    def _learn(self, words: list[str]) -> None:
+        """Put new words into the cache."""
         plain, learnt, width = [w for w in words if w.isalpha()], {}, self.dtype.itemsize
         for k in range(0, len(plain), 256):  # letters only: one pre-token each, so whole runs can be encoded at once
             part = plain[k : k + 256]
@@ -48,10 +47,7 @@ class WordCache:
         rest = [w for w in words if w not in learnt]
         for word, found in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
             learnt[word] = np.array(found.ids, self.dtype).tobytes()
-        if len(self.recent) + len(learnt) > self.limit // 2:
-            self.older, self.recent = self.recent, {}
-        self.recent.update(learnt)
-        return learnt
+        self.cache.update(learnt)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as bytes."""
@@ -66,33 +62,28 @@ class WordCache:
         return out + self._encode(batch)
 
     def _encode(self, texts: list[str]) -> list[bytes]:
+        if len(self.cache) > self.limit:
+            self.cache.clear()
+        cache = self.cache
         split = [t.replace("\n", " ").split(" ") for t in texts]
-        known = dict.fromkeys(chain.from_iterable(split))
         # A word and the stops after it are separate pre-tokens; the tokenizer drops letter case itself.
-        parts, got, new, recent, older = [], {}, {}, self.recent, self.older
-        for word in known:
+        parts, wanted = [], {}
+        for word in {w for words in split for w in words if w not in cache}:
             body = word.rstrip(".,")
             if body.isalpha():
                 tail = word[len(body) :]
                 if body.isascii():
                     body = body.lower()
+                parts.append((word, body, tail))
+                wanted[tail] = None
             else:
-                body, tail = word, ""
-            parts.append((word, body, tail))
-            for p in (body, tail) if tail else (body,):
-                if p in got:
-                    continue
-                if (ids := recent.get(p)) is not None:
-                    got[p] = ids
-                elif (ids := older.get(p)) is not None:
-                    got[p] = recent[p] = ids
-                else:
-                    new[p] = None
-        if new:
-            got |= self._learn(list(new))
+                body = word
+            wanted[body] = None
+        if wanted:
+            self._learn([w for w in wanted if w not in cache])
         for word, body, tail in parts:
-            known[word] = got[body] + got[tail] if tail else got[body]
-        return [b"".join([known[w] for w in words]) for words in split]
+            cache[word] = cache[body] + cache[tail]
+        return [b"".join([cache[w] for w in words]) for words in split]
 
 
 @lru_cache(maxsize=2)

@@ -129,15 +129,22 @@ def write_in_order(
 
 
 def read_in_order(
-    spark: SparkSession, folder: str, width: int, tokens: int = SEQUENCE_TOKENS, shards: str = "*"
+    spark: SparkSession, folder: str, width: int, tokens: int = SEQUENCE_TOKENS, shards: str = "*", crc: bool = False
 ) -> DataFrame:
-    """The records of the shards: slot, doc_id, start, tokens, ids. `shards` picks some, for going on where one left."""
+    """The records of the shards: slot, doc_id, start, tokens, ids. `shards` picks some, for going on where one left.
+
+    With `crc` there is, instead of the ids, the CRC-32 of them as unsigned little-endian 32-bit values.
+    """
     stride = record_bytes(width, tokens)
 
     def rows(records: Iterator[bytes]):
+        head = struct.calcsize(_HEAD)
         for r in records:
             s, i, a, n, null = struct.unpack_from(_HEAD, r)
-            yield s, None if null else i, a, n, bytearray(r[struct.calcsize(_HEAD) : struct.calcsize(_HEAD) + n * width])
+            ids = r[head : head + n * width]
+            out = zlib.crc32(np.frombuffer(ids, f"<u{width}").astype("<u4").tobytes()) if crc else bytearray(ids)
+            yield s, None if null else i, a, n, out
 
     records = spark.sparkContext.binaryRecords(f"{folder}/shard={shards}", stride).mapPartitions(rows)
-    return spark.createDataFrame(records, "slot long, doc_id long, start long, tokens long, ids binary")
+    last = "ids_crc32 long" if crc else "ids binary"
+    return spark.createDataFrame(records, f"slot long, doc_id long, start long, tokens long, {last}")
