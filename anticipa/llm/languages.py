@@ -8,10 +8,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from anticipa.llm.tokens import worker_cache
+
 ORDER = 3
 SAMPLE_ROWS, MOST_CONTEXTS, LEAST_COUNT = 1500, 12_000, 4
 UNKNOWN = "und"
-_BYTES_AT_ONCE = 1 << 20
+_BYTES_AT_ONCE = 1 << 17
+_CONTEXTS_AT_ONCE = 512
 
 
 @dataclass
@@ -30,28 +33,15 @@ class Model:
 
     def scores(self, texts: list[str]) -> np.ndarray:
         """Code length in bits of every text under every language."""
-        data = [t.encode("utf-8", "surrogatepass") for t in texts]
         out = np.zeros((len(texts), len(self.languages)))
-        k = 0
-        while k < len(data):
-            stop, size = k, 0
-            while stop < len(data) and (stop == k or size + len(data[stop]) < _BYTES_AT_ONCE):
-                size += len(data[stop])
-                stop += 1
-            for i, part in self._parts(data[k:stop]):
-                out[k + i] += part
-            k = stop
-        return out
-
-    def _parts(self, data: list[bytes]) -> Iterator[tuple[int, np.ndarray]]:
-        padded = [b"\0" * ORDER + d for d in data]  # texts begin after zero bytes, in training too
-        for lo in range(0, len(padded)):
-            d = padded[lo]
-            for a in range(0, len(d) - ORDER, _BYTES_AT_ONCE):
-                piece = np.frombuffer(d[a : a + _BYTES_AT_ONCE + ORDER], np.uint8)
+        for i, text in enumerate(texts):
+            data = b"\0" * ORDER + text.encode("utf-8", "surrogatepass")  # texts begin after zero bytes, in training too
+            for a in range(0, len(data) - ORDER, _BYTES_AT_ONCE):
+                piece = np.frombuffer(data[a : a + _BYTES_AT_ONCE + ORDER], np.uint8)
                 context = (piece[:-3].astype(np.int32) << 16) | (piece[1:-2].astype(np.int32) << 8) | piece[2:-1]
                 cell = self.place[context].astype(np.int32) * 256 + piece[3:]
-                yield lo, self.flat[cell].sum(axis=0, dtype=np.float64)
+                out[i] += self.flat[cell].sum(axis=0, dtype=np.float64)
+        return out
 
     def prepare(self) -> "Model":
         """Every context of `ORDER` bytes gets the row of its longest kept suffix; done once in a worker."""
@@ -104,10 +94,13 @@ def build(grams: pd.DataFrame, contexts: int = MOST_CONTEXTS) -> Model:
     lang = grams["lang"].map(code).to_numpy(np.int64)
     gram, n = grams["gram"].to_numpy(np.int64), grams["n"].to_numpy(np.float64)
 
-    tables = []  # for each order: sorted contexts and counts[context, byte, language]
+    # Order -1 is uniform; each order escapes to the one below with the share of distinct bytes (method C).
+    keys: list[np.ndarray] = []
+    rows, bits, first = [], [], 0
+    probabilities: list[np.ndarray] = []  # of the orders that others escape to
     for o in range(ORDER + 1):
         context = gram >> 8 & ((1 << 8 * o) - 1)
-        keys, at = np.unique(context, return_inverse=True)
+        found, at = np.unique(context, return_inverse=True)
         total = np.bincount(at, n)
         if o:
             keep = total >= LEAST_COUNT
@@ -116,51 +109,40 @@ def build(grams: pd.DataFrame, contexts: int = MOST_CONTEXTS) -> Model:
                 keep &= total >= np.sort(total[keep])[-limit]
                 keep[np.flatnonzero(keep)[limit:]] = False
         else:
-            keep = np.ones(len(keys), bool)
+            keep = np.ones(len(found), bool)
         new = np.cumsum(keep) - 1
         counts = np.zeros((int(keep.sum()), 256, width), np.float32)
         own = keep[at]
         np.add.at(counts, (new[at[own]], gram[own] & 255, lang[own]), n[own])
-        tables.append((keys[keep], counts))
-
-    # Order -1 is uniform; each order escapes to the one below with the share of distinct bytes (method C).
-    below = np.full((1, 256, width), 1 / 256)
-    keys, rows, bits, first = [], [], [], 0
-    parents = np.zeros(1, np.int64)
-    probabilities: list[np.ndarray] = []
-    for o, (key, counts) in enumerate(tables):
-        if o:
-            up_keys = tables[o - 1][0]
-            shorter = key & ((1 << 8 * (o - 1)) - 1)
-            at = np.searchsorted(up_keys, shorter)
-            at = np.minimum(at, len(up_keys) - 1)
-            found = up_keys[at] == shorter
-            base = np.empty((len(key), 256, width))
-            base[found] = probabilities[o - 1][at[found]]
-            for i in np.flatnonzero(~found):
-                base[i] = _longest(tables, probabilities, int(shorter[i]), o - 1)
-        else:
-            base = below
-        total, kinds = counts.sum(axis=1), (counts > 0).sum(axis=1)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            escape = np.where(total > 0, kinds / (total + kinds), 1.0)[:, None, :]
-            seen = np.where(total > 0, 1 / (total + kinds), 0.0)[:, None, :]
-        p = counts * seen + escape * base
-        probabilities.append(p)
+        key = found[keep]
+        if o < ORDER:
+            probabilities.append(np.empty(counts.shape))
+        for a in range(0, len(key), _CONTEXTS_AT_ONCE):  # in parts, as the driver holds little
+            part = slice(a, a + _CONTEXTS_AT_ONCE)
+            base = np.array([_below(keys, probabilities, int(k), o - 1, width) for k in key[part]])
+            sums, kinds = counts[part].sum(axis=1), (counts[part] > 0).sum(axis=1)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                escape = np.where(sums > 0, kinds / (sums + kinds), 1.0)[:, None, :]
+                seen = np.where(sums > 0, 1 / (sums + kinds), 0.0)[:, None, :]
+            p = counts[part] * seen + escape * base
+            if o < ORDER:
+                probabilities[o][part] = p
+            counts[part] = -np.log2(p)
         keys.append(key)
         rows.append(np.arange(first, first + len(key)))
-        bits.append((-np.log2(p)).astype(np.float32))
+        bits.append(counts)
         first += len(key)
     return Model(languages, keys, rows, np.concatenate(bits))
 
 
-def _longest(tables, probabilities, context: int, order: int) -> np.ndarray:
+def _below(keys, probabilities, context: int, order: int, width: int) -> np.ndarray:
+    """Probabilities after the longest kept suffix of `context` of at most `order` bytes."""
     for o in range(order, -1, -1):
         key = context & ((1 << 8 * o) - 1)
-        at = np.searchsorted(tables[o][0], key)
-        if at < len(tables[o][0]) and tables[o][0][at] == key:
+        at = np.searchsorted(keys[o], key)
+        if at < len(keys[o]) and keys[o][at] == key:
             return probabilities[o][at]
-    raise AssertionError("order 0 is always there")
+    return np.full((256, width), 1 / 256)
 
 
 def predicted(model: Model, texts: list[str | None]) -> tuple[list[str], list[float]]:
@@ -188,6 +170,7 @@ def identify(docs: DataFrame, model: Model | None, text: str = "text", name: str
 
     @F.pandas_udf("lang_pred string, score double")
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        worker_cache.cache_clear()  # of a stage before this one in the same worker: the model needs the room
         ready = frozen.value.prepare()
         for texts in batches:
             langs, scores = predicted(ready, texts.tolist())
