@@ -16,15 +16,6 @@ from . import sources
 from .plans import JOBS, refresh, refresh_all, rejects
 from .sources import Table
 
-# Which reader serves each input a job names; flat items come out of the nested feed.
-_READERS = {
-    "invoices": sources.invoices,
-    "annexes": sources.annexes,
-    "annex_feed": sources.annex_feed,
-    "clients": sources.clients,
-}
-
-
 def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="anticipa", description=__doc__)
     parser.add_argument("--tables", required=True, help="JSON file that says where the tables lie")
@@ -37,6 +28,7 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     run.add_argument("--rejects", help="also write the rows left out, as JSON with the reason, to this new folder")
     sync = commands.add_parser("sync", help="write a new copy of the users target that equals the source")
     sync.add_argument("--out", required=True, help="folder for the synced table; must not exist")
+    sync.add_argument("--rejects", help="also write the ids left alone, as JSON with the reason, to this new folder")
     return parser.parse_args(argv)
 
 
@@ -47,10 +39,12 @@ def main(argv: Sequence[str] | None = None) -> dict[str, dict[str, int]]:
     if args.command == "sync":
         # A row without a readable id could belong to any target row, so nothing may be deleted on its account.
         users = op.enforce_contract(sources.users(spark, tables["users"]), ("id",))
-        op.apply_sync(users, sources.users_target(spark, tables["users_target"]), args.out)
-        return {}
+        done = {"sync": op.apply_sync(users, sources.users_target(spark, tables["users_target"]), args.out)}
+        if args.rejects:
+            op.rejected_users(users).write.json(args.rejects)
+        return done
     as_of = args.as_of or datetime.now(timezone.utc).date()
-    inputs = {name: reader(spark, tables[name]) for name, reader in _READERS.items() if name in tables}
+    inputs = sources.read_all(spark, tables)
     whole = "all" in args.jobs
     if args.rejects:
         for job in [j for j in JOBS if not j.endswith(("_all", "_by_client"))] if whole else args.jobs:

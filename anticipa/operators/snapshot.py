@@ -6,7 +6,8 @@ For one day and a natural key (analysis id, and the bucket or rate where the tab
 * key computed and present: of its rows, the one with the smallest id is updated and keeps its `created_at`; the other
   copies are deleted;
 * key only computed: inserted;
-* key only present: all its rows are kept.
+* key only present: all its rows are kept, unless the table names an owner of groups (`replaced`) and the owner was
+  computed anew: then the rows are groups it no longer has, and are deleted.
 
 Copies of one key may be many, so they are never brought together whole: the surviving id is a map-side combined
 minimum, and the copies meet their key's computed row in slices of about `_COPIES_PER_SLICE` rows.
@@ -23,6 +24,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import day_window
+from ..session import written
 
 _COPIES_PER_SLICE = 100_000
 
@@ -34,6 +36,7 @@ class Dashboard:
     name: str
     keys: tuple[str, ...]
     measures: tuple[str, ...]
+    replaced: tuple[str, ...] = ()
 
     @property
     def columns(self) -> tuple[str, ...]:
@@ -48,14 +51,18 @@ def todays_rows(state: DataFrame, as_of: date) -> DataFrame:
     return state.where(day_window(F.col("created_at"), as_of))
 
 
-def _matched(computed: DataFrame, today: DataFrame, keys: Sequence[str], copies_per_slice: int) -> DataFrame:
+def _matched(
+    computed: DataFrame, today: DataFrame, keys: Sequence[str], copies_per_slice: int, replaced: Sequence[str] = ()
+) -> DataFrame:
     """Every row of today next to the computed row of its key, and the computed rows that have none.
 
     Computed keys are never null. Rows of today with a null key, which another writer may have left, are kept. The
     computed frame is used once, so its job is not run twice. Adds today's other columns as `_old_<name>` and the
-    `action`.
+    `action`. With `replaced` the computed frame is used twice, so it is written to the shared folder first.
     """
     keys = list(keys)
+    if replaced:
+        computed = written(computed, "computed")
     # Said of the keys themselves, so that both uses of the survivors below filter alike and share one shuffle.
     some_null = reduce(or_, [F.col(key).isNull() for key in keys])
     broken = today.where(some_null)
@@ -81,7 +88,7 @@ def _matched(computed: DataFrame, today: DataFrame, keys: Sequence[str], copies_
         *keys, slice_of.alias("_slice"), *[F.col(c).alias(f"_old_{c}") for c in today.columns if c not in keys]
     )
     action = (
-        F.when(F.col("_computed").isNull(), "keep")
+        F.when(F.col("_computed").isNull(), F.when(F.col("_anew"), "delete").otherwise("keep"))
         .when(absent, "insert")
         .when(F.col("_old_id") == F.col("_survivor"), "update")
         .otherwise("delete")
@@ -90,8 +97,13 @@ def _matched(computed: DataFrame, today: DataFrame, keys: Sequence[str], copies_
     matched = (
         per_slice.join(rows, [*keys, "_slice"], "left")
         .where(absent | F.col("_old_id").isNotNull())
-        .withColumn("action", action)
     )
+    if replaced:
+        owners = computed.select(*replaced).distinct().withColumn("_anew", F.lit(True))
+        matched = matched.join(owners, list(replaced), "left")
+    else:
+        matched = matched.withColumn("_anew", F.lit(False))
+    matched = matched.withColumn("action", action).drop("_anew")
     broken = broken.select(
         *keys, *[F.col(c).alias(f"_old_{c}") for c in broken.columns if c not in keys], F.lit("keep").alias("action")
     )
@@ -99,11 +111,15 @@ def _matched(computed: DataFrame, today: DataFrame, keys: Sequence[str], copies_
 
 
 def plan_merge(
-    computed: DataFrame, today: DataFrame, keys: Sequence[str], copies_per_slice: int = _COPIES_PER_SLICE
+    computed: DataFrame,
+    today: DataFrame,
+    keys: Sequence[str],
+    copies_per_slice: int = _COPIES_PER_SLICE,
+    replaced: Sequence[str] = (),
 ) -> DataFrame:
     """One row per affected table row: `id` (null on insert), the computed columns, and the `action`."""
     values = [c for c in computed.columns if c not in keys]
-    matched = _matched(computed, today, keys, copies_per_slice)
+    matched = _matched(computed, today, keys, copies_per_slice, replaced)
     return matched.select(F.col("_old_id").alias("id"), *keys, *values, "action")
 
 
@@ -123,7 +139,7 @@ def _merged_rows(computed: DataFrame, today: DataFrame, dashboard: Dashboard, as
     }
     if "cliente" not in keys:
         columns["cliente"] = F.when(new, F.col("cliente")).otherwise(F.col("_old_cliente"))
-    matched = _matched(computed, today, keys, _COPIES_PER_SLICE)
+    matched = _matched(computed, today, keys, _COPIES_PER_SLICE, dashboard.replaced)
     return matched.select(*[columns.get(c, F.col(c)).alias(c) for c in dashboard.columns], "action")
 
 

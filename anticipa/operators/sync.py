@@ -8,7 +8,7 @@
 * target rows without a row id or user id: kept as they are.
 """
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 _VALUES = ("email", "status", "license_plates")
@@ -84,6 +84,12 @@ def synced(actions: DataFrame, target: DataFrame) -> DataFrame:
     ).unionByName(target.where(_broken()).select("id", "id_user_sb", *_VALUES))
 
 
-def apply_sync(source: DataFrame, target: DataFrame, path: str) -> None:
-    """Write the synced table to a new `path`; the old table stays as it was until readers move on."""
-    synced(plan_sync(source, target), target).write.mode("errorifexists").parquet(path)
+def apply_sync(source: DataFrame, target: DataFrame, path: str) -> dict[str, int]:
+    """Write the synced table to a new `path` and return how many rows each action touched.
+
+    The old table stays as it was until readers move on.
+    """
+    counts = [F.count_if(F.col("action") == a).alias(a) for a in ("insert", "update", "delete", "keep")]
+    seen = Observation()
+    synced(plan_sync(source, target).observe(seen, *counts), target).write.mode("errorifexists").parquet(path)
+    return dict(seen.get)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .. import operators as op
 from ..operators import Dashboard
-from ..schemas import REQUIRED
+from ..schemas import CORRUPT, REQUIRED
 from ..session import written
 
 Inputs = Mapping[str, DataFrame]
@@ -30,8 +30,11 @@ DASHBOARDS = {
         Dashboard("indicadores_dias_credito_dashboard", ("id_analisis",), ("dias_promedio",)),
         Dashboard("grafica_total_facturado_x_condicion_pago", ("id_analisis", "dias"), ("total_facturado",)),
         Dashboard("grafica_clientes_x_condicion_pago", ("id_analisis", "dias"), ("no_clientes",)),
-        # A client may have invoices under several names; the name is part of the key so that all groups stay.
-        Dashboard("parreto_clientes_comision", ("id_analisis", "cliente", "tasa_cliente"), ("importe",)),
+        # A client may have invoices under several names; the name is part of the key so that all groups stay. A client
+        # computed anew loses the groups it no longer has: after a rename nothing counts twice.
+        Dashboard(
+            "parreto_clientes_comision", ("id_analisis", "cliente", "tasa_cliente"), ("importe",), ("id_analisis",)
+        ),
     )
 }
 
@@ -170,17 +173,28 @@ def _table(inputs: Inputs, table: str, strict: bool) -> DataFrame:
     return op.annex_items(_accept(inputs["annex_feed"], (), strict))
 
 
+def _own_fields(rows: DataFrame, required: tuple[str, ...]) -> DataFrame:
+    """Only what the job uses. Whether JSON text is unreadable depends on the fields read: both sides read the same."""
+    return rows.select(*required, *[CORRUPT for c in rows.columns if c == CORRUPT])
+
+
 def compute(name: str, inputs: Inputs, as_of: date, strict: bool = False) -> DataFrame:
     """The job's result over the rows that keep the contract; with `strict`, a bad row fails the job."""
     job = JOBS[name]
-    tables = [_accept(_table(inputs, table, strict), required, strict) for table, required in job.reads.items()]
+    tables = [
+        _accept(_own_fields(_table(inputs, table, strict), required), required, strict)
+        for table, required in job.reads.items()
+    ]
     return job.compute(*tables, as_of)
 
 
 def rejects(name: str, inputs: Inputs) -> dict[str, DataFrame]:
-    """Rows of each input that the job leaves out, with the reason."""
+    """Rows of each input that the job leaves out: its own fields and the reason."""
     reads = JOBS[name].reads
-    left_out = {t: op.split_contract(_table(inputs, t, False), required)[1] for t, required in reads.items()}
+    left_out = {
+        t: op.split_contract(_own_fields(_table(inputs, t, False), required), required)[1]
+        for t, required in reads.items()
+    }
     if "annex_items" in reads:
         left_out["annex_feed"] = op.split_contract(inputs["annex_feed"], ())[1]
     return left_out

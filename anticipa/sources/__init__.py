@@ -1,5 +1,5 @@
 """Typed table readers."""
 
-from .tables import Table, annex_feed, annexes, clients, invoices, read, users, users_target
+from .tables import Table, annex_feed, annexes, clients, invoices, read, read_all, users, users_target
 
-__all__ = ["Table", "annex_feed", "annexes", "clients", "invoices", "read", "users", "users_target"]
+__all__ = ["Table", "annex_feed", "annexes", "clients", "invoices", "read", "read_all", "users", "users_target"]

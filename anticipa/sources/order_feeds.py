@@ -230,6 +230,21 @@ def credit_days_state(spark: SparkSession, folder: str) -> DataFrame:
     return first.unionByName(again).unionByName(vanished[0]).unionByName(vanished[1])
 
 
+def pareto_state(spark: SparkSession, folder: str) -> DataFrame:
+    """Today's Pareto groups: of each customer one under its former name, and one at a rate it may no longer have."""
+    customer = _table(spark, folder, "customer")
+    key = F.col("c_custkey") * 2
+
+    def groups(row: Column, name: Column, rate: Column) -> DataFrame:
+        return customer.select(
+            row.alias("id"), F.concat(F.lit(CLIENT_PREFIX), key).alias("id_analisis"), name.alias("cliente"),
+            rate.alias("tasa_cliente"), F.lit(-1).cast("decimal(28,4)").alias("importe"),
+        )
+
+    former = groups(key, F.col("c_name"), F.lit(3))
+    return former.unionByName(groups(key + 1, F.concat(F.lit("Cliente "), key), F.col("c_nationkey")))
+
+
 def billed_by_term_state(spark: SparkSession, folder: str) -> DataFrame:
     """An earlier chart table: one row per order, its priority standing for a bucket, so most keys have copies."""
     labels = [label for label, *_ in TERM_BUCKETS]

@@ -75,3 +75,12 @@ def users(spark: SparkSession, table: Table) -> DataFrame:
 
 def users_target(spark: SparkSession, table: Table) -> DataFrame:
     return read(spark, table, schemas.USERS_TARGET)
+
+
+# Which reader serves each input a job names; flat items come out of the nested feed.
+_READERS = {"invoices": invoices, "annexes": annexes, "annex_feed": annex_feed, "clients": clients}
+
+
+def read_all(spark: SparkSession, tables: Mapping[str, Table]) -> dict[str, DataFrame]:
+    """The inputs of the jobs, as far as `tables` says where they lie."""
+    return {name: reader(spark, tables[name]) for name, reader in _READERS.items() if name in tables}

@@ -97,9 +97,22 @@ grafica_nuevo AS (
   SELECT CONCAT('CLIENTE-', c.cliente_id) AS id_analisis, MIN(c.nombre_fiscal) AS cliente, t.dias,
          CAST(COALESCE(SUM(cant_comision), 0) AS DECIMAL(28,4)) AS total_facturado
   FROM cliente c CROSS JOIN tramo t LEFT JOIN item_cliente i ON i.dias = t.dias AND i.cliente_id = c.cliente_id
-  GROUP BY c.cliente_id, t.dias)
+  GROUP BY c.cliente_id, t.dias),
+pareto_nuevo AS (
+  SELECT CONCAT('CLIENTE-', f.cliente_id) AS id_analisis, f.nombre_fiscal AS cliente, f.tasa_descuento AS tasa_cliente,
+         CAST(SUM(cant_comision) AS DECIMAL(28,4)) AS importe
+  FROM factura f WHERE EXISTS (SELECT 1 FROM cliente c WHERE c.cliente_id = f.cliente_id)
+  GROUP BY f.cliente_id, f.nombre_fiscal, f.tasa_descuento),
+pareto_hoy AS (
+  SELECT c_custkey * 2 AS id, CONCAT('CLIENTE-', c_custkey * 2) AS id_analisis, c_name AS cliente, 3 AS tasa_cliente
+  FROM customer
+  UNION ALL
+  SELECT c_custkey * 2 + 1, CONCAT('CLIENTE-', c_custkey * 2), CONCAT('Cliente ', c_custkey * 2), c_nationkey FROM customer)
 """
 
+# Jobs that are also run through the input contract.
+JOBS = ("rate_indicators", "annex_indicators", "credit_days", "billed_by_term", "clients_by_term", "pareto_client_commission")
+
 _RATES = """MIN(tasa_descuento) AS tasa_minima, MAX(tasa_descuento) AS tasa_maxima, AVG(tasa_descuento) AS media"""
 
 _STATUS = """COUNT(CASE WHEN created_on = DATE '2001-08-01' THEN 1 END) AS generados,
@@ -176,6 +189,23 @@ FROM cruce WHERE action <> 'delete'""",
   CASE WHEN action = 'keep' THEN dias_antes ELSE dias_promedio END AS dias_promedio,
   CAST(COALESCE(created_at, TIMESTAMP '2001-08-01 00:00:00') AS VARCHAR) AS created_at
 FROM dias_cruce WHERE action <> 'delete'""",
+    "snapshot_merge_plan_pareto": """SELECT h.id, COALESCE(n.id_analisis, h.id_analisis) AS id_analisis,
+  COALESCE(n.cliente, h.cliente) AS cliente, COALESCE(n.tasa_cliente, h.tasa_cliente) AS tasa_cliente, n.importe,
+  CASE WHEN h.id IS NULL THEN 'insert' WHEN n.id_analisis IS NOT NULL THEN 'update'
+       WHEN h.id_analisis IN (SELECT id_analisis FROM pareto_nuevo) THEN 'delete' ELSE 'keep' END AS action
+FROM pareto_nuevo n FULL OUTER JOIN pareto_hoy h
+ON h.id_analisis = n.id_analisis AND h.cliente = n.cliente AND h.tasa_cliente = n.tasa_cliente""",
+    "scan_invoices": """SELECT l_orderkey AS factura_id, l_suppkey AS cliente_id, l_returnflag AS nombre_fiscal,
+  CAST(NULL AS DECIMAL(18,4)) AS cant_comision, l_linenumber AS tasa_descuento, CAST(NULL AS INT) AS dias_pago,
+  CAST(NULL AS VARCHAR) AS created_at FROM lineitem""",
+    "scan_annexes": """SELECT o_orderkey AS anexo_id, o_custkey AS cliente_id, o_orderpriority AS estatus,
+  CAST(NULL AS INT) AS estatus_id, o_orderstatus AS created_at, CAST(NULL AS DATE) AS created_on FROM orders""",
+    "scan_clients": "SELECT c_custkey AS cliente_id, c_name AS nombre_fiscal FROM customer",
+    "scan_users": """SELECT c_name AS id, c_mktsegment AS email, CAST(NULL AS VARCHAR) AS status,
+  CAST(NULL AS VARCHAR) AS license_plates FROM customer""",
+    "scan_users_target": """SELECT p_partkey AS id, p_name AS id_user_sb, p_brand AS email, p_type AS status,
+  CAST(NULL AS VARCHAR) AS license_plates FROM part""",
+    "preview_size": "SELECT LEAST(COUNT(*), 10) AS n FROM lineitem",
     "snapshot_merge_plan_terms": """SELECT h.id, COALESCE(n.id_analisis, h.id_analisis) AS id_analisis, COALESCE(n.dias, h.dias) AS dias,
   n.cliente, n.total_facturado,
   CASE WHEN h.id IS NULL THEN 'insert' WHEN n.id_analisis IS NULL THEN 'keep' WHEN h.rn = 1 THEN 'update' ELSE 'delete' END AS action
@@ -213,5 +243,6 @@ def all_checks() -> dict[str, str]:
     }
     both |= {name: both[other] for name, other in _SAME.items()}
     both["pareto_of_groups"] = _QUERIES["pareto_client_commission"]
+    both |= {f"job_{name}": both.get(name) or _QUERIES[name] for name in JOBS}
     return {name: f"{_FEEDS.strip()}\n{sql}" for name, sql in {**_QUERIES, **both}.items()}
 

@@ -64,6 +64,8 @@ def test_sync(spark, tmp_path):
         users=put(tmp_path, "users", {"id": "a", "email": "a@x"}, {"id": "b", "email": None}, {"id": "c", "email": "c@x", "status": "on"}),
         users_target=put(tmp_path, "target", {"id": 1, "id_user_sb": "a", "email": "old"}, {"id": 3, "id_user_sb": "b", "email": "kept"}, {"id": 2, "id_user_sb": "z", "email": "z"}),
     )
-    main(["--tables", where, "sync", "--out", str(tmp_path / "synced")])
+    done = main(["--tables", where, "sync", "--out", str(tmp_path / "synced"), "--rejects", str(tmp_path / "left")])
+    assert done == {"sync": {"insert": 1, "update": 1, "delete": 1, "keep": 1}}
+    assert [(r.id, r.reason) for r in spark.read.json(str(tmp_path / "left")).collect()] == [("b", "missing email")]
     got = spark.read.parquet(str(tmp_path / "synced")).select("id_user_sb", "email", "status")
     assert rows(got) == [("a", "a@x", None), ("b", "kept", None), ("c", "c@x", "on")]

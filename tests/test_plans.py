@@ -61,6 +61,13 @@ def test_combined_frames_share_the_facts(spark, conf, name):
     assert "ReusedExchange" in final_plan(QUERIES[name](spark, FOLDER))
 
 
+@pytest.mark.parametrize("name", ["billed_by_term_by_client", "clients_by_term_by_client", "billed_by_term", "clients_by_term"])
+def test_charts_shuffle_items_once(spark, conf, name):
+    conf(autoBroadcastJoinThreshold="-1")
+    plan = final_plan(QUERIES[name](spark, FOLDER))
+    assert re.search(r"hashpartitioning\(cliente_id#\d+L?, \d+\)", plan) and not re.search(r"hashpartitioning\(cliente_id#\d+L?, dias", plan)
+
+
 def test_scan_reads_only_what_is_asked(spark):
     plan = final_plan(QUERIES["credit_days_all"](spark, FOLDER))
     assert "ReadSchema: struct<l_quantity:double,l_discount:double>" in plan

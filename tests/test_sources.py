@@ -73,6 +73,23 @@ def test_nested_feed(spark, tmp_path):
     assert [r.reason for r in plans.rejects("billed_by_term_all", inputs)["annex_items"].collect()] == ["missing dias_pago"]
 
 
+def test_accepted_and_rejected_rows_are_complements(spark, tmp_path):
+    """A bad field makes a row a reject of just the jobs that use the field, and fails only those in strict form."""
+    invoices = write_lines(
+        tmp_path / "invoices", GOOD, {**GOOD, "dias_pago": 60, "cant_comision": "bad"}, {**GOOD, "dias_pago": "soon", "tasa_descuento": 9}
+    )
+    inputs = {"invoices": sources.invoices(spark, invoices)}
+
+    def left_out(job):
+        return [r.reason for r in plans.rejects(job, inputs)["invoices"].collect()]
+
+    assert plans.compute("credit_days_all", inputs, None).first().dias_promedio == 45.0 and left_out("credit_days_all") == ["unreadable"]
+    assert plans.compute("rate_indicators_all", inputs, None).first().media == 5.0 and left_out("rate_indicators_all") == []
+    assert plans.compute("rate_indicators_all", inputs, None, strict=True).count() == 1
+    with pytest.raises(PySparkException, match="input contract broken"):
+        plans.compute("credit_days_all", inputs, None, strict=True).collect()
+
+
 def test_unreadable_annexes_are_rejects(spark, tmp_path):
     item = {"cant_comision": 1, "dias_pago": 5, "fecha_registro": "2024-01-01"}
     annex = {"anexo_id": 1, "cliente_id": 5, "jsonb_agg": [item]}

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from anticipa import operators as op
 from anticipa import schemas
 from anticipa.plans import DASHBOARDS, JOBS, compute, refresh, refresh_all
+from anticipa.sources import Table
 from anticipa.sources import order_feeds as feeds
 from anticipa.streaming import refresh_on_arrival
 from helpers import final_plan, rows
@@ -121,6 +122,18 @@ def test_pareto_keeps_every_rate_and_name(spark, tmp_path):
     assert rows(spark.read.parquet(path).select(*computed.columns)) == rows(computed)
 
 
+def test_a_renamed_client_does_not_count_twice(spark, tmp_path):
+    dashboard = DASHBOARDS["parreto_clientes_comision"]
+    path = str(tmp_path / "t")
+    schema = "id_analisis string, cliente string, tasa_cliente int, importe decimal(28,4)"
+    before = [("CLIENTE-1", "Old", 1, Decimal(5)), ("CLIENTE-1", "Old", 2, Decimal(6)), ("CLIENTE-2", "Z", 1, Decimal(7))]
+    after = [("CLIENTE-1", "New", 1, Decimal(5)), ("CLIENTE-1", "New", 2, Decimal(6))]
+    op.apply_merge(spark, spark.createDataFrame(before, schema), dashboard, path, D1)
+    done = op.apply_merge(spark, spark.createDataFrame(after, schema), dashboard, path, D1)
+    assert done == {"insert": 2, "update": 0, "delete": 2, "keep": 1}
+    assert rows(spark.read.parquet(path).select(*schema.replace(",", " ").split()[0:6:2], "importe")) == sorted(after + before[2:])
+
+
 @pytest.fixture(scope="module")
 def inputs(spark):
     return {
@@ -248,22 +261,27 @@ def test_sync_into_an_empty_target(spark):
     assert rows(op.plan_sync(source, spark.createDataFrame([], TARGET))) == [("a", None, "insert", "a@x", None, None)]
 
 
-def test_refresh_on_arrival(spark, tmp_path, inputs):
+def test_refresh_on_arrival(spark, tmp_path):
+    """Arrived rows change the figure: the inputs are read anew for each batch."""
     arrivals, out, name = str(tmp_path / "arrivals"), str(tmp_path / "out"), f"annexes-{uuid4()}"
+    annexes = spark.range(3).select(
+        F.col("id").alias("anexo_id"), F.lit(1).cast("long").alias("cliente_id"), F.lit("s").alias("estatus"),
+        F.lit(4).alias("estatus_id"), F.lit("2001-08-01T00:00:00Z").alias("created_at"),
+    )
     done = []
 
-    def run():
-        done.append(refresh(spark, "annex_indicators_all", inputs, out, feeds.AS_OF))
+    def run(found):
+        done.append(refresh(spark, "annex_indicators_all", found, out, feeds.AS_OF))
 
     def trigger():
-        stream = spark.readStream.schema("anexo_id long").parquet(arrivals)
-        refresh_on_arrival(stream, run, name, once=True).awaitTermination()
+        stream = spark.readStream.schema(schemas.ANNEXES).parquet(arrivals)
+        tables = {"annexes": Table(arrivals)}
+        refresh_on_arrival(stream, tables, run, name, once=True).awaitTermination()
+        return [r.pagados for r in spark.read.parquet(f"{out}/indicadores_anexos_dashboard").collect()]
 
-    spark.range(3).toDF("anexo_id").write.parquet(arrivals)
-    trigger()
+    annexes.write.parquet(arrivals)
+    assert trigger() == [3] and trigger() == [3]
     assert [d["insert"] for d in done] == [1]
-    trigger()
-    assert len(done) == 1
-    spark.range(2).toDF("anexo_id").write.mode("append").parquet(arrivals)
-    trigger()
+    annexes.limit(2).write.mode("append").parquet(arrivals)
+    assert trigger() == [5]
     assert [d["update"] for d in done] == [0, 1]
