@@ -3,47 +3,57 @@
 import os
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from string import punctuation
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-CACHED_WORDS = 400_000
+CACHED_WORDS = 300_000
+ROWS_AT_ONCE = 1000  # texts of a batch that are Python strings at a time
 _CHARS_AT_ONCE = 1_500_000
+_SIMPLE = "\u0130"  # letters before this one are single code points in normal form with one lower-case letter each
 
 
 class WordCache:
     """Encodes texts word by word, each new word once.
 
     The tokenizer's pre-tokens never cross white space, so the ids of a text are those of its parts between spaces and
-    line breaks. Ids are kept as little-endian bytes of `dtype`. The cache is emptied when it holds over `limit`
-    words.
+    line breaks; letters and the punctuation after them are separate pre-tokens too. Ids are kept as little-endian
+    bytes of `dtype`. The cache is emptied when it holds over `limit` parts.
     """
 
     def __init__(self, path: str, limit: int = CACHED_WORDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
         for token, i in self.tokenizer.get_vocab().items():
             self.ends[i] = token.endswith("</w>")
+        # For words of simple letters in lower case, which normal forms and patterns leave whole.
+        bytes_of = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.simple = normalizers.Sequence([]), pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), bytes_of])
+        self.whole = self.tokenizer.normalizer, self.tokenizer.pre_tokenizer
         self.limit = limit
-        self.cache: dict[str, bytes] = {}
+        self.cache: dict[str, bytes] = {"": b""}
 
     def _learn(self, words: list[str]) -> None:
         """Put new words into the cache."""
-        plain, learnt, width = [w for w in words if w.isalpha()], {}, self.dtype.itemsize
-        for k in range(0, len(plain), 256):  # letters only: one pre-token each, so whole runs can be encoded at once
-            part = plain[k : k + 256]
-            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids)
-            stops = np.flatnonzero(self.ends[ids]) + 1
-            if len(stops) == len(part) and stops[-1] == len(ids):
-                raw, stops = ids.astype(self.dtype).tobytes(), (stops * width).tolist()
-                learnt.update((word, raw[a:b]) for word, a, b in zip(part, [0, *stops], stops))
+        letters, learnt, width = [w for w in words if w.isalpha()], {}, self.dtype.itemsize
+        simple = [w for w in letters if w.isascii() or max(w) < _SIMPLE]
+        other = [w for w in letters if max(w) >= _SIMPLE]
+        for steps, plain in ((self.simple, simple), (self.whole, other)):
+            self.tokenizer.normalizer, self.tokenizer.pre_tokenizer = steps
+            for k in range(0, len(plain), 256):  # one pre-token each, so whole runs can be encoded at once
+                part = plain[k : k + 256]
+                ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids)
+                stops = np.flatnonzero(self.ends[ids]) + 1
+                if len(stops) == len(part) and stops[-1] == len(ids):
+                    raw, stops = ids.astype(self.dtype).tobytes(), (stops * width).tolist()
+                    learnt.update((word, raw[a:b]) for word, a, b in zip(part, [0, *stops], stops))
         rest = [w for w in words if w not in learnt]
         for word, found in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
             learnt[word] = np.array(found.ids, self.dtype).tobytes()
@@ -63,26 +73,22 @@ class WordCache:
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         if len(self.cache) > self.limit:
-            self.cache.clear()
+            self.cache = {"": b""}
         cache = self.cache
         split = [t.replace("\n", " ").split(" ") for t in texts]
-        # A word and the stops after it are separate pre-tokens; the tokenizer drops letter case itself.
-        parts, wanted = [], {}
-        for word in {w for words in split for w in words if w not in cache}:
-            body = word.rstrip(".,")
-            if body.isalpha():
-                tail = word[len(body) :]
-                if body.isascii():
-                    body = body.lower()
-                parts.append((word, body, tail))
-                wanted[tail] = None
+        parts = []
+        for word in set().union(*split).difference(cache):
+            body = word.rstrip(punctuation)
+            if not body.isalpha():
+                parts.append((word, word, ""))
+            elif body.isascii() or max(body) < _SIMPLE:  # the tokenizer drops letter case itself
+                parts.append((word, body.lower(), word[len(body) :]))
             else:
-                body = word
-            wanted[body] = None
-        if wanted:
-            self._learn([w for w in wanted if w not in cache])
+                parts.append((word, body, word[len(body) :]))
+        wanted = {body for _, body, _ in parts} | {tail for _, _, tail in parts}
+        self._learn(list(wanted.difference(cache)))
         for word, body, tail in parts:
-            cache[word] = cache[body] + cache[tail]
+            cache[word] = cache[body] + cache[tail] if tail else cache[body]
         return [b"".join([cache[w] for w in words]) for words in split]
 
 
@@ -97,12 +103,16 @@ def id_bytes(text: Column, path: str, end_id: int | None = None) -> Column:
     Two bytes an id where the vocabulary allows, else four. `path` must be readable on every executor.
     """
 
-    @F.pandas_udf("binary")
-    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("binary")
+    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         words = worker_cache(path)
         end = b"" if end_id is None else np.array([end_id], words.dtype).tobytes()
         for texts in batches:
-            yield pd.Series([ids + end for ids in words.encode(texts.tolist())], dtype=object)
+            parts = [
+                pa.array([ids + end for ids in words.encode(texts.slice(a, ROWS_AT_ONCE).to_pylist())], pa.binary())
+                for a in range(0, len(texts), ROWS_AT_ONCE)
+            ]
+            yield pa.concat_arrays(parts) if parts else pa.array([], pa.binary())
 
     return encode(F.coalesce(text, F.lit("")))
 

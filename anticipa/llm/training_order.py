@@ -6,11 +6,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from anticipa.llm.tokens import id_width, worker_cache
+from anticipa.llm.tokens import ROWS_AT_ONCE, id_width, worker_cache
 from anticipa.session import written
 
 SEQUENCE_TOKENS, SHARD_SLOTS = 512, 16384
@@ -46,6 +47,7 @@ def permuted(index: np.ndarray, size: int, key: int) -> np.ndarray:
 def slot(index: Column, size: int, key: int) -> Column:
     @F.pandas_udf("long")
     def of(values: pd.Series) -> pd.Series:
+        worker_cache.cache_clear()  # of a stage before this one in the same worker: sorting needs the room
         return pd.Series(permuted(values.to_numpy(), size, key))
 
     return of(index)
@@ -58,19 +60,24 @@ def record_bytes(width: int, tokens: int = SEQUENCE_TOKENS) -> int:
 def _numbered(docs: DataFrame, path: str, end_id: int, tokens: int) -> DataFrame:
     """(part, before, doc_id, doc_tokens, ids), written: `before` sequences of the same part come before this row's."""
 
-    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    names = ["part", "before", "doc_id", "doc_tokens", "ids"]
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, part, before = worker_cache(path), TaskContext.get().partitionId(), 0
         end = np.array([end_id], words.dtype).tobytes()
         for batch in batches:
-            ids = [x + end for x in words.encode(batch["text"].tolist())]
-            n = np.array([len(x) // words.dtype.itemsize for x in ids], np.int64)
-            ends = before + np.cumsum(-(-n // tokens))
-            starts = np.append(before, ends[:-1])[: len(n)]
-            yield pd.DataFrame({"part": part, "before": starts, "doc_id": batch["doc_id"], "doc_tokens": n, "ids": ids})
-            before = int(ends[-1]) if len(ends) else before
+            for a in range(0, batch.num_rows, ROWS_AT_ONCE):
+                some = batch.slice(a, ROWS_AT_ONCE)
+                ids = [x + end for x in words.encode(some["text"].to_pylist())]
+                n = np.array([len(x) // words.dtype.itemsize for x in ids], np.int64)
+                ends = before + np.cumsum(-(-n // tokens))
+                starts = np.append(before, ends[:-1])
+                columns = [np.full(len(n), part, np.int64), starts, some["doc_id"], n, pa.array(ids, pa.binary())]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
+                before = int(ends[-1])
 
     given = docs.select(F.col("doc_id").cast("string"), F.coalesce("text", F.lit("")).alias("text"))
-    rows = given.mapInPandas(encode, "part long, before long, doc_id string, doc_tokens long, ids binary")
+    rows = given.mapInArrow(encode, "part long, before long, doc_id string, doc_tokens long, ids binary")
     return written(rows, "tokens", compression="zstd")
 
 
@@ -93,7 +100,7 @@ def write_in_order(
     parts = parts.select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"), "n")
     size = parts.agg(F.max(F.col("base") + F.col("n"))).first()[0] or 0
     cut = (
-        table.join(parts, "part")
+        table.join(F.broadcast(parts), "part")  # a row per task that wrote the table
         .withColumn("k", F.explode(F.expr(f"sequence(0L, (doc_tokens - 1) DIV {tokens})")))
         .select(
             "doc_id", (F.col("k") * tokens).alias("start"),
