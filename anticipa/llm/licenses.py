@@ -1,5 +1,8 @@
 """Licence notices in texts through a positional index of rare tokens of the templates."""
 
+from functools import reduce
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,7 +29,8 @@ TEMPLATES = {
     "cc-by-nc": ("licensed under cc by nc 4 0", "cc by nc"),
     "cc-by-sa": ("licensed under cc by sa 4 0", "cc by sa"),
 }
-RARE_WORDS = 3
+#: How many rare words of a template are posted, and how many of them have to agree on where it begins.
+RARE_WORDS, AGREEING = 3, 2
 
 
 def words_of(text: Column) -> Column:
@@ -72,20 +76,46 @@ def _offset(template: list[str], phrase: list[str]) -> int:
     return next(k for k in range(len(template)) if template[k : k + len(phrase)] == phrase)
 
 
-def _laid_share(places: Column, words: Column, template: list[str], mandatory: list[str], rare: list[int]) -> Column:
-    """Best share of the template, laid where a posting of its rare words says and its mandatory phrase stands."""
-    votes = F.flatten(F.array(*(_starts_by(places, template[k], k) for k in rare)))
+def _agreed(places: Column, template: list[str], rare: list[int], needed: int) -> Column:
+    """Where a text begins by the postings of `needed` of the words numbered `rare`, intersected by relative position."""
+    starts = [_starts_by(places, template[k], k) for k in rare]
+    return reduce(F.array_union, (reduce(F.array_intersect, some) for some in combinations(starts, needed)))
+
+
+def _laid_share(places: Column, words: Column, template: list[str], mandatory: list[str], rare: list[int], needed: int) -> Column:
+    """Best share of the template, laid where enough of its rare words agree and its mandatory phrase stands; null if nowhere."""
+    if len(rare) < needed:
+        return F.lit(None).cast("double")
     offset = _offset(template, mandatory)
-    laid = F.filter(F.array_distinct(votes), lambda s: _at(words, s + offset, mandatory))
+    laid = F.filter(_agreed(places, template, rare, needed), lambda s: _at(words, s + offset, mandatory))
     return F.array_max(F.transform(laid, lambda s: _share(words, s, template)))
 
 
+def anchors_of(template: list[str], mandatory: list[str], seen: dict[str, int]) -> tuple[list[int], int]:
+    """The places in `template` of its rare words, and how many of them have to agree.
+
+    They are the `RARE_WORDS` rarest that occur, outside the mandatory phrase, so that the phrase, which is verified
+    anyhow, can't agree with itself. `AGREEING` have to, or all words outside the phrase if the template has fewer. A template
+    that is its phrase alone is found by the phrase's rarest word.
+    """
+    offset = _offset(template, mandatory)
+    own = range(offset, offset + len(mandatory))
+
+    def rarity(k: int) -> tuple:
+        return seen.get(template[k], 0), template[k], k
+
+    others = [k for k in range(len(template)) if k not in own]
+    if not others:
+        return [min(own, key=rarity)], 1
+    return sorted((k for k in others if seen.get(template[k])), key=rarity)[:RARE_WORDS], min(AGREEING, len(others))
+
+
 def scan(docs: DataFrame, phrases=PHRASES, templates=TEMPLATES) -> DataFrame:
     """One row per document of `docs` (doc_id, text): doc_id, n_words, starts, base_labels, labels, score.
 
     The words of all phrases and templates are weighed by how many documents hold them. A file's postings (word, place)
-    are kept for the rarest words only: the rarest of each phrase, mandatory or not, and `RARE_WORDS` of each template. A phrase's
-    starts are its rarest word's places, verified word by word. A template is laid where the postings of its
+    are kept for the rarest words only: the rarest of each phrase, and those of `anchors_of` each template. A phrase's
+    starts are its rarest word's places, verified word by word. A template is laid where the postings of enough of its
     rare words agree on a relative position; the label holds if its mandatory phrase stands there. score is the best
     share of a template's words found at their places, for a label that holds; 1 for base phrases, 0 without
     labels. Null and empty texts have no words. Repeated rows are scanned alike; no documents: no rows.
@@ -100,12 +130,8 @@ def scan(docs: DataFrame, phrases=PHRASES, templates=TEMPLATES) -> DataFrame:
         return seen.get(word, 0), word
 
     rare_of = [min(range(len(p)), key=lambda k: rarity(p[k])) for p, _ in wanted]
-    anchors = {
-        label: sorted(range(len(t)), key=lambda k: rarity(t[k]))[:RARE_WORDS]
-        + [_offset(t, m) + min(range(len(m)), key=lambda k: rarity(m[k]))]
-        for label, (t, m) in named.items()
-    }
-    posted = sorted({p[r] for (p, _), r in zip(wanted, rare_of)} | {named[l][0][k] for l, a in anchors.items() for k in a})
+    anchors = {label: anchors_of(t, m, seen) for label, (t, m) in named.items()}
+    posted = sorted({p[r] for (p, _), r in zip(wanted, rare_of)} | {named[l][0][k] for l, (a, _) in anchors.items() for k in a})
     numbered = F.zip_with("words", F.sequence(F.lit(0), F.size("words")), lambda w, i: F.struct(w.alias("w"), i.alias("i")))
     places = F.when(
         F.arrays_overlap("words", F.array(*(F.lit(w) for w in posted))),
@@ -117,7 +143,7 @@ def scan(docs: DataFrame, phrases=PHRASES, templates=TEMPLATES) -> DataFrame:
     held = [
         F.struct(
             F.lit(label).alias("label"),
-            _laid_share(F.col("places"), F.col("words"), template, mandatory, anchors[label]).alias("share"),
+            _laid_share(F.col("places"), F.col("words"), template, mandatory, *anchors[label]).alias("share"),
         )
         for label, (template, mandatory) in named.items()
     ]

@@ -127,3 +127,36 @@ def test_stages_keep_columns_and_clean_documents(spark, docs, tmp_path):
     after = {r["doc_id"]: r["text"] for r in left.collect()}
     assert set(after) == {1, 2, 5, 6} or set(after) == {1, 5, 6}
     assert "abcdefghijklmnop" not in after[6] and "AKIA" not in after[6] and after[6].startswith("é [SECRET]")
+
+
+def test_licence_labels_need_rare_words_that_agree(spark):
+    def words(*texts):
+        return [t.lower().replace("-", " ").replace(".", " ").split() for t in texts]
+
+    texts = [
+        "Licensed under CC BY-SA 4.0", "see CC BY-SA for more", "x Licensed under CC BY-SA 3.0", "licensed then 4 0 under cc by sa",
+        "cc by sa", "the general public license version 3", "This work is licensed under the GNU General Public License version 3",
+        "work this licensed is under gnu the general public license version 3", "gnu general public license version 2",
+        "a cc by sa b licensed under cc by sa 4 0 c cc by sa", "licensed under cc by sa 4 0 licensed under cc by sa 4 0",
+    ]
+    cut = words(*texts)
+    seen = {w: sum(w in c for c in cut) for c in cut for w in c}
+    expected = []
+    for c in cut:
+        held = {}
+        for label, (template, phrase) in licenses.TEMPLATES.items():
+            t, m = template.split(), phrase.split()
+            offset = next(k for k in range(len(t)) if t[k : k + len(m)] == m)
+            rare, needed = licenses.anchors_of(t, m, seen)
+            assert not set(rare) & set(range(offset, offset + len(m))) and needed == 2
+            for s in range(-len(t), len(c)):
+                at = {k for k in range(len(t)) if 0 <= s + k < len(c) and c[s + k] == t[k]}
+                if len(at & set(rare)) >= needed and set(range(offset, offset + len(m))) <= at:
+                    held[label] = max(held.get(label, 0), len(at) / len(t))
+        expected.append((sorted(held), max(held.values(), default=0.0)))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = [(r["labels"], r["score"]) for r in licenses.scan(docs).orderBy("doc_id").collect()]
+    assert got == expected
+    assert [g[0] for g in got] == [["cc-by-sa"], [], ["cc-by-sa"], [], [], [], ["gpl-3"], [], [], ["cc-by-sa"], ["cc-by-sa"]]
+    whole = licenses.scan(docs, phrases=(("no such", "none"),), templates={"all": ("cc by sa", "cc by sa")}).where("size(labels) > 0")
+    assert {r["doc_id"] for r in whole.collect()} == {0, 1, 2, 3, 4, 9, 10}
