@@ -57,17 +57,25 @@ class Model:
 
 
 def sampled(labelled: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
-    """About `rows` rows of every language, drawn by a hash of the text: the same whatever the layout."""
-    known = labelled.where("lang IS NOT NULL AND text IS NOT NULL")
-    counts = known.groupBy("lang").count()
-    share = F.pmod(F.xxhash64("text"), F.lit(1 << 40)) / F.lit(float(1 << 40))
-    return known.join(F.broadcast(counts), "lang").where(share * F.col("count") < rows).select("lang", "text")
+    """`rows` distinct texts of every language, or all if it has fewer: those whose hashes are the least, whatever the layout.
+
+    Copies of a text count once, so the number is a bound and every labelled language keeps some texts.
+    """
+    known = labelled.where("lang IS NOT NULL AND text IS NOT NULL").withColumn("_hash", F.xxhash64("text"))
+    share = F.pmod("_hash", F.lit(1 << 40)) / F.lit(float(1 << 40))
+    distinct = known.select("lang", "_hash").distinct()
+    counts = distinct.groupBy("lang").count()
+    # About twice as many as wanted, or all if there are fewer: bounded by the languages, as no text counts twice.
+    near = distinct.join(F.broadcast(counts), "lang").where(share * F.col("count") < 2 * rows).select("lang", share.alias("share"))
+    limits = [(lang, float(np.sort(found)[:rows][-1])) for lang, found in near.toPandas().groupby("lang")["share"]]
+    limit = labelled.sparkSession.createDataFrame(limits, "lang string, most double")
+    return known.join(F.broadcast(limit), "lang").where(share <= F.col("most")).select("lang", "text").distinct()
 
 
 def train(labelled: DataFrame, rows: int = SAMPLE_ROWS, contexts: int = MOST_CONTEXTS) -> Model | None:
     """A model of the languages of `labelled` (text, lang); None without labelled rows.
 
-    It learns from a bounded sample, about `rows` rows a language. Contexts are kept by how often they
+    It learns from a bounded sample, at most `rows` distinct texts a language. Contexts are kept by how often they
     occur, `contexts` of them at most and none under `LEAST_COUNT` times, so the model's size is bounded too.
     """
 

@@ -160,3 +160,19 @@ def test_licence_labels_need_rare_words_that_agree(spark):
     assert [g[0] for g in got] == [["cc-by-sa"], [], ["cc-by-sa"], [], [], [], ["gpl-3"], [], [], ["cc-by-sa"], ["cc-by-sa"]]
     whole = licenses.scan(docs, phrases=(("no such", "none"),), templates={"all": ("cc by sa", "cc by sa")}).where("size(labels) > 0")
     assert {r["doc_id"] for r in whole.collect()} == {0, 1, 2, 3, 4, 9, 10}
+
+
+def test_language_sample_is_bounded_and_leaves_no_language_out(spark):
+    copies = [("one text with many copies", "aa")] * 400 + [(f"aa text {i}", "aa") for i in range(300)]
+    few = [(f"bb text {i}", "bb") for i in range(3) for _ in range(300)]
+    rows = copies + few + [("null language", None), (None, "cc"), ("dd only text", "dd")] + [("shared", "aa"), ("shared", "bb")]
+    labelled = spark.createDataFrame(rows, "text string, lang string")
+    got = languages.sampled(labelled, 20).collect()
+    drawn = {l: [r["text"] for r in got if r["lang"] == l] for l in {r["lang"] for r in got}}
+    assert {l: len(t) for l, t in drawn.items()} == {"aa": 20, "bb": 4, "dd": 1}
+    assert all(len(set(t)) == len(t) for t in drawn.values())
+    again = languages.sampled(labelled.repartition(7), 20).collect()
+    assert sorted(map(tuple, again)) == sorted(map(tuple, got))
+    assert languages.train(labelled, 20).languages == ["aa", "bb", "dd"]
+    one = spark.createDataFrame([("copied text", "aa")] * 100, "text string, lang string")  # any share of the rows would miss or take all
+    assert [r["text"] for r in languages.sampled(one, 1).collect()] == ["copied text"]
