@@ -208,26 +208,39 @@ def _block_matches(spark, postings: DataFrame, windows: dict[int, list[str]]) ->
 
 
 def proximity_matches(index: DataFrame, pairs: DataFrame, distance: int) -> DataFrame:
-    """(segment, first, second, starts): places of `first` with `second` at most `distance` words after or before it."""
+    """(segment, base, doc_id, first, second, places): where `first` stands with `second` at most `distance` words off.
+
+    One row per document, told apart by (segment, base), and pair with matches; `places` are word numbers in the document,
+    from 0. Both words stand in the same document; a pair of one word twice asks for another place of it. Words are
+    those of the index, in lower case.
+    """
     terms = pairs.select(F.explode(F.array("first", "second")).alias("term")).distinct()
     postings = index.where("term IS NOT NULL").select("segment", "term", "positions").join(terms, "term")
     wanted = [(r["first"], r["second"]) for r in pairs.select("first", "second").distinct().collect()]  # the queries
+    documents = index.where("term IS NULL").select(
+        F.col("segment").alias("segment"), "doc_id", "base", F.col("n").alias("n_words")  # another column than the postings'
+    )
 
-    def near(batch: pd.DataFrame) -> pd.DataFrame:
+    def near(batch: pd.DataFrame, docs_of: pd.DataFrame) -> pd.DataFrame:
         lists = {t: np.frombuffer(p, "<i4").astype(np.int64) for t, p in zip(batch["term"], batch["positions"])}
-        rows = []
+        docs_of = docs_of.sort_values("base", ignore_index=True)
+        bases, ids, rows = docs_of["base"].to_numpy(np.int64), docs_of["doc_id"], []
+        stops = bases + docs_of["n_words"].to_numpy(np.int64)
         for a, b in wanted:
             if a in lists and b in lists:
                 x, y = lists[a], lists[b]
-                low, high = np.searchsorted(y, x - distance), np.searchsorted(y, x + distance, "right")
-                own = (a == b) & True
-                hits = x[high - low > int(own)]
-                if len(hits):
-                    rows.append((batch["segment"].iloc[0], a, b, hits.astype(np.int32)))
-        return pd.DataFrame(rows, columns=["segment", "first", "second", "starts"])
-
-    schema = "segment long, first string, second string, starts array<int>"
-    return postings.groupBy("segment").applyInPandas(near, schema)
+                own = np.searchsorted(bases, x, "right") - 1
+                low = np.searchsorted(y, np.maximum(x - distance, bases[own]))
+                high = np.searchsorted(y, np.minimum(x + distance, stops[own] - 1), "right")
+                hit = high - low > int(a == b)
+                hits, own = x[hit], own[hit]
+                found, first = np.unique(own, return_index=True)
+                for d, places in zip(found, np.split(hits, first[1:])):
+                    rows.append((docs_of["segment"].iloc[0], bases[d], ids[d], a, b, (places - bases[d]).astype(np.int32)))
+        return pd.DataFrame(rows, columns=["segment", "base", "doc_id", "first", "second", "places"])
+
+    schema = "segment long, base long, doc_id string, first string, second string, places array<int>"
+    return postings.groupBy("segment").cogroup(documents.groupBy("segment")).applyInPandas(near, schema)
 
 
 def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW_WORDS) -> DataFrame:

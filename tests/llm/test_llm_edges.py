@@ -176,3 +176,24 @@ def test_language_sample_is_bounded_and_leaves_no_language_out(spark):
     assert languages.train(labelled, 20).languages == ["aa", "bb", "dd"]
     one = spark.createDataFrame([("copied text", "aa")] * 100, "text string, lang string")  # any share of the rows would miss or take all
     assert [r["text"] for r in languages.sampled(one, 1).collect()] == ["copied text"]
+
+
+@pytest.mark.parametrize("distance", [1, 2, 5])
+def test_proximity_stays_within_a_document(spark, distance):
+    rng = np.random.default_rng(3)
+    texts = [" ".join(rng.choice(list("abcdef"), n)) for n in rng.integers(0, 7, 60)] + ["a", "b", "", None, "a b", "A, a"]
+    ids = [i // 2 if i < 10 else i for i in range(len(texts) - 1)] + [None]
+    pairs = [("a", "b"), ("b", "a"), ("a", "a"), ("c", "missing")]
+    expected = []
+    for i, text in zip(ids, texts):
+        words = [w.decode() for w in decontaminate.words_of(text)]
+        for a, b in pairs:
+            near = lambda k: (j for j in range(len(words)) if j != k and abs(j - k) <= distance)
+            places = [k for k, w in enumerate(words) if w == a and any(words[j] == b for j in near(k))]
+            if places:
+                expected.append((str(i) if i is not None else "", a, b, places))
+    docs = spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string").repartition(2)
+    index = decontaminate.build_index(docs)
+    found = decontaminate.proximity_matches(index, spark.createDataFrame(pairs, "first string, second string"), distance)
+    got = [(r["doc_id"] or "", r["first"], r["second"], r["places"]) for r in found.collect()]
+    assert sorted(got) == sorted(expected) and len(got) > 10
