@@ -23,27 +23,26 @@ BASE = ("assign", "access", "hex")
 SPANS = "array<struct<start:int,kind_rank:int,end:int,kind:string>>"
 
 
-def _literals(tree) -> list[set[str]]:
-    """What every match of the parsed pattern holds: alternatives, each a set of strings (all needed)."""
-    alternatives, run = [[""]], None
+def _literals(tree) -> list[list[str]]:
+    """What every match of the parsed pattern holds: alternatives, each strings in order, with anything between two of them.
+
+    An alternative of one string is closed: the match is that text. Others are open: the first string begins the match,
+    the last ends it, and only these join what stands beside them.
+    """
+    alternatives = [[""]]
     for op, arg in tree:
-        if op is ops.LITERAL:
+        if op is ops.LITERAL and arg < 128:
             parts = [[chr(arg).lower()]]
         elif op is ops.SUBPATTERN:
-            parts = [_flat(x) for x in _literals(arg[-1])]
+            parts = _literals(arg[-1])
         elif op is ops.BRANCH:
-            parts = [_flat(x) for branch in arg[1] for x in _literals(branch)]
-        elif op is ops.MAX_REPEAT and arg[:2] == (0, 1) and len(arg[2]) == 1 and arg[2][0][0] is ops.LITERAL:
+            parts = [x for branch in arg[1] for x in _literals(branch)]
+        elif op is ops.MAX_REPEAT and arg[:2] == (0, 1) and len(arg[2]) == 1 and arg[2][0][0] is ops.LITERAL and arg[2][0][1] < 128:
             parts = [[""], [chr(arg[2][0][1]).lower()]]  # an optional character
         else:
-            parts = [["", ""]]  # anything may stand here: the run of literals ends
+            parts = [["", ""]]  # anything may stand here (other letters change with their neighbours in lower case)
         alternatives = [a[:-1] + [a[-1] + p[0]] + p[1:] for a in alternatives for p in parts]
-    return [set(a) for a in alternatives]
-
-
-def _flat(strings: set[str]) -> list[str]:
-    """The one string of an alternative, or an open run on both sides of its strings."""
-    return list(strings) if len(strings) == 1 else ["", *sorted(strings), ""]
+    return alternatives
 
 
 def trigram_query(pattern: str) -> list[set[str]] | None:

@@ -1,5 +1,6 @@
 """Nulls, empty and very long texts, repeated rows, empty tables and clashing names; brute force and round trips."""
 
+import re
 import zlib
 
 import numpy as np
@@ -197,3 +198,26 @@ def test_proximity_stays_within_a_document(spark, distance):
     found = decontaminate.proximity_matches(index, spark.createDataFrame(pairs, "first string, second string"), distance)
     got = [(r["doc_id"] or "", r["first"], r["second"], r["places"]) for r in found.collect()]
     assert sorted(got) == sorted(expected) and len(got) > 10
+
+
+def test_trigrams_of_groups_without_one_text():
+    def grams(*strings):
+        return {s[k : k + 3] for s in strings for k in range(len(s) - 2)}
+
+    cases = {
+        "key([0-9]+)end": [grams("key", "end")], "(foo.foo)": [grams("foo")], "abc(f.f)def": [grams("abcf", "fdef")],
+        "a(b)c(d.e)f": [grams("abcd")], "abc(x|[0-9]y)def": [grams("abcxdef"), grams("abc", "ydef")], "a([a-z])b": None,
+        "(?:([a-z])key)([0-9])": [grams("key")], "key(?:)end": [grams("keyend")], "abcΣ": [grams("abc")],
+    }
+    assert {p: secrets.trigram_query(p) for p in cases} == cases
+    known = {"access": [grams("akia")], "hex": None, "private_key": [grams("-----begin ", "private key-----")], "slack": [grams("xox")]}
+    assert {k: secrets.trigram_query(secrets.RULES[k][0]) for k in known} == known
+
+
+def test_no_match_of_other_rules_is_lost(spark):
+    rules = {"a": ("key([0-9]+)end", 0, 0), "b": ("(foo.foo)", 0, 0), "c": ("abc(x|[0-9])def", 0, 0), "d": ("abcΣ", 0, 0)}
+    texts = ["key12end", "keyend", "my key7end fooxfoo", "foo", "abc5def", "abcxdef", "ABCdef", "abcΣ"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["s"] for r in secrets.with_spans(docs, rules).select("doc_id", secrets.listed(F.col("spans")).alias("s")).collect()}
+    kept = {i: ",".join(f"{k}:{m.start()}:{m.end()}" for k, (p, _, _) in rules.items() for m in re.finditer(p, t)) for i, t in enumerate(texts)}
+    assert got == kept and kept[0] == "a:0:8" and kept[2] == "a:3:10,b:11:18"
