@@ -14,21 +14,21 @@ ORDER = 3
 SAMPLE_ROWS, MOST_CONTEXTS, LEAST_COUNT = 1500, 12_000, 4
 UNKNOWN = "und"
 _BYTES_AT_ONCE = 1 << 17
-_CONTEXTS_AT_ONCE = 512
 
 
 @dataclass
 class Model:
-    """Code lengths under frozen statistics.
+    """Code lengths under frozen statistics, a tree for each language.
 
-    `keys[o]` are the contexts of o bytes that the trees keep (bytes read as one number, sorted), `rows[o]` their
-    rows in `bits`: bits[row, byte, language] is the exact code length of a byte after that context, escapes to
-    shorter contexts included.
+    `keys[o]` are the contexts of o bytes that any tree keeps (bytes read as one number, sorted), `rows[o]` their
+    rows in `own`: own[row, language] is the row in `bits` of the longest suffix that the language's tree keeps, and
+    bits[row, byte] the exact code length of a byte after it, escapes to shorter contexts included.
     """
 
     languages: list[str]
     keys: list[np.ndarray]
     rows: list[np.ndarray]
+    own: np.ndarray
     bits: np.ndarray
 
     def scores(self, texts: list[str]) -> np.ndarray:
@@ -39,20 +39,22 @@ class Model:
             for a in range(0, len(data) - ORDER, _BYTES_AT_ONCE):
                 piece = np.frombuffer(data[a : a + _BYTES_AT_ONCE + ORDER], np.uint8)
                 context = (piece[:-3].astype(np.int32) << 16) | (piece[1:-2].astype(np.int32) << 8) | piece[2:-1]
-                cell = self.place[context].astype(np.int32) * 256 + piece[3:]
-                out[i] += self.flat[cell].sum(axis=0, dtype=np.float64)
+                row = self.place[context]
+                for k, own in enumerate(self.own.T):
+                    out[i, k] += self.flat[own[row] + piece[3:]].sum(dtype=np.float64)
         return out
 
     def prepare(self) -> "Model":
         """Every context of `ORDER` bytes gets the row of its longest kept suffix; done once in a worker."""
         if hasattr(self, "place"):
             return self
-        place = np.zeros((256, 256, 256), np.uint16)
+        place = np.zeros((256, 256, 256), np.uint16 if len(self.own) <= 1 << 16 else np.uint32)
         for o in range(1, ORDER + 1):
             for key, row in zip(self.keys[o], self.rows[o]):
                 a, b, c = int(key) >> 16 & 255, int(key) >> 8 & 255, int(key) & 255
                 place[(slice(None), slice(None), c) if o == 1 else (slice(None), b, c) if o == 2 else (a, b, c)] = row
-        self.place, self.flat = place.reshape(-1), self.bits.reshape(-1, len(self.languages))
+        self.place, self.flat = place.reshape(-1), self.bits.reshape(-1)
+        self.own = np.asfortranarray(self.own.astype(np.int64) * 256)  # where a row of `flat` begins
         return self
 
 
@@ -76,7 +78,8 @@ def train(labelled: DataFrame, rows: int = SAMPLE_ROWS, contexts: int = MOST_CON
     """A model of the languages of `labelled` (text, lang); None without labelled rows.
 
     It learns from a bounded sample, at most `rows` distinct texts a language. Contexts are kept by how often they
-    occur, `contexts` of them at most and none under `LEAST_COUNT` times, so the model's size is bounded too.
+    occur in their language, `contexts` of them a language at most and none under `LEAST_COUNT` times, so the model's
+    size is bounded too, and no language's tree depends on the others.
     """
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -97,18 +100,25 @@ def build(grams: pd.DataFrame, contexts: int = MOST_CONTEXTS) -> Model:
     """Trees and code lengths from counts (lang, gram, n) of four-byte strings."""
     grams = grams[(grams["gram"] & 255) != 0]  # what leads into the next text
     languages = sorted(grams["lang"].unique())
-    width = len(languages)
-    code = {l: i for i, l in enumerate(languages)}
-    lang = grams["lang"].map(code).to_numpy(np.int64)
-    gram, n = grams["gram"].to_numpy(np.int64), grams["n"].to_numpy(np.float64)
-
+    trees = []
+    for lang in languages:
+        counted = grams[grams["lang"] == lang]
+        trees.append(_tree(counted["gram"].to_numpy(np.int64), counted["n"].to_numpy(np.float64), contexts))
+    keys = [np.unique(np.concatenate([kept[o] for kept, _ in trees])) for o in range(ORDER + 1)]
+    ends = np.cumsum([len(k) for k in keys])
+    rows = [np.arange(end - len(k), end) for k, end in zip(keys, ends)]
+    first = np.cumsum([0, *(len(bits) for _, bits in trees)])
+    own = [np.concatenate([_longest(kept, k, o) for o, k in enumerate(keys)]) + f for (kept, _), f in zip(trees, first)]
+    return Model(languages, keys, rows, np.stack(own, axis=1), np.concatenate([bits for _, bits in trees]))
+
+
+def _tree(gram: np.ndarray, n: np.ndarray, contexts: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """The kept contexts of every order, and the code lengths after them order by order, of one language."""
     # Order -1 is uniform; each order escapes to the one below with the share of distinct bytes (method C).
-    keys: list[np.ndarray] = []
-    rows, bits, first = [], [], 0
-    probabilities: list[np.ndarray] = []  # of the orders that others escape to
+    kept: list[np.ndarray] = []
+    p = np.full((1, 256), 1 / 256)
     for o in range(ORDER + 1):
-        context = gram >> 8 & ((1 << 8 * o) - 1)
-        found, at = np.unique(context, return_inverse=True)
+        found, at = np.unique(gram >> 8 & ((1 << 8 * o) - 1), return_inverse=True)
         total = np.bincount(at, n)
         if o:
             keep = total >= LEAST_COUNT
@@ -118,39 +128,28 @@ def build(grams: pd.DataFrame, contexts: int = MOST_CONTEXTS) -> Model:
                 keep[np.flatnonzero(keep)[limit:]] = False
         else:
             keep = np.ones(len(found), bool)
-        new = np.cumsum(keep) - 1
-        counts = np.zeros((int(keep.sum()), 256, width), np.float32)
-        own = keep[at]
-        np.add.at(counts, (new[at[own]], gram[own] & 255, lang[own]), n[own])
-        key = found[keep]
-        if o < ORDER:
-            probabilities.append(np.empty(counts.shape))
-        for a in range(0, len(key), _CONTEXTS_AT_ONCE):  # in parts, as the driver holds little
-            part = slice(a, a + _CONTEXTS_AT_ONCE)
-            base = np.array([_below(keys, probabilities, int(k), o - 1, width) for k in key[part]])
-            sums, kinds = counts[part].sum(axis=1), (counts[part] > 0).sum(axis=1)
-            with np.errstate(divide="ignore", invalid="ignore"):
-                escape = np.where(sums > 0, kinds / (sums + kinds), 1.0)[:, None, :]
-                seen = np.where(sums > 0, 1 / (sums + kinds), 0.0)[:, None, :]
-            p = counts[part] * seen + escape * base
-            if o < ORDER:
-                probabilities[o][part] = p
-            counts[part] = -np.log2(p)
-        keys.append(key)
-        rows.append(np.arange(first, first + len(key)))
-        bits.append(counts)
-        first += len(key)
-    return Model(languages, keys, rows, np.concatenate(bits))
-
-
-def _below(keys, probabilities, context: int, order: int, width: int) -> np.ndarray:
-    """Probabilities after the longest kept suffix of `context` of at most `order` bytes."""
-    for o in range(order, -1, -1):
-        key = context & ((1 << 8 * o) - 1)
-        at = np.searchsorted(keys[o], key)
-        if at < len(keys[o]) and keys[o][at] == key:
-            return probabilities[o][at]
-    return np.full((256, width), 1 / 256)
+        new, own = np.cumsum(keep) - 1, keep[at]
+        counts = np.zeros((int(keep.sum()), 256))
+        np.add.at(counts, (new[at[own]], gram[own] & 255), n[own])
+        sums, kinds = counts.sum(axis=1, keepdims=True), (counts > 0).sum(axis=1, keepdims=True)
+        base = p[_longest(kept, found[keep], o - 1)] if o else p
+        here = (counts + kinds * base) / (sums + kinds)
+        p = np.concatenate([p, here]) if o else here
+        kept.append(found[keep])
+    return kept, -np.log2(p).astype(np.float32)
+
+
+def _longest(kept: list[np.ndarray], contexts: np.ndarray, order: int) -> np.ndarray:
+    """The number, order by order, of the longest suffix in `kept` of at most `order` bytes of every context."""
+    out, first = np.zeros(len(contexts), np.int64), 1  # order 0 is one context, always kept
+    for o in range(1, order + 1):
+        suffix = contexts & ((1 << 8 * o) - 1)
+        at = np.searchsorted(kept[o], suffix)
+        there = at < len(kept[o])
+        there[there] = kept[o][at[there]] == suffix[there]
+        out[there] = first + at[there]
+        first += len(kept[o])
+    return out
 
 
 def predicted(model: Model, texts: list[str | None]) -> tuple[list[str], list[float]]:

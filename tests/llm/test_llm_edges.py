@@ -221,3 +221,17 @@ def test_no_match_of_other_rules_is_lost(spark):
     got = {r["doc_id"]: r["s"] for r in secrets.with_spans(docs, rules).select("doc_id", secrets.listed(F.col("spans")).alias("s")).collect()}
     kept = {i: ",".join(f"{k}:{m.start()}:{m.end()}" for k, (p, _, _) in rules.items() for m in re.finditer(p, t)) for i, t in enumerate(texts)}
     assert got == kept and kept[0] == "a:0:8" and kept[2] == "a:3:10,b:11:18"
+
+
+def test_a_language_tree_does_not_depend_on_others():
+    rng = np.random.default_rng(4)
+
+    def grams(lang, letters, rows, n):
+        return pd.DataFrame({"lang": lang, "gram": [int.from_bytes(bytes(rng.choice(list(letters), 4).tolist()), "big") for _ in range(rows)], "n": n}).groupby(["lang", "gram"], as_index=False)["n"].sum()
+
+    little, much = grams("aa", b"abcde", 300, 5), grams("bb", b"cdefgh ", 3000, 500)
+    texts = ["abcdeabc", "hgf edc", "decade " * 20, "", "é"]
+    for contexts in (14, 140, 7000):
+        alone = languages.build(little, contexts).prepare().scores(texts)[:, 0]
+        both = languages.build(pd.concat([little, much]), contexts).prepare().scores(texts)
+        assert np.allclose(both[:, 0], alone) and np.allclose(both[:, 1], languages.build(much, contexts).prepare().scores(texts)[:, 0])
