@@ -16,6 +16,8 @@ from anticipa.session import written
 SHINGLE_WORDS, RADIUS, SEED, TILE_ROWS = 4, 4, 42, 4096
 _SHINGLES_AT_ONCE = 50_000
 _ROWS_AT_ONCE = 64
+# Column names of our own, which no table of a user has.
+_ROW, _BITS = "anticipa simhash row", "anticipa simhash bits"
 
 
 def text_fingerprint(text: str | None, shingle: int = SHINGLE_WORDS) -> int:
@@ -55,9 +57,11 @@ def tile_links(x: np.ndarray, y: np.ndarray | None, radius: int) -> list[tuple[i
     `y` is None to compare x with itself. A spanning forest: fewer links than values, however many pairs are close.
     """
     same = y is None
-    y = x if same else y
+    x = x.view(np.uint64)  # the bits of a signed value are not counted, but those of its amount
+    y = x if same else y.view(np.uint64)
     shift = 0 if same else len(x)
     values = x if same else np.concatenate([x, y])
+    signed = values.view(np.int64)
     label = np.arange(len(values))
     links = []
     for k in range(0, len(x), _ROWS_AT_ONCE):
@@ -65,7 +69,7 @@ def tile_links(x: np.ndarray, y: np.ndarray | None, radius: int) -> list[tuple[i
         for i in np.flatnonzero(close.sum(axis=1) > same):
             near = np.unique(label[np.append(np.flatnonzero(close[i]) + shift, k + i)])
             if len(near) > 1:
-                links += [(int(values[other]), int(values[near[0]])) for other in near[1:]]
+                links += [(int(signed[other]), int(signed[near[0]])) for other in near[1:]]
                 label[np.isin(label, near)] = near[0]
     return links
 
@@ -110,7 +114,7 @@ def near_links(values: DataFrame, radius: int = RADIUS, tile_rows: int = TILE_RO
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for same, x, y in zip(batch["same"], batch["x"], batch["y"]):
-                x, y = (v.values.to_numpy(zero_copy_only=False) for v in (x, y))
+                x, y = (v.values.to_numpy(zero_copy_only=False).astype(np.int64) for v in (x, y))
                 links = tile_links(x, None if same.as_py() else y, radius)
                 if links:
                     a, b = zip(*links)
@@ -159,6 +163,11 @@ def near_groups(
     Repeated rows and copies share one fingerprint, which is compared once. No documents: no rows.
     """
     rows = written(docs.select("doc_id", fingerprint(F.col("text"), shingle).alias("fingerprint")), "fingerprints")
+    return rows, groups_of(rows, radius, tile_rows)
+
+
+def groups_of(rows: DataFrame, radius: int = RADIUS, tile_rows: int = TILE_ROWS) -> DataFrame:
+    """(fingerprint, group_key, component_id) of every distinct fingerprint of `rows` (doc_id, fingerprint)."""
     distinct = written(rows.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id")), "distinct")
     grouped = components(near_links(distinct.select("fingerprint"), radius, tile_rows))
     keyed = distinct.join(grouped, distinct.fingerprint == grouped.node, "left").select(
@@ -166,7 +175,7 @@ def near_groups(
     )
     keyed = written(keyed, "keyed")
     smallest = keyed.groupBy("group_key").agg(F.min("first_id").alias("component_id"))
-    return rows, keyed.drop("first_id").join(smallest, "group_key").select("fingerprint", "group_key", "component_id")
+    return keyed.drop("first_id").join(smallest, "group_key").select("fingerprint", "group_key", "component_id")
 
 
 def near_duplicates(docs: DataFrame, **options) -> DataFrame:
@@ -178,17 +187,20 @@ def near_duplicates(docs: DataFrame, **options) -> DataFrame:
 
 
 def one_of_each_group(docs: DataFrame, **options) -> DataFrame:
-    """`docs` with one document of each near-duplicate group: one with the group's smallest doc_id."""
-    options = {"shingle": SHINGLE_WORDS} | options
-    rows, groups = near_groups(docs, **options)
-    first = (
-        rows.join(groups, "fingerprint").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .select(F.col("doc_id").alias("_first_id"), F.col("fingerprint").alias("_first_bits"),
-                F.col("group_key").alias("_first_group")).distinct()
-    )
-    first = written(first, "first")
-    kept = docs.withColumn("_own_bits", fingerprint(F.col("text"), options["shingle"])).join(
-        first, F.col("doc_id").eqNullSafe(F.col("_first_id")) & (F.col("_own_bits") == F.col("_first_bits"))
+    """`docs` with one document of each near-duplicate group: one with the group's smallest doc_id.
+
+    Of several rows under that doc_id the one with the smallest fingerprint (as a signed long) and then the smallest
+    text digest stays, and of rows that are equal in all three any one. Only ids, fingerprints and digests are shuffled to
+    find it; texts are read once for their fingerprint and once to be kept, and move no further.
+    """
+    digest = F.md5(F.coalesce("text", F.lit("")).cast("binary"))
+    marked = written(
+        docs.withColumns({_ROW: F.monotonically_increasing_id(), _BITS: fingerprint(F.col("text"), options.get("shingle", SHINGLE_WORDS))}),
+        "marked",
     )
-    # Repeated rows of that doc_id, and other fingerprints of the group under it, are all that can be left to drop.
-    return kept.dropDuplicates(["_first_group"]).select(*columns_of(docs))
+    rows = marked.select("doc_id", F.col(_BITS).alias("fingerprint"), digest.alias("digest"), F.col(_ROW).alias("row"))
+    groups = groups_of(rows, options.get("radius", RADIUS), options.get("tile_rows", TILE_ROWS))
+    mine = rows.join(groups, "fingerprint").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    first = mine.groupBy("group_key").agg(F.min(F.struct("fingerprint", "digest", "row")).alias("least"))
+    first = written(first.select(F.col("least.row").alias(_ROW)), "first")
+    return marked.join(first, _ROW, "left_semi").select(*columns_of(docs))

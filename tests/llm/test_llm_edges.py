@@ -1,5 +1,6 @@
 """Nulls, empty and very long texts, repeated rows, empty tables and clashing names; brute force and round trips."""
 
+import hashlib
 import re
 import zlib
 
@@ -7,11 +8,13 @@ import numpy as np
 import pandas as pd
 import public_tokenizers
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
 from anticipa.llm import decontaminate, kd_shards, languages, licenses, packing, secrets, simhash, tokens, top_k, training_order
+from anticipa.llm import queries as corpus
 from anticipa.llm import url_reputation
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, spans string, _id string, fingerprint string"
@@ -64,18 +67,70 @@ def test_permutation_is_one_to_one(size):
     assert sorted(training_order.permuted(np.arange(size), size, 9)) == list(range(size))
 
 
+def reachable(values, radius):
+    """Smallest value reachable from each, bits counted in Python integers."""
+    label = {v: v for v in values}
+    for i, a in enumerate(values):
+        for b in values[:i]:
+            if ((a ^ b) & (1 << 64) - 1).bit_count() <= radius and label[a] != label[b]:
+                old, new = max(label[a], label[b]), min(label[a], label[b])
+                label = {k: new if v == old else v for k, v in label.items()}
+    return label
+
+
+def over_all_bits(rng, n):
+    """Distinct signed longs; some are a few bits apart, the top bit among them, some are complements."""
+    base = rng.integers(0, 1 << 64, n, dtype=np.uint64, endpoint=False)
+    masks = [0, 1, 7, 255, 1 << 63, (1 << 63) + 5, (1 << 64) - 1, (1 << 64) - 2]
+    return [int(v) for v in np.unique(np.concatenate([base ^ np.uint64(m) for m in masks])).view(np.int64)]
+
+
 def test_tile_links_join_what_is_close():
-    rng = np.random.default_rng(1)
-    base = rng.integers(0, 1 << 63, 40, dtype=np.uint64)
-    x = np.unique(np.concatenate([base, base ^ np.uint64(1), base ^ np.uint64(7), base ^ np.uint64(255)])).astype(np.int64)
-    close = np.bitwise_count(x[:, None] ^ x[None, :]) <= 4
-    reach = np.linalg.matrix_power(close.astype(object) | np.eye(len(x), dtype=int), 16) > 0
-    label = {int(v): int(v) for v in x}
-    for a, b in simhash.tile_links(x, None, 4):
-        old, new = label[a], label[b]
-        label = {k: new if v == old else v for k, v in label.items()}
-    got = np.array([[label[int(a)] == label[int(b)] for b in x] for a in x])
-    assert (got == reach).all()
+    values = over_all_bits(np.random.default_rng(1), 30)
+    for x, y in ((values, None), (values[::2], values[1::2])):
+        label = {v: v for v in values}
+        for a, b in simhash.tile_links(np.array(x), None if y is None else np.array(y), 4):
+            old, new = max(label[a], label[b]), min(label[a], label[b])
+            label = {k: new if v == old else v for k, v in label.items()}
+        if y is None:
+            assert label == reachable(values, 4)
+        else:  # links within one side are not looked for
+            want = {(a, b) for a in x for b in y if ((a ^ b) & (1 << 64) - 1).bit_count() <= 4}
+            assert want and all(label[a] == label[b] for a, b in want)
+
+
+def test_near_links_and_components_over_all_bits(spark):
+    values = over_all_bits(np.random.default_rng(2), 40)
+    df = spark.createDataFrame([(v,) for v in values], "fingerprint long")
+    got = dict(map(tuple, simhash.components(simhash.near_links(df, 4, tile_rows=16)).collect()))
+    assert {v: got.get(v, v) for v in values} == reachable(values, 4)
+
+
+def plain_fingerprint(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    cuts = [" ".join(words[i : i + 4]) for i in range(max(1, len(words) - 3))] if words else []
+    hashes = [xxhash.xxh64_intdigest(c.encode(), 42) for c in cuts]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+@pytest.mark.parametrize("folder", ["/root/testdata/sf0.001", "/root/testdata/sf0.01"])
+def test_simhash_query_equals_brute_force(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()
+    bits = {r["doc_id"]: plain_fingerprint(r["text"]) for r in docs}
+    label = reachable(sorted(set(bits.values())), 4)
+    least = {}
+    for doc, value in bits.items():
+        least[label[value]] = min(doc, least.get(label[value], doc))
+    got = {tuple(r) for r in corpus.op1_simhash(spark, folder).select("doc_id", "fingerprint", "component_id").collect()}
+    assert got == {(doc, f"{v:016x}", least[label[v]]) for doc, v in bits.items()}
+
+
+def test_one_of_each_group_is_one_row_of_the_smallest_id(spark):
+    rows = [(2, WORDS, "a"), (1, WORDS, "b"), (1, WORDS, "b"), (1, WORDS.upper(), "c"), (None, "other words here now", "d"), (9, None, "e"), (8, "", "f")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _own_bits string")
+    kept = {tuple(r) for r in simhash.one_of_each_group(docs).collect()}
+    least = min(rows[1:4], key=lambda r: hashlib.md5(r[1].encode()).hexdigest())
+    assert kept == {least, (None, "other words here now", "d"), (8, "", "f")}
 
 
 def test_top_k_with_ties_nulls_and_bad_components(spark):
