@@ -134,6 +134,59 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(len(starts) AS BIGINT) A
 FROM l"""
 
 
+_TERMS = "regexp_extract_all(translate(coalesce(text, ''), '{}', '{}'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')".format(UPPER, LOWER)
+
+_SEARCH = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS w FROM documents),
+s AS (SELECT count(*) AS n_docs, sum(len(w))::BIGINT AS n_terms FROM d WHERE len(w) > 0),
+t AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(w) AS term FROM d) GROUP BY r, term),
+q AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark),
+f AS (SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS weight FROM t, s GROUP BY term, n_docs),
+m AS (SELECT r, doc_id, 100 - 90 + (90 * len(w) * n_docs) // n_terms AS m FROM d, s),
+scored AS (SELECT item_id, r, doc_id, sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+  FROM q JOIN t USING (term) JOIN f USING (term) JOIN m USING (r) GROUP BY item_id, r, doc_id)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= 10"""
+
+# CRC-32 of UTF-8 bytes: the table of 256 entries follows from the polynomial.
+_IMPORTANCE = f"""
+WITH RECURSIVE steps(b, k, c) AS (
+  SELECT b, 0, b FROM (SELECT unnest(range(0, 256))::BIGINT AS b)
+  UNION ALL SELECT b, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM steps WHERE k < 8),
+crc AS (SELECT list(c ORDER BY b) AS tab FROM steps WHERE k = 8),
+d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+dw AS (SELECT r, word, count(*) AS n FROM (SELECT r, unnest(w) AS word FROM d) GROUP BY r, word),
+bw AS (SELECT word, count(*) AS n FROM (SELECT unnest({_WORDS}) AS word FROM benchmark) GROUP BY word),
+bytes AS (SELECT word, hex(encode(word)) AS h FROM (SELECT word FROM dw UNION SELECT word FROM bw)),
+hashed AS (SELECT word, xor(list_reduce(list_prepend(4294967295::BIGINT,
+    list_transform(range(0, length(h) // 2), lambda i: ('0x' || substr(h, 2 * i + 1, 2))::BIGINT)),
+    lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295) % 10000 AS bucket FROM bytes, crc),
+sb AS (SELECT bucket, sum(n)::BIGINT AS n FROM dw JOIN hashed USING (word) GROUP BY bucket),
+tb AS (SELECT bucket, sum(n)::BIGINT AS n FROM bw JOIN hashed USING (word) GROUP BY bucket),
+tot AS (SELECT coalesce((SELECT sum(n) FROM sb), 0)::BIGINT AS s_all, coalesce((SELECT sum(n) FROM tb), 0)::BIGINT AS t_all),
+gains AS (SELECT bucket, floor(1000 * ln(((coalesce(tb.n, 0) + 1) * (s_all + 10000))::DOUBLE / ((sb.n + 1) * (t_all + 10000))))::BIGINT AS gain
+  FROM sb LEFT JOIN tb USING (bucket), tot),
+weighed AS (SELECT r, sum(n * gain)::BIGINT AS weight FROM dw JOIN hashed USING (word) JOIN gains USING (bucket) GROUP BY r),
+scored AS (SELECT r, doc_id, len(w)::BIGINT AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0) + floor(-1000 * ln(-ln(
+  (('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score FROM d LEFT JOIN weighed USING (r)),
+able AS (SELECT r, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS size FROM scored WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= 10 * size // 100 THEN rank END AS rank FROM scored LEFT JOIN able USING (r)"""
+
+_SPACED = "regexp_extract_all(translate(coalesce(text, ''), '{}', '{}'), '[^\\x20\\x09-\\x0D]+')".format(UPPER, LOWER)
+
+_MINHASH = f"""
+WITH RECURSIVE d AS (SELECT doc_id, {_SPACED} AS w FROM documents),
+shingles AS (SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + 2), ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 1, 2))) AS i FROM d WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+links AS (SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common FROM shingles x JOIN shingles y USING (s) GROUP BY ALL)
+  JOIN sizes p ON a = p.doc_id JOIN sizes q ON b = q.doc_id WHERE 100 * common >= 85 * (p.n + q.n - common)),
+reach(a, b) AS (SELECT doc_id, doc_id FROM d UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+least AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM d JOIN least USING (doc_id) LEFT JOIN sizes USING (doc_id)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op3_url_reputation": _url_reputation(),
@@ -141,4 +194,7 @@ def oracle_sql() -> dict[str, str]:
         "op6_decontaminate": _DECONTAMINATE,
         "op8_secrets": _secrets(),
         "op10_licenses": _licenses(),
+        "op11_lexical_search": _SEARCH,
+        "op12_importance": _IMPORTANCE,
+        "op13_minhash": _MINHASH,
     }

@@ -8,9 +8,12 @@ from pyspark.sql import functions as F
 
 from anticipa.llm import (
     decontaminate,
+    importance,
     kd_shards,
     languages,
+    lexical_search,
     licenses,
+    minhash,
     oracles,
     packing,
     secrets,
@@ -120,6 +123,19 @@ def op10_licenses(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical_search.search(_read(spark, folder, "documents"), _read(spark, folder, "benchmark"))
+
+
+def op12_importance(spark: SparkSession, folder: str) -> DataFrame:
+    rows = importance.resample(_read(spark, folder, "documents"), _read(spark, folder, "benchmark"))
+    return rows.drop("n_words")
+
+
+def op13_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_duplicates(_read(spark, folder, "documents"))
+
+
 def queries() -> dict:
     return {
         "op1_simhash": op1_simhash,
@@ -132,6 +148,9 @@ def queries() -> dict:
         "op8_secrets": op8_secrets,
         "op9_languages": op9_languages,
         "op10_licenses": op10_licenses,
+        "op11_lexical_search": op11_lexical_search,
+        "op12_importance": op12_importance,
+        "op13_minhash": op13_minhash,
     }
 
 
