@@ -1,15 +1,16 @@
 """Near-duplicate documents by MinHash bands, verified batch by batch of their signatures and then exactly.
 
 1. Every text gets its set of distinct word shingles (as 64-bit hashes, XXH64 of words mixed) and a signature of `HASHES`
-   least values. Equal texts are one node from here on.
+   least values, of which 16 bits are kept. Equal texts are one node from here on.
 2. Nodes whose signatures agree in a band are candidates. In each bucket every node meets the bucket's first node: as many
-   pairs as nodes. Where the other nodes of a bucket are not in one group after that, tiles of them are compared, only
-   across groups, and only pairs that pass are put out.
+   pairs as nodes. Where the other nodes of a bucket are not in one group after that, they are compared in tiles, only
+   across groups, and no pair is put out: first the nodes with a passing pair are marked, then tiles of those, with
+   their full sets, give links that join the groups, at most one per group.
 3. Candidates are compared in batches of signature values. After n values of which m agree, the similarity has the
    posterior Beta(m + 1, n - m + 1); a pair goes as soon as the similarity is `THRESHOLD` or more with a probability below
    `MISS`. Survivors are verified on their full sets.
 
-A pair of similarity s shares no band with probability (1 - s^6)^32: below 3e-7 at 0.85 and falling fast above.
+A pair of similarity s shares no band with probability (1 - s^5)^26: below 3e-7 at 0.85 and falling fast above.
 """
 
 from collections.abc import Iterator
@@ -27,9 +28,10 @@ from anticipa.llm.simhash import components
 from anticipa.session import written
 
 SHINGLE_WORDS, THRESHOLD, MISS = 3, 85, 1e-9
-BANDS, BAND_ROWS, BATCH = 32, 6, 16
+BANDS, BAND_ROWS, BATCH = 26, 5, 13
 HASHES = BANDS * BAND_ROWS
-TILE_ROWS = 1024
+TILE_ROWS, TILE_SHINGLES = 1024, 2_000_000
+BROADCAST_ROWS = 2_000_000  # of 24 bytes; more are joined by shuffling
 _SEED = 13
 _SHINGLES_AT_ONCE = 16_384
 
@@ -67,8 +69,8 @@ def shingle_set(text: bytes | None, shingle: int = SHINGLE_WORDS) -> np.ndarray:
 
 
 def signatures(sets: list[np.ndarray], hashes: int = HASHES) -> np.ndarray:
-    """One row of `hashes` 32-bit values per set; all sets must have members."""
-    found = np.empty((len(sets), hashes), np.uint32)
+    """One row of `hashes` 16-bit values per set; all sets must have members."""
+    found = np.empty((len(sets), hashes), "<u2")
     factors = _factors(hashes, _SEED + 1)
     first = 0
     while first < len(sets):
@@ -81,7 +83,7 @@ def signatures(sets: list[np.ndarray], hashes: int = HASHES) -> np.ndarray:
         product = np.empty_like(values)
         for k in range(hashes):
             np.multiply(values, factors[k], out=product)
-            found[first:last, k] = np.minimum.reduceat(product, starts) >> np.uint64(32)
+            found[first:last, k] = np.minimum.reduceat(product, starts) >> np.uint64(32) & np.uint64(0xFFFF)
         first = last
     return found
 
@@ -113,7 +115,7 @@ def passing(x: np.ndarray, y: np.ndarray, threshold: int = THRESHOLD, miss: floa
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), "<u4").reshape(len(column), -1)
+    return np.frombuffer(b"".join(column.to_pylist()), "<u2").reshape(len(column), HASHES)
 
 
 def _similar_sizes(a: Column, b: Column, threshold: int) -> Column:
@@ -141,8 +143,8 @@ def _key() -> Column:
     return F.unhex(F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")))
 
 
-def _exact_links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, shingle: int, threshold: int) -> DataFrame:
-    """Those of `pairs` (a, b) whose full sets are similar enough. Only texts of nodes in `pairs` are read again."""
+def _full_sets(wanted: DataFrame, nodes: DataFrame, docs: DataFrame, shingle: int) -> DataFrame:
+    """(node, shingles) of the nodes in `wanted` (node), from the texts of `docs`, written."""
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -150,23 +152,32 @@ def _exact_links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, shingle: i
                 sets = pa.array([shingle_set(t, shingle).tobytes() for t in texts], pa.binary())
                 yield pa.RecordBatch.from_arrays([part["node"], sets], ["node", "shingles"])
 
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "key"), "node")
-    found = docs.select(_key().alias("key"), "text").join(written(wanted, "wanted"), "key").select("node", "text")
+    keys = written(wanted.join(nodes.select("node", "key"), "node"), "wanted")
+    if keys.count() <= BROADCAST_ROWS:
+        keys = F.broadcast(keys)
+    found = docs.select(_key().alias("key"), "text").join(keys, "key").select("node", "text")
     # Copies of one text meet here; they are reduced to one in each task before anything is shuffled.
     sets = found.mapInArrow(hashed, "node long, shingles binary").groupBy("node").agg(F.first("shingles").alias("shingles"))
-    sets = written(sets, "sets")
+    return written(sets, "sets")
+
+
+def _similar(x: np.ndarray, y: np.ndarray, threshold: int) -> bool:
+    common = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * common >= threshold * (len(x) + len(y) - common)
+
+
+def _exact_links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, shingle: int, threshold: int) -> DataFrame:
+    """Those of `pairs` (a, b) whose full sets are similar enough."""
+    sets = _full_sets(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), nodes, docs, shingle)
     both = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a").join(
         sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b"
     )
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            linked = []
-            for x, y in zip(batch["x"], batch["y"]):
-                x, y = (np.frombuffer(v.as_buffer(), "<u8") for v in (x, y))
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                linked.append(100 * common >= threshold * (len(x) + len(y) - common))
-            yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
+            sets = ((np.frombuffer(v.as_buffer(), "<u8") for v in pair) for pair in zip(batch["x"], batch["y"]))
+            linked = pa.array([_similar(x, y, threshold) for x, y in sets], pa.bool_())
+            yield batch.select(["a", "b"]).filter(linked)
 
     return both.select("a", "b", "x", "y").mapInArrow(verify, "a long, b long")
 
@@ -185,10 +196,10 @@ def _likely(pairs: DataFrame, nodes: DataFrame, threshold: int, miss: float) ->
     return both.select("a", "b", "s_a", "s_b").mapInArrow(prune, "a long, b long")
 
 
-def tile_pairs(x, y, band: int, threshold: int, miss: float) -> tuple[np.ndarray, np.ndarray]:
+def tile_pairs(x, y, band: int, threshold: int, miss: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Rows of tile x and of tile y (x itself: None) in different groups that pass, and agree in no band before `band`.
 
-    A tile is (groups, set sizes, signatures).
+    A tile is (groups, set sizes, signatures). Also gives in how many signature values the pairs agree.
     """
     same = y is None
     y = x if same else y
@@ -196,53 +207,106 @@ def tile_pairs(x, y, band: int, threshold: int, miss: float) -> tuple[np.ndarray
     open_ = (gx[:, None] != gy[None, :]) & (np.minimum(nx[:, None], ny) * 100 >= np.maximum(nx[:, None], ny) * threshold)
     if same:
         open_ &= np.arange(len(gx))[:, None] < np.arange(len(gy))[None, :]
-    if not open_.any():
-        return np.zeros(0, int), np.zeros(0, int)
-    agree = np.zeros(open_.shape, np.uint8)
-    for k in range(BATCH):
-        agree += sx[:, k, None] == sy[None, :, k]
-    i, j = np.nonzero(open_ & (agree >= _bounds(sx.shape[1], threshold, miss)[0][1]))
-    found = []
-    for k in range(0, len(i), 65_536):  # pairs left after the first batch, some at a time
-        a, b = sx[i[k : k + 65_536]], sy[j[k : k + 65_536]]
-        left = passing(a, b, threshold, miss)
-        bands = (a[left] == b[left]).reshape(len(left), a.shape[1] // BAND_ROWS, BAND_ROWS).all(axis=2)
-        found.append(k + left[bands.argmax(axis=1) == band])
-    left = np.concatenate(found) if found else np.zeros(0, int)
-    return i[left], j[left]
-
-
-def _across_groups(rest: DataFrame, nodes: DataFrame, tile_rows: int, threshold: int, miss: float) -> DataFrame:
-    """Passing pairs (a, b) of `rest` (bucket, band, node, group) that share a bucket but no group."""
-    mixed = rest.groupBy("bucket").agg(F.count("*").alias("n"), F.min("group").alias("low"), F.max("group").alias("high"))
-    mixed = mixed.where("low <> high").select("bucket", F.ceil(F.col("n") / tile_rows).cast("int").alias("parts"))
-    rows = rest.join(mixed, "bucket").join(nodes.select("node", "n_shingles", "signature"), "node")
+    found = [np.zeros((3, 0), np.int64)]
+    if open_.any():
+        agree = np.zeros(open_.shape, np.uint8)
+        for k in range(BATCH):
+            agree += sx[:, k, None] == sy[None, :, k]
+        i, j = np.nonzero(open_ & (agree >= _bounds(sx.shape[1], threshold, miss)[0][1]))
+        for k in range(0, len(i), 65_536):  # pairs left after the first batch, some at a time
+            a, b = sx[i[k : k + 65_536]], sy[j[k : k + 65_536]]
+            left = passing(a, b, threshold, miss)
+            equal = a[left] == b[left]
+            first = equal.reshape(len(left), a.shape[1] // BAND_ROWS, BAND_ROWS).all(axis=2).argmax(axis=1) == band
+            found.append(np.array([i[k + left[first]], j[k + left[first]], equal[first].sum(axis=1)]))
+    return tuple(np.concatenate(found, axis=1))
+
+
+def group_links(pairs, x, y, threshold: int) -> list[tuple[int, int]]:
+    """Numbers of `pairs` that are linked and join groups that earlier ones have not joined; the most alike come first.
+
+    `pairs` is what `tile_pairs` gives; x and y are (groups, sets).
+    """
+    i, j, agree = pairs
+    group: dict[int, int] = {}
+
+    def top(g: int) -> int:
+        while g in group:
+            g = group[g]
+        return g
+
+    links = []
+    for k in np.argsort(-agree, kind="stable").tolist():
+        a, b = top(int(x[0][i[k]])), top(int(y[0][j[k]]))
+        if a != b and _similar(x[1][i[k]], y[1][j[k]], threshold):
+            links.append(k)
+            group[max(a, b)] = min(a, b)
+    return links
+
+
+def _tile_pairs_of(rows: DataFrame, tile_rows: int, *columns: str) -> DataFrame:
+    """Every pair of tiles (band, x, y) of each bucket; y is null where a tile meets itself.
+
+    `rows` is (bucket, band, node, group, n_shingles, signature and `columns`). A tile has about `tile_rows` rows, and about
+    `TILE_SHINGLES` shingles if those are among its columns.
+    """
+    size = F.count("*") / tile_rows
+    if "shingles" in columns:
+        size = F.greatest(size, F.sum("n_shingles") / TILE_SHINGLES)
+    parts = rows.groupBy("bucket").agg(F.ceil(size).cast("int").alias("parts"))
     part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
-    tiles = rows.groupBy("bucket", "band", "parts", part.alias("part")).agg(
-        F.collect_list(F.struct("node", "group", "n_shingles", "signature")).alias("rows")  # about tile_rows of them
+    tiles = rows.join(parts, "bucket").groupBy("bucket", "band", "parts", part.alias("part")).agg(
+        F.collect_list(F.struct("node", "group", "n_shingles", "signature", *columns)).alias("rows")
     )
     tiles = written(tiles, "minhash-tiles")
     left = tiles.select("bucket", "band", "part", F.col("rows").alias("x"), F.explode(F.expr("sequence(part, parts - 1)")).alias("other"))
     right = tiles.select("bucket", F.col("part").alias("other"), F.col("rows").alias("y"))
     alone = F.col("part") == F.col("other")
-    both = left.where(~alone).join(right, ["bucket", "other"]).select("band", "x", "y").unionByName(
-        left.where(alone).select("band", "x", F.lit(None).cast(right.schema["y"].dataType).alias("y"))
+    nothing = F.lit(None).cast(right.schema["y"].dataType)
+    return left.where(~alone).join(right, ["bucket", "other"]).select("bucket", "band", "x", "y").unionByName(
+        left.where(alone).select("bucket", "band", "x", nothing.alias("y"))
     )
 
-    def arrays(tile: pa.StructScalar):
-        fields = tile.values
-        node, group, size = (fields.field(name).to_numpy() for name in ("node", "group", "n_shingles"))
-        return node, (group, size, _matrix(fields.field("signature")))
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for band, x, y in zip(batch["band"].to_pylist(), batch["x"], batch["y"]):
-                nodes_x, x = arrays(x)
-                nodes_y, y = arrays(y) if y.is_valid else (nodes_x, None)
-                i, j = tile_pairs(x, y, band, threshold, miss)
-                yield pa.RecordBatch.from_arrays([pa.array(nodes_x[i]), pa.array(nodes_y[j])], ["a", "b"])
+def _arrays(tile: pa.Scalar):
+    fields = tile.values
+    node, group, size = (fields.field(name).to_numpy() for name in ("node", "group", "n_shingles"))
+    return fields, node, (group, size, _matrix(fields.field("signature")))
+
 
-    return both.mapInArrow(compare, "a long, b long").distinct()
+def _across_groups(rest: DataFrame, nodes: DataFrame, docs: DataFrame, shingle: int, tile_rows: int, threshold: int, miss: float) -> DataFrame:
+    """Links (a, b) that join the groups of `rest` (bucket, band, node, group) wherever nodes of one bucket are linked.
+
+    Of the links between two groups that a task finds only the first is put out.
+    """
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for bucket, band, x, y in zip(batch["bucket"].to_pylist(), batch["band"].to_pylist(), batch["x"], batch["y"]):
+                _, nodes_x, x = _arrays(x)
+                _, nodes_y, y = _arrays(y) if y.is_valid else (None, nodes_x, None)
+                i, j, _ = tile_pairs(x, y, band, threshold, miss)
+                marked = np.union1d(nodes_x[i], nodes_y[j])
+                yield pa.RecordBatch.from_arrays([pa.array([bucket] * len(marked), pa.int64()), pa.array(marked, pa.int64())], ["bucket", "node"])
+
+    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for band, *both in zip(batch["band"].to_pylist(), batch["x"], batch["y"]):
+                found = [_arrays(tile) for tile in both if tile.is_valid]
+                pairs = tile_pairs(found[0][2], found[1][2] if len(found) > 1 else None, band, threshold, miss)
+                sides = [(tile[0], [np.frombuffer(s.as_buffer(), "<u8") for s in fields.field("shingles")]) for fields, _, tile in found]
+                left = group_links(pairs, sides[0], sides[-1], threshold)
+                ends = [pa.array(found[side][1][rows[left]], pa.int64()) for side, rows in ((0, pairs[0]), (-1, pairs[1]))]
+                yield pa.RecordBatch.from_arrays(ends, ["a", "b"])
+
+    mixed = rest.groupBy("bucket").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low <> high").select("bucket")
+    signed = nodes.select("node", "n_shingles", "signature")
+    rows = rest.join(mixed, "bucket").join(signed, "node")
+    marked = _tile_pairs_of(rows, tile_rows).mapInArrow(mark, "bucket long, node long").distinct()
+    marked = written(marked, "marked")
+    sets = _full_sets(marked.select("node").distinct(), nodes, docs, shingle)
+    rows = rest.join(marked, ["bucket", "node"]).join(signed, "node").join(sets, "node")
+    return _tile_pairs_of(rows, tile_rows, "shingles").select("band", "x", "y").mapInArrow(link, "a long, b long")
 
 
 def near_duplicates(
@@ -261,7 +325,7 @@ def near_duplicates(
         F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature")
     )
     nodes = written(nodes.withColumn("node", F.monotonically_increasing_id()), "minhash-nodes", compression="zstd")
-    width = 4 * BAND_ROWS
+    width = 2 * BAND_ROWS
     bands = nodes.select("node", "signature", F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))).alias("band")).select(
         "node", "band", F.expr(f"xxhash64(band, substring(signature, {width} * band + 1, {width}))").alias("bucket")
     )
@@ -275,9 +339,8 @@ def near_duplicates(
 
     own = F.coalesce("component", F.col("node")).alias("group")
     rest = stars.where("n > 2").select("bucket", "band", "node").join(grouped, "node", "left").select("bucket", "band", "node", own)
-    likely = written(_across_groups(written(rest, "rest"), nodes, tile_rows, threshold, miss), "likely-rest")
-    if not likely.isEmpty():
-        more = _exact_links(likely, nodes, docs, shingle, threshold)
+    more = written(_across_groups(written(rest, "rest"), nodes, docs, shingle, tile_rows, threshold, miss), "more-links")
+    if not more.isEmpty():
         grouped = written(components(links.unionByName(more)), "near-groups")
 
     named = nodes.select("node", "key", "first_id").join(grouped, "node", "left").withColumn("group", own)

@@ -186,13 +186,13 @@ def test_signatures_estimate_similarity():
 
 
 def test_posterior_bounds():
-    assert minhash.least_matches(16, 0.85, 1e-9) < 16 * 0.85 and minhash.least_matches(192, 0.85, 1e-9) > 192 * 0.6
+    assert minhash.least_matches(16, 0.85, 1e-9) < 16 * 0.85 and minhash.least_matches(130, 0.85, 1e-9) > 130 * 0.55
     assert minhash.least_matches(0, 0.85, 1e-9) == 0
     rng = np.random.default_rng(4)
-    agree = rng.random((20_000, 192)) < 0.85  # pairs just at the threshold are not lost
-    x = rng.integers(0, 1 << 31, (20_000, 192)).astype(np.uint32)
-    assert len(minhash.passing(x, np.where(agree, x, x + 1).astype(np.uint32))) == 20_000
-    low = np.where(rng.random((20_000, 192)) < 0.4, x, x + 1).astype(np.uint32)
+    agree = rng.random((20_000, 130)) < 0.85  # pairs just at the threshold are not lost
+    x = rng.integers(0, 1 << 15, (20_000, 130)).astype(np.uint16)
+    assert len(minhash.passing(x, np.where(agree, x, x + 1).astype(np.uint16))) == 20_000
+    low = np.where(rng.random((20_000, 130)) < 0.3, x, x + 1).astype(np.uint16)
     assert len(minhash.passing(x, low)) == 0
 
 
