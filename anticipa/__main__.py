@@ -29,6 +29,7 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     sync = commands.add_parser("sync", help="write a new copy of the users target that equals the source")
     sync.add_argument("--out", required=True, help="folder for the synced table; must not exist")
     sync.add_argument("--rejects", help="also write the ids left alone, as JSON with the reason, to this new folder")
+    sync.add_argument("--dead-letters", help="new folder for the raw text of target rows that cannot be read")
     return parser.parse_args(argv)
 
 
@@ -39,9 +40,10 @@ def main(argv: Sequence[str] | None = None) -> dict[str, dict[str, int]]:
     if args.command == "sync":
         # A row without a readable id could belong to any target row, so nothing may be deleted on its account.
         users = op.enforce_contract(sources.users(spark, tables["users"]), ("id",))
-        done = {"sync": op.apply_sync(users, sources.users_target(spark, tables["users_target"]), args.out)}
+        target = sources.users_target(spark, tables["users_target"])
         if args.rejects:
-            op.rejected_users(users).write.json(args.rejects)
+            op.rejected_users(users, target).write.json(args.rejects)
+        done = {"sync": op.apply_sync(users, target, args.out, args.dead_letters)}
         return done
     as_of = args.as_of or datetime.now(timezone.utc).date()
     inputs = sources.read_all(spark, tables)

@@ -13,11 +13,11 @@ from .indicators import (
     rate_indicators_all,
     rate_indicators_by_client,
 )
-from .inputs import annex_items, unique_clients
+from .inputs import annex_items, item_fields, nested_fields, unique_clients
 from .pareto import client_commission
 from .quality import enforce_contract, preview, reject_counts, split_contract
 from .snapshot import Dashboard, apply_merge, merged_day, plan_merge, todays_rows
-from .sync import apply_sync, plan_sync, rejected_users, synced, target_ids
+from .sync import apply_sync, dead_letters, plan_sync, rejected_users, synced, target_ids
 from .terms import (
     billed_of_buckets,
     billed_by_term,
@@ -30,14 +30,17 @@ from .terms import (
     term_buckets,
     unbucketed,
 )
+from .versions import ConcurrentRefresh, apply_merge_versioned, current, drop_unnamed, put_new, read_version
 
 __all__ = [
+    "ConcurrentRefresh",
     "Dashboard",
     "annex_indicators",
     "annex_indicators_all",
     "annex_indicators_by_client",
     "annex_items",
     "apply_merge",
+    "apply_merge_versioned",
     "apply_sync",
     "billed_by_term",
     "billed_by_term_all",
@@ -52,19 +55,26 @@ __all__ = [
     "credit_days_all",
     "credit_days_by_client",
     "credit_days_of_groups",
+    "current",
+    "dead_letters",
+    "drop_unnamed",
     "enforce_contract",
     "invoice_groups",
+    "item_fields",
     "merged_day",
+    "nested_fields",
     "pareto_of_groups",
     "plan_merge",
     "plan_sync",
     "preview",
+    "put_new",
     "rate_frequencies",
     "rate_indicators",
     "rate_indicators_all",
     "rate_indicators_by_client",
     "rates_of_groups",
     "reject_counts",
+    "read_version",
     "rejected_users",
     "split_contract",
     "synced",

@@ -1,6 +1,8 @@
 """Shaping of the inputs: flat annex items and the client dimension."""
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -8,6 +10,16 @@ from pyspark.sql import functions as F
 _ITEM_FIELDS = {"comision": "cant_comision", "dias_pago": "dias_pago", "created_at": "fecha_registro"}
 
 
+def item_fields(names: Iterable[str]) -> tuple[str, ...]:
+    """Those of `names` that are fields of the nested items."""
+    return tuple(n for n in names if n in _ITEM_FIELDS)
+
+
+def nested_fields(*fields: str) -> list[Column]:
+    """The nested `fields` as one array each, which scans can prune."""
+    return [F.col("jsonb_agg")[_ITEM_FIELDS[f]].alias(f) for f in fields]
+
+
 def annex_items(feed: DataFrame, *fields: str) -> DataFrame:
     """One row per nested item with the annex columns the feed has; a null or empty array gives none.
 
@@ -16,7 +28,7 @@ def annex_items(feed: DataFrame, *fields: str) -> DataFrame:
     """
     fields = fields or tuple(_ITEM_FIELDS)
     header = [c for c in ("anexo_id", "cliente_id") if c in feed.columns]
-    items = F.arrays_zip(*[F.col("jsonb_agg")[_ITEM_FIELDS[f]] for f in fields])
+    items = F.arrays_zip(*nested_fields(*fields))
     return feed.select(*header, F.inline(items).alias(*fields))
 
 

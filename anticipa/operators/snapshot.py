@@ -13,7 +13,7 @@ Copies of one key may be many, so they are never brought together whole: the sur
 minimum, and the copies meet their key's computed row in slices of about `_COPIES_PER_SLICE` rows.
 """
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date
 from functools import reduce
@@ -152,17 +152,36 @@ def merged_day(computed: DataFrame, today: DataFrame, dashboard: Dashboard, as_o
     return _live(_merged_rows(computed, today, dashboard, as_of))
 
 
+def stored_schema(dashboard: Dashboard, types: Mapping[str, str]) -> str:
+    """Columns of the dashboard's table; `types` are those of its keys and measures."""
+    types = {**types, "id": "bigint", "cliente": "string", "created_at": "timestamp_ntz", "snapshot_date": "date"}
+    return ", ".join(f"`{c}` {types[c]}" for c in (*dashboard.columns, "snapshot_date"))
+
+
+def empty_dashboard(spark: SparkSession, dashboard: Dashboard, types: Mapping[str, str]) -> DataFrame:
+    columns = (column.split(" ", 1) for column in stored_schema(dashboard, types).split(", `"))
+    return spark.range(0).select(*[F.lit(None).cast(kind).alias(name.strip("`")) for name, kind in columns])
+
+
 def _stored(spark: SparkSession, computed: DataFrame, dashboard: Dashboard, path: str) -> DataFrame:
     """The dashboard table at `path`, or an empty one before the first refresh."""
     types = {f.name: f.dataType.simpleString() for f in computed.schema}
-    types |= {"id": "bigint", "cliente": "string", "created_at": "timestamp_ntz", "snapshot_date": "date"}
-    columns = (*dashboard.columns, "snapshot_date")
     try:
-        return spark.read.schema(", ".join(f"`{c}` {types[c]}" for c in columns)).parquet(path)
+        return spark.read.schema(stored_schema(dashboard, types)).parquet(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-    return spark.range(0).select(*[F.lit(None).cast(types[c]).alias(c) for c in columns])
+    return empty_dashboard(spark, dashboard, types)
+
+
+def merge_counts(computed: DataFrame, today: DataFrame, dashboard: Dashboard, as_of: date) -> tuple[DataFrame, Observation]:
+    """The day's rows after the merge, and how many rows each action touches, counted as they are written.
+
+    A task counts once however often it is run.
+    """
+    counts = [F.count_if(F.col("action") == a).alias(a) for a in ("insert", "update", "delete", "keep")]
+    seen = Observation()
+    return _live(_merged_rows(computed, today, dashboard, as_of).observe(seen, *counts)), seen
 
 
 def apply_merge(
@@ -175,12 +194,9 @@ def apply_merge(
     task counts once however often it is run.
     """
     today = todays_rows(_stored(spark, computed, dashboard, path), as_of)
-    counts = [F.count_if(F.col("action") == a).alias(a) for a in ("insert", "update", "delete", "keep")]
-    seen = Observation()
-    merged = _merged_rows(computed, today, dashboard, as_of).observe(seen, *counts)
+    live, seen = merge_counts(computed, today, dashboard, as_of)
     (
-        _live(merged)
-        .withColumn("snapshot_date", F.lit(as_of))
+        live.withColumn("snapshot_date", F.lit(as_of))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("snapshot_date")

@@ -44,7 +44,9 @@ _RATES = ("factura_id", "cliente_id", "tasa_descuento")
 _DAYS = ("factura_id", "cliente_id", "dias_pago")
 _COMMISSIONS = ("factura_id", "cliente_id", "nombre_fiscal", "cant_comision", "tasa_descuento")
 _ANNEXES = REQUIRED["annexes"]
-_ITEMS = REQUIRED["annex_items"]
+_BILLED_ITEMS = ("comision", "dias_pago")
+_TERM_ITEMS = ("cliente_id", "dias_pago")
+_BILLED_CLIENT_ITEMS = ("cliente_id", "comision", "dias_pago")
 _CLIENTS = REQUIRED["clients"]
 _CLIENT_IDS = ("cliente_id",)
 
@@ -119,37 +121,37 @@ JOBS = {
         Job(
             "billed_by_term_all",
             "grafica_total_facturado_x_condicion_pago",
-            {"annex_items": _ITEMS},
+            {"annex_items": _BILLED_ITEMS},
             lambda items, day: op.billed_by_term_all(items),
         ),
         Job(
             "billed_by_term_by_client",
             "grafica_total_facturado_x_condicion_pago",
-            {"annex_items": _ITEMS, "clients": _CLIENTS},
+            {"annex_items": _BILLED_CLIENT_ITEMS, "clients": _CLIENTS},
             lambda items, clients, day: op.billed_by_term_by_client(items, clients),
         ),
         Job(
             "billed_by_term",
             "grafica_total_facturado_x_condicion_pago",
-            {"annex_items": _ITEMS, "clients": _CLIENTS},
+            {"annex_items": _BILLED_CLIENT_ITEMS, "clients": _CLIENTS},
             lambda items, clients, day: op.billed_by_term(items, clients),
         ),
         Job(
             "clients_by_term_all",
             "grafica_clientes_x_condicion_pago",
-            {"annex_items": _ITEMS},
+            {"annex_items": _TERM_ITEMS},
             lambda items, day: op.clients_by_term_all(items),
         ),
         Job(
             "clients_by_term_by_client",
             "grafica_clientes_x_condicion_pago",
-            {"annex_items": _ITEMS, "clients": _CLIENTS},
+            {"annex_items": _TERM_ITEMS, "clients": _CLIENTS},
             lambda items, clients, day: op.clients_by_term_by_client(items, clients),
         ),
         Job(
             "clients_by_term",
             "grafica_clientes_x_condicion_pago",
-            {"annex_items": _ITEMS, "clients": _CLIENTS},
+            {"annex_items": _TERM_ITEMS, "clients": _CLIENTS},
             lambda items, clients, day: op.clients_by_term(items, clients),
         ),
         Job(
@@ -166,11 +168,11 @@ def _accept(rows: DataFrame, required: tuple[str, ...], strict: bool) -> DataFra
     return op.enforce_contract(rows, required) if strict else op.split_contract(rows, required)[0]
 
 
-def _table(inputs: Inputs, table: str, strict: bool) -> DataFrame:
+def _table(inputs: Inputs, table: str, required: tuple[str, ...], strict: bool) -> DataFrame:
     if table != "annex_items":
         return inputs[table]
     # An unreadable annex must go before it is opened: with its items lost it would leave no trace.
-    return op.annex_items(_accept(inputs["annex_feed"], (), strict))
+    return op.annex_items(_accept(inputs["annex_feed"], (), strict), *op.item_fields(required))
 
 
 def _own_fields(rows: DataFrame, required: tuple[str, ...]) -> DataFrame:
@@ -178,11 +180,18 @@ def _own_fields(rows: DataFrame, required: tuple[str, ...]) -> DataFrame:
     return rows.select(*required, *[CORRUPT for c in rows.columns if c == CORRUPT])
 
 
+def _own_feed(feed: DataFrame, required: tuple[str, ...]) -> DataFrame:
+    """The annex feed as `_table` reads it: the job's own columns, and of the items the job's own fields."""
+    names = op.item_fields(required)
+    header = [c for c in required if c not in names]
+    return feed.select(*header, *op.nested_fields(*names), *[CORRUPT for c in feed.columns if c == CORRUPT])
+
+
 def compute(name: str, inputs: Inputs, as_of: date, strict: bool = False) -> DataFrame:
     """The job's result over the rows that keep the contract; with `strict`, a bad row fails the job."""
     job = JOBS[name]
     tables = [
-        _accept(_own_fields(_table(inputs, table, strict), required), required, strict)
+        _accept(_own_fields(_table(inputs, table, required, strict), required), required, strict)
         for table, required in job.reads.items()
     ]
     return job.compute(*tables, as_of)
@@ -192,26 +201,28 @@ def rejects(name: str, inputs: Inputs) -> dict[str, DataFrame]:
     """Rows of each input that the job leaves out: its own fields and the reason."""
     reads = JOBS[name].reads
     left_out = {
-        t: op.split_contract(_own_fields(_table(inputs, t, False), required), required)[1]
+        t: op.split_contract(_own_fields(_table(inputs, t, required, False), required), required)[1]
         for t, required in reads.items()
     }
     if "annex_items" in reads:
-        left_out["annex_feed"] = op.split_contract(inputs["annex_feed"], ())[1]
+        left_out["annex_feed"] = op.split_contract(_own_feed(inputs["annex_feed"], reads["annex_items"]), ())[1]
     return left_out
 
 
 def refresh(
-    spark: SparkSession, name: str, inputs: Inputs, folder: str, as_of: date, strict: bool = False
+    spark: SparkSession, name: str, inputs: Inputs, folder: str, as_of: date, strict: bool = False, versioned: bool = False
 ) -> dict[str, int]:
-    """Run one job and merge its result into its dashboard under `folder`; returns rows per action."""
+    """Run one job and merge its result into its dashboard under `folder`; returns rows per action.
+
+    `versioned` dashboards switch the day in one step and are read with `operators.read_version`.
+    """
     dashboard = DASHBOARDS[JOBS[name].dashboard]
-    return op.apply_merge(
-        spark, compute(name, inputs, as_of, strict), dashboard, f"{folder}/{dashboard.name}", as_of
-    )
+    merge = op.apply_merge_versioned if versioned else op.apply_merge
+    return merge(spark, compute(name, inputs, as_of, strict), dashboard, f"{folder}/{dashboard.name}", as_of)
 
 
 def refresh_all(
-    spark: SparkSession, inputs: Inputs, folder: str, as_of: date, strict: bool = False
+    spark: SparkSession, inputs: Inputs, folder: str, as_of: date, strict: bool = False, versioned: bool = False
 ) -> dict[str, dict[str, int]]:
     """Refresh every dashboard, portfolio and client rows, reading each input's facts once.
 
@@ -220,7 +231,9 @@ def refresh_all(
     """
     required = REQUIRED["invoices"] if strict else ("factura_id", "cliente_id")
     invoices = _accept(inputs["invoices"], required, strict)
-    items = _accept(_table(inputs, "annex_items", strict), _ITEMS, strict)
+    # An item without a commission is none for the sums, but its client counts.
+    needed = _BILLED_CLIENT_ITEMS if strict else _TERM_ITEMS
+    items = _accept(_table(inputs, "annex_items", _BILLED_CLIENT_ITEMS, strict), needed, strict)
     annexes = _accept(inputs["annexes"], _ANNEXES, strict)
     clients = _accept(inputs["clients"], _CLIENTS, strict)
     known = _accept(inputs["clients"], _CLIENT_IDS, strict)
@@ -234,7 +247,8 @@ def refresh_all(
         "grafica_clientes_x_condicion_pago": op.clients_of_buckets(buckets, clients),
         "parreto_clientes_comision": op.pareto_of_groups(groups, known),
     }
+    merge = op.apply_merge_versioned if versioned else op.apply_merge
     return {
-        name: op.apply_merge(spark, rows, DASHBOARDS[name], f"{folder}/{name}", as_of)
+        name: merge(spark, rows, DASHBOARDS[name], f"{folder}/{name}", as_of)
         for name, rows in computed.items()
     }

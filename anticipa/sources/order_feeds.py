@@ -139,6 +139,17 @@ def annex_feed(spark: SparkSession, folder: str) -> DataFrame:
     return lines.select(F.col("l_orderkey").alias("anexo_id"), "cliente_id", _items().alias("jsonb_agg"))
 
 
+def loose_annex_feed(spark: SparkSession, folder: str) -> DataFrame:
+    """The nested feed with fields missing: no date on any item, no term in discounts over 5 %, no commission if tax-free."""
+    lines = _table(spark, folder, "lineitem").join(_holders(spark, folder), "l_orderkey")
+    item = F.struct(
+        F.when(F.col("l_tax") > 0, _commission("l_tax")).alias("cant_comision"),
+        F.when(_rate() <= 5, _days()).alias("dias_pago"),
+        F.lit(None).cast("string").alias("fecha_registro"),
+    )
+    return lines.select(F.col("l_orderkey").alias("anexo_id"), "cliente_id", F.array(item).alias("jsonb_agg"))
+
+
 def loose_invoices(spark: SparkSession, folder: str) -> DataFrame:
     """Invoices as they may arrive, with fields missing: no rate on returned lines, no term on tax-free ones."""
     lines = _table(spark, folder, "lineitem").select("l_returnflag", "l_tax", *_line_columns())
@@ -191,6 +202,12 @@ def users_target(spark: SparkSession, folder: str) -> DataFrame:
     return parts.unionByName(suppliers)
 
 
+def users_target_unreadable(spark: SparkSession, folder: str) -> DataFrame:
+    """The same with row ids that could not be read: parts of brand 13, of which some users have other rows, some none."""
+    target = users_target(spark, folder)
+    return target.withColumn("id", F.when(F.col("status") != "Brand#13", F.col("id")))
+
+
 def _at(text: str) -> Column:
     return F.lit(text).cast("timestamp_ntz")
 

@@ -214,6 +214,42 @@ FROM grafica_nuevo n FULL OUTER JOIN (
 ON h.id_analisis = n.id_analisis AND h.dias = n.dias""",
 }
 
+# Items without a field that the chart uses are left out of it; the date is used by none.
+_LOOSE_ITEMS = """SELECT dias_pago, cant_comision, l_tax, l_returnflag, tasa_descuento, cliente_id,
+  CASE WHEN dias_pago > 0 AND dias_pago <= 30 THEN '0-30' WHEN dias_pago BETWEEN 31 AND 45 THEN '31-45'
+       WHEN dias_pago BETWEEN 46 AND 89 THEN '46-89' WHEN dias_pago = 90 THEN '90' WHEN dias_pago > 90 THEN '>90' END AS dias
+  FROM linea JOIN titular ON l_orderkey = o_orderkey WHERE tasa_descuento <= 5"""
+
+
+def _loose_chart(figure: str, items: str) -> str:
+    return f"""SELECT {_ALL}, t.dias, {figure} FROM tramo t LEFT JOIN ({items}) i ON i.dias = t.dias GROUP BY t.dias
+UNION ALL SELECT {_CLIENT}, t.dias, {figure} FROM cliente c CROSS JOIN tramo t
+LEFT JOIN ({items}) i ON i.dias = t.dias AND i.cliente_id = c.cliente_id {_BY_CLIENT}, t.dias"""
+
+
+_QUERIES |= {
+    "job_billed_by_term_loose": _loose_chart(_BILLED, f"{_LOOSE_ITEMS} AND l_tax > 0"),
+    "job_clients_by_term_loose": _loose_chart("COUNT(DISTINCT i.cliente_id) AS no_clientes", _LOOSE_ITEMS),
+    "billed_by_term_no_facts": f"""SELECT {_ALL}, dias, CAST(0 AS DECIMAL(28,4)) AS total_facturado FROM tramo
+UNION ALL SELECT {_CLIENT}, dias, CAST(0 AS DECIMAL(28,4)) FROM cliente c CROSS JOIN tramo {_BY_CLIENT}, dias""",
+    "snapshot_versions_state": _QUERIES["snapshot_merge_state"],
+    # Target rows of brand 13 have no row id. They stay; a user who has no other row is not inserted.
+    "users_sync_plan_unreadable": """SELECT id, target_id, action,
+  CASE WHEN action IN ('insert', 'update') THEN email END AS email,
+  CASE WHEN action IN ('insert', 'update') THEN status END AS status,
+  CASE WHEN action IN ('insert', 'update') THEN license_plates END AS license_plates
+FROM (
+  SELECT COALESCE(o.id, d.id_user_sb) AS id, d.id AS target_id, o.email, o.status, o.license_plates,
+    CASE WHEN d.rn > 1 THEN 'delete' WHEN o.id IS NULL THEN 'delete' WHEN o.veces > 1 OR o.email IS NULL THEN 'keep' ELSE 'update' END AS action
+  FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY id_user_sb ORDER BY id) AS rn FROM usuario_destino WHERE status <> 'Brand#13') d
+  LEFT JOIN origen o ON o.id = d.id_user_sb
+  UNION ALL
+  SELECT id, NULL, email, status, license_plates, 'insert' FROM origen
+  WHERE veces = 1 AND email IS NOT NULL AND id NOT IN (SELECT id_user_sb FROM usuario_destino)
+  UNION ALL
+  SELECT id_user_sb, NULL, NULL, NULL, NULL, 'keep' FROM usuario_destino WHERE status = 'Brand#13') p""",
+}
+
 # The combined frames are the portfolio rows followed by the client rows, over the invoices that have a client.
 _BOTH = {
     "rate_indicators": (_rates_all("factura"), "rate_indicators_by_client"),

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from anticipa import operators as op
-from anticipa import sources
+from anticipa import plans, sources
 from anticipa.sources import Table
 from anticipa.sources import order_feeds as feeds
 from helpers import final_plan, rows
@@ -83,6 +83,33 @@ def test_only_the_named_item_fields_are_read(spark, tmp_path):
     assert "ReadSchema: struct<jsonb_agg:array<struct<cant_comision:decimal(18,4),dias_pago:int>>>" in plan
 
 
+def test_jobs_read_only_the_item_fields_of_their_figure(spark, tmp_path):
+    path = str(tmp_path / "feed")
+    feeds.annex_feed(spark, FOLDER).write.parquet(path)
+    inputs = {"annex_feed": sources.annex_feed(spark, Table(path)), "clients": feeds.clients(spark, FOLDER)}
+    for job, fields in (("clients_by_term", "dias_pago:int"), ("billed_by_term", "cant_comision:decimal(18,4),dias_pago:int")):
+        plan = final_plan(plans.compute(job, inputs, feeds.AS_OF))
+        assert f"ReadSchema: struct<cliente_id:bigint,jsonb_agg:array<struct<{fields}>>>" in plan
+    plan = final_plan(plans.compute("billed_by_term_all", inputs, feeds.AS_OF))
+    assert "ReadSchema: struct<jsonb_agg:array<struct<cant_comision:decimal(18,4),dias_pago:int>>>" in plan
+
+
+def test_an_item_without_a_date_is_billed(spark, tmp_path):
+    (tmp_path / "feed.json").write_text(
+        '{"anexo_id":1,"cliente_id":7,"jsonb_agg":[{"cant_comision":1.0,"dias_pago":5,"fecha_registro":"2024-01-01"},{"cant_comision":2.0,"dias_pago":5},'
+        '{"cant_comision":4.0},{"dias_pago":5}]}\n{"anexo_id":2,"cliente_id":7,"jsonb_agg":"none"}\n'
+    )
+    clients = spark.createDataFrame([(7, "x")], "cliente_id long, nombre_fiscal string")
+    inputs = {"annex_feed": sources.annex_feed(spark, Table(str(tmp_path / "feed.json"), "json")), "clients": clients}
+    billed = plans.compute("billed_by_term", inputs, feeds.AS_OF).where("dias = '0-30'")
+    assert [float(r.total_facturado) for r in billed.collect()] == [3.0, 3.0]
+    counted = plans.compute("clients_by_term", inputs, feeds.AS_OF).where("dias = '0-30'")
+    assert [r.no_clientes for r in counted.collect()] == [1, 1]
+    left = plans.rejects("billed_by_term", inputs)
+    assert rows(left["annex_items"].select("reason")) == [("missing comision",), ("missing dias_pago",)]
+    assert [(r.cliente_id, r.reason) for r in left["annex_feed"].collect()] == [(7, "unreadable")]
+
+
 def test_no_driver_side_work_in_the_package():
     banned = r"\.collect\(|toPandas|\.rdd\b|localCheckpoint|udf|crossJoin|toLocalIterator|\.cache\(|\.persist\("
     for file in (f for f in (ROOT / "anticipa").rglob("*.py") if f.parent.name != "llm"):  # Python is at home there
