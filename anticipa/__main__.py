@@ -5,15 +5,16 @@ The tables file is JSON, name to `{"path": ..., "format": ..., "options": {...},
 
 import argparse
 import json
+import sys
 from collections.abc import Sequence
 from datetime import date, datetime, timezone
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Observation, SparkSession
 
 from . import operators as op
 from . import sources
-from .plans import JOBS, refresh, refresh_all, rejects
+from .plans import JOBS, refresh, refresh_all
 from .sources import Table
 
 def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
@@ -24,6 +25,8 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     run.add_argument("jobs", nargs="+", choices=["all", *sorted(JOBS)], metavar="job", help="job names, or all")
     run.add_argument("--dashboards", required=True, help="folder of the dashboard tables")
     run.add_argument("--as-of", type=date.fromisoformat, help="day of the snapshot, today (UTC) if left out")
+    run.add_argument("--versioned", action="store_true", help="keep versions of each dashboard and switch the day in one step")
+    run.add_argument("--preview", action="store_true", help="show some random rows that each job has read")
     run.add_argument("--strict", action="store_true", help="fail on the first row that breaks the input contract")
     run.add_argument("--rejects", help="also write the rows left out, as JSON with the reason, to this new folder")
     sync = commands.add_parser("sync", help="write a new copy of the users target that equals the source")
@@ -47,14 +50,17 @@ def main(argv: Sequence[str] | None = None) -> dict[str, dict[str, int]]:
         return done
     as_of = args.as_of or datetime.now(timezone.utc).date()
     inputs = sources.read_all(spark, tables)
-    whole = "all" in args.jobs
-    if args.rejects:
-        for job in [j for j in JOBS if not j.endswith(("_all", "_by_client"))] if whole else args.jobs:
-            for table, rows in rejects(job, inputs).items():
-                rows.write.json(f"{args.rejects}/{job}/{table}")
-    if whole:
-        return refresh_all(spark, inputs, args.dashboards, as_of, args.strict)
-    return {job: refresh(spark, job, inputs, args.dashboards, as_of, args.strict) for job in args.jobs}
+    if "all" in args.jobs:
+        left_out = args.rejects and f"{args.rejects}/all"
+        return refresh_all(spark, inputs, args.dashboards, as_of, args.strict, args.versioned, left_out)
+    done = {}
+    for job in args.jobs:
+        seen = Observation() if args.preview else None
+        left_out = args.rejects and f"{args.rejects}/{job}"
+        done[job] = refresh(spark, job, inputs, args.dashboards, as_of, args.strict, args.versioned, left_out, seen)
+        if seen:
+            print(f"{job}: some rows of its input", *op.preview_of(seen), sep="\n  ", file=sys.stderr)
+    return done
 
 
 if __name__ == "__main__":

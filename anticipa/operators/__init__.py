@@ -1,4 +1,4 @@
-"""Relational operators over the typed inputs. All are lazy; none starts a Spark job."""
+"""Relational operators over the typed inputs. Those that write say so; the others are lazy."""
 
 from .groups import credit_days_of_groups, invoice_groups, pareto_of_groups, rates_of_groups
 from .indicators import (
@@ -13,9 +13,18 @@ from .indicators import (
     rate_indicators_all,
     rate_indicators_by_client,
 )
-from .inputs import annex_items, item_fields, nested_fields, unique_clients
+from .inputs import annex_items, item_fields, nested_fields, open_fields, unique_clients
 from .pareto import client_commission
-from .quality import enforce_contract, preview, reject_counts, split_contract
+from .quality import (
+    drawn_rows,
+    enforce_contract,
+    preview,
+    preview_of,
+    previewed,
+    reject_counts,
+    split_contract,
+    split_once,
+)
 from .snapshot import Dashboard, apply_merge, merged_day, plan_merge, todays_rows
 from .sync import apply_sync, dead_letters, plan_sync, rejected_users, synced, target_ids
 from .terms import (
@@ -57,16 +66,20 @@ __all__ = [
     "credit_days_of_groups",
     "current",
     "dead_letters",
+    "drawn_rows",
     "drop_unnamed",
     "enforce_contract",
     "invoice_groups",
     "item_fields",
     "merged_day",
     "nested_fields",
+    "open_fields",
     "pareto_of_groups",
     "plan_merge",
     "plan_sync",
     "preview",
+    "preview_of",
+    "previewed",
     "put_new",
     "rate_frequencies",
     "rate_indicators",
@@ -77,6 +90,7 @@ __all__ = [
     "read_version",
     "rejected_users",
     "split_contract",
+    "split_once",
     "synced",
     "target_ids",
     "term_buckets",

@@ -32,6 +32,12 @@ def annex_items(feed: DataFrame, *fields: str) -> DataFrame:
     return feed.select(*header, F.inline(items).alias(*fields))
 
 
+def open_fields(feed: DataFrame, *fields: str) -> DataFrame:
+    """One row per item of a feed that holds the item `fields` as one array each, with the other columns."""
+    header = [c for c in feed.columns if c not in fields]
+    return feed.select(*header, F.inline(F.arrays_zip(*fields)).alias(*fields))
+
+
 def unique_clients(clients: DataFrame) -> DataFrame:
     """One row per client; of several names the first in text order stands."""
     return clients.groupBy("cliente_id").agg(F.min("nombre_fiscal").alias("cliente"))

@@ -1,11 +1,13 @@
 """Input contract and preview."""
 
 from collections.abc import Sequence
+from uuid import uuid4
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..schemas import CORRUPT
+from ..session import shared_folder
 
 
 def _reason(df: DataFrame, required: Sequence[str]) -> Column:
@@ -39,6 +41,27 @@ def enforce_contract(df: DataFrame, required: Sequence[str]) -> DataFrame:
     return df.where(F.when(reason.isNull(), True).otherwise(failed)).drop(CORRUPT)
 
 
+def split_once(
+    df: DataFrame, required: Sequence[str], name: str, wanted: Sequence[str] = ()
+) -> tuple[DataFrame, DataFrame, Observation]:
+    """Like `split_contract`, out of one read of `df`: rows and rejects are written side by side to the shared folder.
+
+    Rows that only lack one of the `wanted` fields are accepted and among the rejects, as some figures leave them out. The
+    observation holds rows per reason and those `accepted`, counted as they are written.
+    """
+    reason = _reason(df, [*required, *(w for w in wanted if w not in required)])
+    whole = _reason(df, required).isNull()
+    marked = df.withColumns({"reason": reason, "accepted": whole})
+    reasons = ["unreadable", *[f"missing {f}" for f in dict.fromkeys((*required, *wanted))]]
+    seen = Observation()
+    counts = [F.count_if(F.col("reason") == r).alias(r) for r in reasons]
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid4()}"
+    marked.observe(seen, F.count_if("accepted").alias("accepted"), *counts).write.partitionBy("accepted").parquet(path)
+    stored = df.sparkSession.read.schema(marked.schema).parquet(path)
+    rows = stored.where(F.col("accepted")).drop("accepted", "reason", CORRUPT)
+    return rows, stored.where(F.col("reason").isNotNull()).drop("accepted"), seen
+
+
 def reject_counts(df: DataFrame, required: Sequence[str]) -> DataFrame:
     _, rejects = split_contract(df, required)
     return rejects.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
@@ -47,3 +70,26 @@ def reject_counts(df: DataFrame, required: Sequence[str]) -> DataFrame:
 def preview(df: DataFrame, fraction: float = 0.5, rows: int = 10, seed: int | None = None) -> DataFrame:
     """A few random rows to look at."""
     return df.sample(withReplacement=False, fraction=fraction, seed=seed).limit(rows)
+
+
+def _drawn(df: DataFrame, rows: int, seed: int) -> list[Column]:
+    """Draws with replacement among the distinct rows: each is the row with the greatest hash of its own."""
+    whole = F.struct(*df.columns)
+    return [F.max_by(whole, F.xxhash64(F.lit(seed + i), *df.columns)).alias(f"row_{i}") for i in range(rows)]
+
+
+def drawn_rows(df: DataFrame, rows: int = 10, seed: int = 0) -> DataFrame:
+    """`rows` random rows, from one aggregation of fixed size; none of an empty frame."""
+    picked = df.agg(*_drawn(df, rows, seed))
+    return picked.select(F.inline(F.filter(F.array(*picked.columns), lambda row: row.isNotNull())))
+
+
+def previewed(df: DataFrame, seen: Observation, rows: int = 10, seed: int = 0) -> DataFrame:
+    """`df`, whose next action also leaves random rows of it in `seen`: the preview rides on the job's own scan."""
+    return df.observe(seen, *_drawn(df, rows, seed))
+
+
+def preview_of(seen: Observation) -> list[dict]:
+    """The distinct rows that `previewed` left."""
+    rows = [row.asDict() for row in seen.get.values() if row is not None]
+    return [row for i, row in enumerate(rows) if row not in rows[:i]]

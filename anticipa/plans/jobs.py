@@ -4,7 +4,8 @@ from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from .. import operators as op
 from ..operators import Dashboard
@@ -187,14 +188,17 @@ def _own_feed(feed: DataFrame, required: tuple[str, ...]) -> DataFrame:
     return feed.select(*header, *op.nested_fields(*names), *[CORRUPT for c in feed.columns if c == CORRUPT])
 
 
-def compute(name: str, inputs: Inputs, as_of: date, strict: bool = False) -> DataFrame:
-    """The job's result over the rows that keep the contract; with `strict`, a bad row fails the job."""
-    job = JOBS[name]
-    tables = [
+def _accepted_tables(job: Job, inputs: Inputs, strict: bool) -> list[DataFrame]:
+    return [
         _accept(_own_fields(_table(inputs, table, required, strict), required), required, strict)
         for table, required in job.reads.items()
     ]
-    return job.compute(*tables, as_of)
+
+
+def compute(name: str, inputs: Inputs, as_of: date, strict: bool = False) -> DataFrame:
+    """The job's result over the rows that keep the contract; with `strict`, a bad row fails the job."""
+    job = JOBS[name]
+    return job.compute(*_accepted_tables(job, inputs, strict), as_of)
 
 
 def rejects(name: str, inputs: Inputs) -> dict[str, DataFrame]:
@@ -209,34 +213,89 @@ def rejects(name: str, inputs: Inputs) -> dict[str, DataFrame]:
     return left_out
 
 
+def _split(inputs: Inputs, table: str, required: tuple[str, ...], wanted: tuple[str, ...] = ()) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """Accepted rows of a job's table and its rejects by input, from one read of the input."""
+    if table != "annex_items":
+        rows = _own_fields(inputs[table], tuple(dict.fromkeys((*required, *wanted))))
+        accepted, left_out, _ = op.split_once(rows, required, table, wanted)
+        return accepted, {table: left_out}
+    fields = tuple(dict.fromkeys((*required, *wanted)))
+    feed, unread, _ = op.split_once(_own_feed(inputs["annex_feed"], fields), (), "annex_feed")
+    items = op.open_fields(feed, *op.item_fields(fields))
+    accepted, _ = op.split_contract(items, required)
+    return accepted, {"annex_items": op.split_contract(items, fields)[1], "annex_feed": unread}
+
+
+def _write_rejects(left_out: Mapping[str, DataFrame], folder: str) -> None:
+    for table, rows in left_out.items():
+        rows.write.json(f"{folder}/{table}")
+
+
 def refresh(
-    spark: SparkSession, name: str, inputs: Inputs, folder: str, as_of: date, strict: bool = False, versioned: bool = False
+    spark: SparkSession,
+    name: str,
+    inputs: Inputs,
+    folder: str,
+    as_of: date,
+    strict: bool = False,
+    versioned: bool = False,
+    rejects: str | None = None,
+    preview: Observation | None = None,
 ) -> dict[str, int]:
     """Run one job and merge its result into its dashboard under `folder`; returns rows per action.
 
-    `versioned` dashboards switch the day in one step and are read with `operators.read_version`.
+    `versioned` dashboards switch the day in one step and are read with `operators.read_version`. With a new folder
+    `rejects`, rows left out are written there, as JSON with the reason; each input is still read once. `preview` holds
+    random rows of the job's first table afterwards, see `operators.preview_of`.
     """
-    dashboard = DASHBOARDS[JOBS[name].dashboard]
+    job = JOBS[name]
+    dashboard = DASHBOARDS[job.dashboard]
     merge = op.apply_merge_versioned if versioned else op.apply_merge
-    return merge(spark, compute(name, inputs, as_of, strict), dashboard, f"{folder}/{dashboard.name}", as_of)
+    if rejects is None:
+        tables = _accepted_tables(job, inputs, strict)
+    else:
+        tables = []
+        for table, required in job.reads.items():
+            accepted, left_out = _split(inputs, table, required)
+            _write_rejects(left_out, rejects)
+            if strict and any(not rows.isEmpty() for rows in left_out.values()):
+                raise ValueError(f"input contract broken: see {rejects}")
+            tables.append(accepted)
+    if preview is not None:
+        tables[0] = op.previewed(tables[0], preview)
+    return merge(spark, job.compute(*tables, as_of), dashboard, f"{folder}/{dashboard.name}", as_of)
 
 
 def refresh_all(
-    spark: SparkSession, inputs: Inputs, folder: str, as_of: date, strict: bool = False, versioned: bool = False
+    spark: SparkSession,
+    inputs: Inputs,
+    folder: str,
+    as_of: date,
+    strict: bool = False,
+    versioned: bool = False,
+    rejects: str | None = None,
 ) -> dict[str, dict[str, int]]:
     """Refresh every dashboard, portfolio and client rows, reading each input's facts once.
 
     The aggregates that several dashboards follow from are written to the shared folder, so that a lost executor
-    costs at most its part of one of them.
+    costs at most its part of one of them. With a new folder `rejects`, rows that are left out of any figure are written
+    there by input, as JSON with the first reason.
     """
-    required = REQUIRED["invoices"] if strict else ("factura_id", "cliente_id")
-    invoices = _accept(inputs["invoices"], required, strict)
     # An item without a commission is none for the sums, but its client counts.
-    needed = _BILLED_CLIENT_ITEMS if strict else _TERM_ITEMS
-    items = _accept(_table(inputs, "annex_items", _BILLED_CLIENT_ITEMS, strict), needed, strict)
-    annexes = _accept(inputs["annexes"], _ANNEXES, strict)
-    clients = _accept(inputs["clients"], _CLIENTS, strict)
-    known = _accept(inputs["clients"], _CLIENT_IDS, strict)
+    least = {"invoices": ("factura_id", "cliente_id"), "annex_items": _TERM_ITEMS, "annexes": _ANNEXES, "clients": _CLIENT_IDS}
+    wanted = {"invoices": REQUIRED["invoices"], "annex_items": _BILLED_CLIENT_ITEMS, "annexes": _ANNEXES, "clients": _CLIENTS}
+    needed = wanted if strict else least
+    if rejects is None:
+        tables = {t: _accept(_table(inputs, t, wanted[t], strict), needed[t], strict) for t in least}
+    else:
+        tables = {}
+        for table in least:
+            tables[table], left_out = _split(inputs, table, least[table], wanted[table])
+            _write_rejects(left_out, rejects)
+            if strict and any(not rows.isEmpty() for rows in left_out.values()):
+                raise ValueError(f"input contract broken: see {rejects}")
+    invoices, items, annexes, known = (tables[t] for t in ("invoices", "annex_items", "annexes", "clients"))
+    clients = known.where(F.col("nombre_fiscal").isNotNull())
     groups = written(op.invoice_groups(invoices), "invoice-groups")
     buckets = written(op.term_buckets(items), "term-buckets")
     computed = {

@@ -232,6 +232,7 @@ _QUERIES |= {
     "job_clients_by_term_loose": _loose_chart("COUNT(DISTINCT i.cliente_id) AS no_clientes", _LOOSE_ITEMS),
     "billed_by_term_no_facts": f"""SELECT {_ALL}, dias, CAST(0 AS DECIMAL(28,4)) AS total_facturado FROM tramo
 UNION ALL SELECT {_CLIENT}, dias, CAST(0 AS DECIMAL(28,4)) FROM cliente c CROSS JOIN tramo {_BY_CLIENT}, dias""",
+    "invoice_preview_rows": "SELECT LEAST(COUNT(*), 10) AS n_drawn, LEAST(COUNT(*), 10) AS n_invoices FROM linea",
     "snapshot_versions_state": _QUERIES["snapshot_merge_state"],
     # Target rows of brand 13 have no row id. They stay; a user who has no other row is not inserted.
     "users_sync_plan_unreadable": """SELECT id, target_id, action,
