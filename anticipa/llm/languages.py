@@ -186,5 +186,29 @@ def identify(docs: DataFrame, model: Model | None, text: str = "text", name: str
     return docs.withColumn(name, of(F.col(text)))
 
 
+def recognised(docs: DataFrame, model: Model | None, text: str = "text", name: str = "recognised") -> DataFrame:
+    """`docs` with the column `name`: whether some language of the model codes the whole text in under 8 bits a byte.
+
+    A text that is no shorter in any language than without a model is in none of them: another script, or noise. Null texts
+    and texts without a letter are not recognised, nor is any text if there is no model. Repeated rows are judged alike.
+    """
+    if model is None:
+        return docs.withColumn(name, F.lit(False))
+    frozen = docs.sparkSession.sparkContext.broadcast(model)  # bounded by its number of contexts
+
+    @F.pandas_udf("boolean")
+    def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        worker_cache.cache_clear()  # of a stage before this one in the same worker: the model needs the room
+        ready = frozen.value.prepare()
+        for texts in batches:
+            able = [t is not None and any(map(str.isalpha, t)) for t in texts]
+            some = [t for t, a in zip(texts, able) if a]
+            sizes = np.array([8 * len(t.encode("utf-8", "surrogatepass")) for t in some])
+            short = iter(ready.scores(some).min(axis=1) < sizes if some else [])
+            yield pd.Series([bool(next(short)) if a else False for a in able])
+
+    return docs.withColumn(name, of(F.col(text)))
+
+
 def held_out(doc_id: Column) -> Column:
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(5)) == 0

@@ -20,6 +20,8 @@ RULES = {
     "slack": (r"xox[abprs]-[A-Za-z0-9-]{10,}", 0, 0),
 }
 BASE = ("assign", "access", "hex")
+# Column names of our own, which no table of a user has.
+_ID, _KINDS = "anticipa candidate id", "anticipa candidate kinds"
 SPANS = "array<struct<start:int,kind_rank:int,end:int,kind:string>>"
 
 
@@ -116,10 +118,10 @@ def with_spans(docs: DataFrame, rules: dict | None = None, name: str = "spans")
     if queries:
         index = trigram_index(docs, sorted({t for q in queries.values() for needed in q for t in needed}))
         hits = written(candidates(index, queries), "candidates").select(
-            F.col("doc_id").alias("_candidate_id"), F.col("kinds").alias("_candidate_kinds")
+            F.col("doc_id").alias(_ID), F.col("kinds").alias(_KINDS)
         )
-        marked = docs.join(hits, F.col("doc_id").eqNullSafe(F.col("_candidate_id")), "left")
-        listed = F.coalesce("_candidate_kinds", listed)
+        marked = docs.join(hits, F.col("doc_id").eqNullSafe(F.col(_ID)), "left")
+        listed = F.coalesce(_KINDS, listed)
     none = F.array().cast(SPANS)
     found = [
         F.when(F.array_contains(listed, k), _spans(text, k, rules)).otherwise(none) if k in queries else _spans(text, k, rules)

@@ -1,8 +1,10 @@
 """Token ids of whole texts by a public tokenizer, with a bounded cache of words."""
 
+import json
 import os
 from collections.abc import Iterator
 from functools import lru_cache
+from pathlib import Path
 from string import punctuation
 
 import numpy as np
@@ -117,5 +119,11 @@ def id_bytes(text: Column, path: str, end_id: int | None = None) -> Column:
     return encode(F.coalesce(text, F.lit("")))
 
 
+@lru_cache
 def id_width(path: str) -> int:
-    return WordCache(path).dtype.itemsize
+    """Bytes of an id, read off the vocabulary: the driver needs no tokenizer, and its memory does not grow run by run."""
+    known = json.loads(Path(path).read_text(encoding="utf-8"))
+    vocabulary = known["model"]["vocab"]
+    ids = vocabulary.values() if isinstance(vocabulary, dict) else range(len(vocabulary))
+    most = max([*ids, *(t["id"] for t in known.get("added_tokens") or [])])
+    return 2 if most < 1 << 16 else 4

@@ -166,6 +166,33 @@ def test_code_lengths_are_exact_and_unknown_texts_und():
     assert languages.predicted(model, ["x", "y", None, "", "1 2"])[0] == ["a", "b", "und", "und", "und"]
 
 
+def test_the_model_decides_what_is_a_language(spark):
+    prose = [("the cat sat on the mat and then the dog ran after the cat " * 3, "a"), ("der hund lief und die katze saß auf der matte " * 3, "b")]
+    model = languages.train(spark.createDataFrame(prose * 3, "text string, lang string"))
+    rng = np.random.default_rng(5)
+    noise = "".join(map(chr, rng.integers(0x4E00, 0x9FFF, 200)))
+    texts = ["the dog sat", "Die Katze lief.", noise, None, "", "12 %", "a", "the dog sat " * 20_000]
+    df = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, recognised2 string")
+    got = {r["doc_id"]: r["recognised"] for r in languages.recognised(df, model).collect()}
+    assert got == {0: True, 1: True, 2: False, 3: False, 4: False, 5: False, 6: True, 7: True}
+    assert languages.recognised(df, None).where("recognised").count() == 0
+
+
+def test_id_width_is_that_of_the_tokenizer():
+    assert tokens.id_width(PATH) == tokens.WordCache(PATH).dtype.itemsize
+
+
+def test_stages_keep_clashing_columns(spark, tmp_path):
+    names = ["_language", "_hit", "_spans", "_own_bits", "_candidate_id", "_candidate_kinds", "_first_id", "language", "recognised"]
+    rows = [(i, f"{WORDS} number {i} of the many " + ("x y z " * i), "en", "s", 9, *names) for i in range(4)] + [(9, None, None, None, None, *names)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{n}` string" for n in names))
+    spark.createDataFrame([(1, "some other words that are in no document at all")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        df = stage(spark, df, str(tmp_path))
+        assert df.columns[5:] == names and all([r[n] for n in names] == names for r in df.collect())
+    assert 1 <= df.count() <= 4
+
+
 def test_empty_tables(spark, docs):
     none = docs.limit(0)
     for df in (simhash.near_duplicates(none), packing.pack(none, PATH), kd_shards.shard_by_bytes(none, 4), licenses.scan(none),
