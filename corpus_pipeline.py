@@ -10,14 +10,21 @@ from anticipa.llm import queries as corpus
 from anticipa.llm.common import columns_of, ship_code
 from anticipa.session import written
 
+_OWN = "anticipa pipeline"  # a column name that no table of a user has
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in one of the languages that the labelled ones teach; null texts and texts without a letter go."""
+    """Documents that some language of the labelled ones codes in fewer bits than no model would.
+
+    Null texts, texts without a letter, and texts in other scripts or of noise go. Without any labelled text nothing can be
+    judged, and every text with a letter stays.
+    """
     ship_code(spark)
-    judged = languages.identify(docs, languages.train(docs.select("text", "lang")), name="_language")
-    return judged.where(F.col("_language.lang_pred") != languages.UNKNOWN).select(*columns_of(docs))
+    model = languages.train(docs.select("text", "lang"))
+    if model is None:
+        return docs.where(F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
+    return languages.recognised(docs, model, name=_OWN).where(F.col(_OWN)).select(*columns_of(docs))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,16 +38,16 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     ship_code(spark)
     texts = docs.select(F.md5(F.col("text").cast("binary")).alias("doc_id"), "text")
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = decontaminate.contamination(texts, benchmark).where("n_hit > 0").select(F.col("doc_id").alias("_hit")).distinct()
+    found = decontaminate.contamination(texts, benchmark).where("n_hit > 0").select(F.col("doc_id").alias(_OWN)).distinct()
     own = F.md5(F.col("text").cast("binary"))
-    return docs.join(written(found, "contaminated"), own == F.col("_hit"), "left_anti").select(*columns_of(docs))
+    return docs.join(written(found, "contaminated"), own == F.col(_OWN), "left_anti").select(*columns_of(docs))
 
 
 def redacted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every secret is replaced by a mark, and n_chars follows; the documents stay."""
-    found = secrets.with_spans(docs, name="_spans")
-    text = secrets.redacted(F.col("text"), F.col("_spans"))
-    changed = F.size("_spans") > 0
+    found = secrets.with_spans(docs, name=_OWN)
+    text = secrets.redacted(F.col("text"), F.col(_OWN))
+    changed = F.size(_OWN) > 0
     new = {"text": text, "n_chars": F.when(changed, F.length(text).cast("long")).otherwise(F.col("n_chars"))}
     return found.select(*(new[c].alias(c) if c in new else column for c, column in zip(docs.columns, columns_of(docs))))
 
