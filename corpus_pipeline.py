@@ -65,7 +65,7 @@ STAGES: list[tuple[str, Stage]] = [
     ("packing", packed),
 ]
 
-# Trained models, fingerprints and tokenizers have no SQL: tests hold the rows against a brute-force version.
+# Trained models, fingerprints and tokenizers have no SQL. Tests hold the operators, not yet the whole chain, against brute force.
 ORACLE_SQL = None
 
 
