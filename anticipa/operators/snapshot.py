@@ -9,15 +9,13 @@ For one day and a natural key (analysis id, and the bucket or rate where the tab
 * key only present: all its rows are kept, unless the table names an owner of groups (`replaced`) and the owner was
   computed anew: then the rows are groups it no longer has, and are deleted.
 
-Copies of one key may be many, so they are never brought together whole: the surviving id is a map-side combined
-minimum, and the copies meet their key's computed row in slices of about `_COPIES_PER_SLICE` rows.
+Copies of one key may be many, so they are never brought together whole: the day is read and dealt once, by key and a
+slice of the ids; the first row of a key is a map-side combined minimum, and each slice meets the computed row by itself.
 """
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date
-from functools import reduce
-from operator import or_
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -26,7 +24,8 @@ from pyspark.sql import functions as F
 from ..functions import day_window
 from ..session import written
 
-_COPIES_PER_SLICE = 100_000
+# A power of two: a key that holds most of the day's rows is dealt out as this many slices.
+_SLICES = 1024
 
 
 @dataclass(frozen=True)
@@ -52,74 +51,64 @@ def todays_rows(state: DataFrame, as_of: date) -> DataFrame:
 
 
 def _matched(
-    computed: DataFrame, today: DataFrame, keys: Sequence[str], copies_per_slice: int, replaced: Sequence[str] = ()
+    computed: DataFrame, today: DataFrame, keys: Sequence[str], slices: int, replaced: Sequence[str] = ()
 ) -> DataFrame:
     """Every row of today next to the computed row of its key, and the computed rows that have none.
 
-    Computed keys are never null. Rows of today with a null key, which another writer may have left, are kept. The
-    computed frame is used once, so its job is not run twice. Adds today's other columns as `_old_<name>` and the
-    `action`. With `replaced` the computed frame is used twice, so it is written to the shared folder first.
+    Computed keys are never null. Rows of today with a null key, which another writer may have left, are kept. Each frame
+    is read once, so no job or scan runs twice. Adds today's other columns as `_old_<name>` and the `action`; the caller
+    has to use all of them, or both uses of the day are pruned to different columns and share nothing. With `replaced`
+    the computed frame is used twice, so it is written to the shared folder first.
     """
     keys = list(keys)
     if replaced:
         computed = written(computed, "computed")
-    # Said of the keys themselves, so that both uses of the survivors below filter alike and share one shuffle.
-    some_null = reduce(or_, [F.col(key).isNull() for key in keys])
-    broken = today.where(some_null)
-    for key in keys:
-        today = today.where(F.col(key).isNotNull())
-    survivors = today.groupBy(*keys).agg(
-        F.min("id").alias("_survivor"), F.ceil(F.count(F.lit(1)) / copies_per_slice).alias("_slices")
-    )
-    # One row per slice of the key; a key that is not present has one slice, which no row is in.
-    last_slice = F.coalesce(F.col("_slices"), F.lit(1)) - 1
+    old = {c: F.col(c).alias(f"_old_{c}") for c in today.columns if c not in keys}
+    # The one shuffle of the day's rows. Both uses below take all of its columns, so that they share it and its scan.
+    dealt = today.select(
+        *keys, *old.values(), F.xxhash64("id").bitwiseAND(F.lit(slices - 1)).alias("_slice")
+    ).repartition(*keys, "_slice")
+    whole = F.struct(F.col("_old_id").isNull().alias("last"), "_old_id", *[f"_old_{c}" for c in old if c != "id"])
+    present = (
+        dealt.groupBy(*keys, "_slice").agg(F.min(whole).alias("_first"))
+        .groupBy(*keys).agg(F.min("_first").alias("_first"), F.collect_set("_slice").alias("_slices"))  # `slices` at most
+        .select(*keys, "_slices", F.col("_first._old_id").alias("_survivor"), F.lit(True).alias("_present"))
+    )
+    # One row per slice that the key has rows in; a key that is not present has one, which no row is in.
     per_slice = (
         computed.withColumn("_computed", F.lit(True))
-        .join(survivors, keys, "full")
-        .withColumn("_slice", F.explode(F.sequence(F.lit(0).cast("long"), last_slice)))
-    )
-    absent = F.col("_survivor").isNull()
-
-    # A key with more than one slice has more than `copies_per_slice` rows, which bounds their number, and so the
-    # broadcast, by the day's rows over that constant: a day of five billion rows has at most 50,000 such keys.
-    hot = F.broadcast(survivors.where(F.col("_slices") > 1).select(*keys, "_slices"))
-    slice_of = F.coalesce(F.pmod(F.xxhash64("id"), F.col("_slices")), F.lit(0).cast("long"))
-    rows = today.join(hot, keys, "left").select(
-        *keys, slice_of.alias("_slice"), *[F.col(c).alias(f"_old_{c}") for c in today.columns if c not in keys]
+        .join(present, keys, "full")
+        .withColumn("_slice", F.explode(F.coalesce(F.col("_slices"), F.array(F.lit(0).cast("long")))))
+        .drop("_slices")
     )
-    action = (
-        F.when(F.col("_computed").isNull(), F.when(F.col("_anew"), "delete").otherwise("keep"))
-        .when(absent, "insert")
-        .when(F.col("_old_id") == F.col("_survivor"), "update")
-        .otherwise("delete")
-    )
-    # A slice that no row fell into leaves an unmatched row behind.
-    matched = (
-        per_slice.join(rows, [*keys, "_slice"], "left")
-        .where(absent | F.col("_old_id").isNotNull())
+    # A null key finds neither its computed row nor itself: its rows come out alone.
+    matched = per_slice.join(dealt.withColumn("_row", F.lit(True)), [*keys, "_slice"], "full").where(
+        F.col("_row").isNotNull() | F.col("_present").isNull()
     )
     if replaced:
         owners = computed.select(*replaced).distinct().withColumn("_anew", F.lit(True))
         matched = matched.join(owners, list(replaced), "left")
     else:
         matched = matched.withColumn("_anew", F.lit(False))
-    matched = matched.withColumn("action", action).drop("_anew")
-    broken = broken.select(
-        *keys, *[F.col(c).alias(f"_old_{c}") for c in broken.columns if c not in keys], F.lit("keep").alias("action")
+    action = (
+        F.when(F.col("_computed").isNull(), F.when(F.col("_anew"), "delete").otherwise("keep"))
+        .when(F.col("_row").isNull(), "insert")
+        .when(F.col("_old_id").eqNullSafe(F.col("_survivor")), "update")
+        .otherwise("delete")
     )
-    return matched.unionByName(broken, allowMissingColumns=True)
+    return matched.withColumn("action", action).drop("_anew")
 
 
 def plan_merge(
     computed: DataFrame,
     today: DataFrame,
     keys: Sequence[str],
-    copies_per_slice: int = _COPIES_PER_SLICE,
+    slices: int = _SLICES,
     replaced: Sequence[str] = (),
 ) -> DataFrame:
     """One row per affected table row: `id` (null on insert), the computed columns, and the `action`."""
     values = [c for c in computed.columns if c not in keys]
-    matched = _matched(computed, today, keys, copies_per_slice, replaced)
+    matched = _matched(computed, today.select("id", *keys), keys, slices, replaced)
     return matched.select(F.col("_old_id").alias("id"), *keys, *values, "action")
 
 
@@ -139,7 +128,7 @@ def _merged_rows(computed: DataFrame, today: DataFrame, dashboard: Dashboard, as
     }
     if "cliente" not in keys:
         columns["cliente"] = F.when(new, F.col("cliente")).otherwise(F.col("_old_cliente"))
-    matched = _matched(computed, today, keys, _COPIES_PER_SLICE, dashboard.replaced)
+    matched = _matched(computed, today.select(*dashboard.columns), keys, _SLICES, dashboard.replaced)
     return matched.select(*[columns.get(c, F.col(c)).alias(c) for c in dashboard.columns], "action")
 
 

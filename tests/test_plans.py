@@ -115,8 +115,7 @@ def test_no_driver_side_work_in_the_package():
     for file in (f for f in (ROOT / "anticipa").rglob("*.py") if f.parent.name != "llm"):  # Python is at home there
         text = file.read_text()
         assert not re.search(banned, text), file
-        # The one broadcast is of the keys with too many copies, bounded by a constant share of the rows.
-        assert text.count("broadcast(") == (file.name == "snapshot.py"), file
+        assert "broadcast(" not in text, file
 
 
 def test_day_partition_is_pruned(spark, tmp_path):
@@ -167,11 +166,32 @@ def test_much_copied_dashboard_key(spark, conf):
     computed = spark.createDataFrame(
         [("CLIENTE-1", "a", 1.0), ("CLIENTE-2", "b", 2.0)], "id_analisis string, cliente string, v double"
     )
-    for size in (100_000, 1000, 7):
-        plan = op.plan_merge(computed, today, ["id_analisis"], copies_per_slice=size)
+    for slices in (1, 32, 4096):
+        plan = op.plan_merge(computed, today, ["id_analisis"], slices=slices)
         assert {r.action: r["count"] for r in plan.groupBy("action").count().collect()} == {
             "update": 1, "insert": 1, "delete": 19999, "keep": 10000,
         }
         assert plan.select("id").distinct().count() == 30001
         text = final_plan(plan)
         assert "Window" not in text and re.search(r"hashpartitioning\(id_analisis#\d+, _slice#\d+", text)
+
+
+@pytest.mark.parametrize("keys", [("id_analisis",), ("id_analisis", "dias")])
+def test_merge_reads_the_day_once_and_forces_no_broadcast(spark, conf, tmp_path, keys):
+    conf(autoBroadcastJoinThreshold="-1")
+    n = F.col("id") % 700
+    today = spark.range(5000).select(
+        "id", F.when(n < 600, n.cast("string")).alias("id_analisis"), F.lit("x").alias("dias"), F.col("id").alias("v"),
+    )
+    today.repartition(3).write.parquet(f"{tmp_path}/today")
+    computed = spark.range(500, 900).select(F.col("id").cast("string").alias("id_analisis"), F.lit("x").alias("dias"), (-n).alias("v"))
+    computed.write.parquet(f"{tmp_path}/computed")
+    today, computed = spark.read.parquet(f"{tmp_path}/today"), spark.read.parquet(f"{tmp_path}/computed")
+    plan = op.plan_merge(computed, today, keys)
+    text = final_plan(plan)
+    assert text.count("FileScan") == 2 and text.count("ReusedExchange") == 1  # the day's and the computed rows
+    assert "Broadcast" not in text and "Window" not in text
+    counts = {r.action: r["count"] for r in plan.groupBy("action").count().collect()}
+    present = [(i, i % 700) for i in range(5000)]
+    again = [i for i, k in present if 500 <= k < 600]
+    assert counts == {"insert": 300, "update": 100, "delete": len(again) - 100, "keep": 5000 - len(again)}
