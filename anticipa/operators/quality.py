@@ -6,13 +6,15 @@ from uuid import uuid4
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ..schemas import CORRUPT
+from ..schemas import CORRUPT, WRONG_TYPE
 from ..session import shared_folder
 
 
 def _reason(df: DataFrame, required: Sequence[str]) -> Column:
-    """Why a row breaks the contract, or null. Unreadable text is named before missing fields."""
+    """Why a row breaks the contract, or null. Unreadable text is named first, then wrong types, then missing fields."""
     checks = [F.when(F.col(CORRUPT).isNotNull(), "unreadable")] if CORRUPT in df.columns else []
+    if WRONG_TYPE in df.columns:  # such a value was read as null
+        checks += [F.when(F.array_contains(WRONG_TYPE, name), f"wrong type {name}") for name in required]
     checks += [F.when(F.col(name).isNull(), f"missing {name}") for name in required]
     return F.coalesce(*checks, F.lit(None).cast("string"))
 
@@ -21,7 +23,8 @@ def _accepted(df: DataFrame, required: Sequence[str]) -> DataFrame:
     # Spelled as plain null tests, so that they reach the scan.
     for name in required:
         df = df.where(F.col(name).isNotNull())
-    return df.where(F.col(CORRUPT).isNull()).drop(CORRUPT) if CORRUPT in df.columns else df
+    df = df.where(F.col(CORRUPT).isNull()) if CORRUPT in df.columns else df
+    return df.drop(CORRUPT, WRONG_TYPE)
 
 
 def split_contract(df: DataFrame, required: Sequence[str]) -> tuple[DataFrame, DataFrame]:
@@ -38,7 +41,7 @@ def enforce_contract(df: DataFrame, required: Sequence[str]) -> DataFrame:
     """Strict form: the first bad row that is read fails the job."""
     reason = _reason(df, required)
     failed = F.raise_error(F.concat(F.lit("input contract broken: "), reason)).cast("boolean")
-    return df.where(F.when(reason.isNull(), True).otherwise(failed)).drop(CORRUPT)
+    return df.where(F.when(reason.isNull(), True).otherwise(failed)).drop(CORRUPT, WRONG_TYPE)
 
 
 def split_once(
@@ -52,13 +55,14 @@ def split_once(
     reason = _reason(df, [*required, *(w for w in wanted if w not in required)])
     whole = _reason(df, required).isNull()
     marked = df.withColumns({"reason": reason, "accepted": whole})
-    reasons = ["unreadable", *[f"missing {f}" for f in dict.fromkeys((*required, *wanted))]]
+    fields = dict.fromkeys((*required, *wanted))
+    reasons = ["unreadable", *[f"{kind} {f}" for kind in ("wrong type", "missing") for f in fields]]
     seen = Observation()
     counts = [F.count_if(F.col("reason") == r).alias(r) for r in reasons]
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid4()}"
     marked.observe(seen, F.count_if("accepted").alias("accepted"), *counts).write.partitionBy("accepted").parquet(path)
     stored = df.sparkSession.read.schema(marked.schema).parquet(path)
-    rows = stored.where(F.col("accepted")).drop("accepted", "reason", CORRUPT)
+    rows = stored.where(F.col("accepted")).drop("accepted", "reason", CORRUPT, WRONG_TYPE)
     return rows, stored.where(F.col("reason").isNotNull()).drop("accepted"), seen
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import operators as op
 from ..operators import Dashboard
-from ..schemas import CORRUPT, REQUIRED
+from ..schemas import CORRUPT, REQUIRED, WRONG_TYPE
 from ..session import written
 
 Inputs = Mapping[str, DataFrame]
@@ -178,14 +178,14 @@ def _table(inputs: Inputs, table: str, required: tuple[str, ...], strict: bool)
 
 def _own_fields(rows: DataFrame, required: tuple[str, ...]) -> DataFrame:
     """Only what the job uses. Whether JSON text is unreadable depends on the fields read: both sides read the same."""
-    return rows.select(*required, *[CORRUPT for c in rows.columns if c == CORRUPT])
+    return rows.select(*required, *[c for c in (CORRUPT, WRONG_TYPE) if c in rows.columns])
 
 
 def _own_feed(feed: DataFrame, required: tuple[str, ...]) -> DataFrame:
     """The annex feed as `_table` reads it: the job's own columns, and of the items the job's own fields."""
     names = op.item_fields(required)
     header = [c for c in required if c not in names]
-    return feed.select(*header, *op.nested_fields(*names), *[CORRUPT for c in feed.columns if c == CORRUPT])
+    return feed.select(*header, *op.nested_fields(*names), *[c for c in (CORRUPT, WRONG_TYPE) if c in feed.columns])
 
 
 def _accepted_tables(job: Job, inputs: Inputs, strict: bool) -> list[DataFrame]:

@@ -6,6 +6,8 @@ MONEY = T.DecimalType(18, 4)
 MONEY_TOTAL = T.DecimalType(28, 4)
 
 CORRUPT = "_corrupt_record"
+# Names of the fields of a row whose value was of a type that does not fit; only tables of mixed types have it.
+WRONG_TYPE = "_wrong_type"
 
 
 def _schema(*fields: tuple[str, T.DataType]) -> T.StructType:

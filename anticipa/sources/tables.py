@@ -14,16 +14,21 @@ from pyspark.sql import types as T
 
 from .. import schemas
 from ..functions import written_date
+from .mixed import read_mixed
 
 
 @dataclass(frozen=True)
 class Table:
-    """Where a table lies. `columns` maps our column name to the name in the source, where they differ."""
+    """Where a table lies. `columns` maps our column name to the name in the source, where they differ.
+
+    `mixed` says that the files of a Parquet or ORC table may hold a field in different types; see `sources.mixed`.
+    """
 
     path: str | None = None
     format: str = "parquet"
     options: Mapping[str, str] = field(default_factory=dict)
     columns: Mapping[str, str] = field(default_factory=dict)
+    mixed: bool = False
 
 
 def read(spark: SparkSession, table: Table, schema: T.StructType) -> DataFrame:
@@ -46,6 +51,11 @@ def read(spark: SparkSession, table: Table, schema: T.StructType) -> DataFrame:
         # The database declares its types; cast to ours by name.
         df = reader.load()
         return df.select(*[F.col(table.columns.get(f.name, f.name)).cast(f.dataType).alias(f.name) for f in schema])
+    if table.mixed:
+        if table.format not in ("parquet", "orc"):
+            raise ValueError(f"{table.format} files have no types of their own that could differ")
+        names = {table.columns.get(f.name, f.name): f.name for f in schema}
+        return read_mixed(lambda: spark.read.format(table.format).options(**table.options), table.path, schema, names)
     df = reader.schema(renamed).load(table.path)
     extra = [schemas.CORRUPT] if text else []
     return df.select(*[F.col(table.columns.get(f.name, f.name)).alias(f.name) for f in schema], *extra)
@@ -70,11 +80,11 @@ def clients(spark: SparkSession, table: Table) -> DataFrame:
 
 
 def users(spark: SparkSession, table: Table) -> DataFrame:
-    return read(spark, table, schemas.USERS)
+    return read(spark, table, schemas.USERS).drop(schemas.WRONG_TYPE)
 
 
 def users_target(spark: SparkSession, table: Table) -> DataFrame:
-    return read(spark, table, schemas.USERS_TARGET)
+    return read(spark, table, schemas.USERS_TARGET).drop(schemas.WRONG_TYPE)
 
 
 # Which reader serves each input a job names; flat items come out of the nested feed.

@@ -171,6 +171,8 @@ FROM item_cliente WHERE dias IS NOT NULL GROUP BY cliente_id, dias""",
     "contract_unbucketed": "SELECT COUNT(*) AS n_unbucketed FROM item WHERE dias IS NULL",
     "contract_rejects": """SELECT CASE WHEN l_returnflag = 'R' THEN 'missing tasa_descuento' ELSE 'missing dias_pago' END AS reason,
   COUNT(*) AS n FROM linea WHERE l_returnflag = 'R' OR NOT (l_tax > 0) GROUP BY 1""",
+    "contract_rejects_mixed": """SELECT CASE WHEN l_returnflag = 'R' THEN 'wrong type dias_pago' ELSE 'missing dias_pago' END AS reason,
+  COUNT(*) AS n FROM linea WHERE NOT (l_tax > 0) GROUP BY 1""",
     "contract_accepted": """SELECT factura_id, cant_comision, tasa_descuento, dias_pago FROM linea
 WHERE l_returnflag <> 'R' AND l_tax > 0""",
     "clients_unique": "SELECT cliente_id, MIN(nombre_fiscal) AS cliente FROM cliente GROUP BY cliente_id",
