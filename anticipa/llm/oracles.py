@@ -15,16 +15,18 @@ def _list(words) -> str:
     return "[" + ", ".join(map(_text, words)) + "]"
 
 
-def _prior(children: str, group: str, name: str) -> str:
+def _sums(children: str, group: str, name: str) -> str:
     by = f"GROUP BY {group}" if group else ""
     keys = f"{group}, " if group else ""
-    return f"""{name}_sums AS (
-  SELECT {keys}count(*) k, sum(pages)::DOUBLE n, sum(bad)::DOUBLE b, sum(pages * pages)::DOUBLE nn,
-    sum(bad * (bad / pages::DOUBLE)) br FROM {children} {by}),
-{name}_extra AS (SELECT *, b / n m, (br - n * (b / n) * (b / n) - (k - 1) * (b / n) * (1 - b / n)) / nullif(n - nn / n, 0) extra
-  FROM {name}_sums),
-{name} AS (SELECT {keys}n pages, b bad, least(greatest(CASE WHEN k > 1 AND extra > 0 THEN m * (1 - m) / extra - 1
-  ELSE {MOST_STRENGTH} END, {LEAST_STRENGTH}), {MOST_STRENGTH}) strength FROM {name}_extra)"""
+    return f"""{name} AS (SELECT {keys}count(*) k, sum(pages)::DOUBLE pages, sum(bad)::DOUBLE bad, sum(pages * pages)::DOUBLE nn,
+  sum(bad * (bad / pages::DOUBLE)) br FROM {children} {by})"""
+
+
+def _strength(groups: str, name: str) -> str:
+    return f"""{name} AS (SELECT least(greatest(CASE WHEN coalesce(inner_var, 0) = 0 THEN {LEAST_STRENGTH} WHEN extra > 0 THEN inner_var / extra - 1
+    ELSE {MOST_STRENGTH} END, {LEAST_STRENGTH}), {MOST_STRENGTH}) strength
+  FROM (SELECT sum(br - pages * m * m - (k - 1) * m * (1 - m)) extra, sum(w * m * (1 - m)) AS inner_var
+    FROM (SELECT *, bad / pages m, pages - nn / pages w FROM {groups} WHERE k > 1)))"""
 
 
 def _url_reputation() -> str:
@@ -42,15 +44,16 @@ hosts AS (
   SELECT host, count(*) pages, sum(greatest(1 - quality, toxic)) bad,
     array_to_string(list_slice(string_split(host, '.'), -2, -1), '.') AS domain, string_split(host, '.')[-1] suffix
   FROM parsed JOIN labels ON doc_id = page_id WHERE greatest(1 - quality, toxic) IS NOT NULL GROUP BY host),
-{_prior("hosts", "domain, suffix", "domains0")},
-{_prior("domains0", "suffix", "suffixes0")},
-{_prior("suffixes0", "", "root0")},
-root AS (SELECT (bad + 1) / (pages + 2) mean, strength FROM root0),
-suffixes AS (SELECT s.suffix, (s.bad + r.strength * r.mean) / (s.pages + r.strength) mean, s.strength FROM suffixes0 s, root r),
-domains AS (SELECT d.domain, d.suffix, (d.bad + s.strength * s.mean) / (d.pages + s.strength) mean, d.strength
-  FROM domains0 d JOIN suffixes s USING (suffix)),
-bounds AS (SELECT h.host, (h.bad + d.strength * d.mean) / (h.pages + d.strength) mean, h.pages + d.strength weight
-  FROM hosts h JOIN domains d USING (domain, suffix)),
+{_sums("hosts", "domain, suffix", "domains")},
+{_sums("domains", "suffix", "suffixes")},
+{_sums("suffixes", "", "root")},
+{_strength("root", "s1")}, {_strength("suffixes", "s2")}, {_strength("domains", "s3")},
+p1 AS (SELECT s.*, (r.bad - s.bad + 1) / (r.pages - s.pages + 2) prior FROM suffixes s, root r),
+p2 AS (SELECT d.*, (p.bad - d.bad + strength * p.prior) / (p.pages - d.pages + strength) prior
+  FROM domains d JOIN p1 p USING (suffix), s1),
+p3 AS (SELECT h.*, (p.bad - h.bad + strength * p.prior) / (p.pages - h.pages + strength) prior
+  FROM hosts h JOIN p2 p USING (domain, suffix), s2),
+bounds AS (SELECT host, (bad + strength * prior) / (pages + strength) mean, pages + strength weight FROM p3, s3),
 blocked AS (SELECT host FROM bounds WHERE mean - {SIGMAS} * sqrt(mean * (1 - mean) / (weight + 1)) > {BAD_LIMIT})
 SELECT page_id, host, path, CASE {rule} END AS rule,
   CASE {verdict} WHEN host IN (SELECT host FROM blocked) THEN 'block' ELSE 'allow' END AS verdict

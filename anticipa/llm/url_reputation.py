@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from anticipa.llm.common import ascii_lower
+from anticipa.session import written
 
 # Posterior bound: block when the share of bad pages is above the limit even `SIGMAS` deviations below its mean.
 BAD_LIMIT, SIGMAS = 0.5, 2.0
@@ -44,51 +45,71 @@ def best_rule(host: Column, path: Column, rules=RULES) -> Column:
     return found
 
 
-def _with_prior(children: DataFrame, group: list[str]) -> DataFrame:
-    """Per group: the strength of the beta prior that its children's counts (pages, bad) come from, by moments."""
+def _sums(children: DataFrame, group: list[str]) -> DataFrame:
+    """Counts of every group, and what the spread of rates among its children is estimated from."""
     rate = F.col("bad") / F.col("pages")
-    sums = children.groupBy(*group).agg(
-        F.count("*").alias("k"), F.sum("pages").alias("n"), F.sum("bad").alias("b"),
+    return children.groupBy(*group).agg(
+        F.count("*").alias("k"), F.sum("pages").alias("pages"), F.sum("bad").alias("bad"),
         F.sum(F.col("pages") * F.col("pages")).alias("nn"), F.sum(F.col("bad") * rate).alias("br"),
     )
-    m = F.col("b") / F.col("n")
+
+
+def _strength(groups: DataFrame) -> DataFrame:
+    """One row: the strength of a level's beta priors, by moments pooled over all groups of the level.
+
+    A group of one child, or whose pages all have one outcome, says nothing of the spread among children; if there are no
+    others, the prior is as weak as allowed.
+    """
+    m, n = F.col("bad") / F.col("pages"), F.col("pages")
+    weight = n - F.col("nn") / n
     # Weighted spread of the rates between children, less what drawing `pages` of a fixed rate would give.
-    spread = F.col("br") - F.col("n") * m * m
-    extra = (spread - (F.col("k") - 1) * m * (1 - m)) / (F.col("n") - F.col("nn") / F.col("n"))
-    strength = F.when((F.col("k") > 1) & (extra > 0), m * (1 - m) / extra - 1).otherwise(F.lit(MOST_STRENGTH))
-    bounded = F.least(F.greatest(strength, F.lit(LEAST_STRENGTH)), F.lit(MOST_STRENGTH))
-    return sums.select(*group, F.col("n").alias("pages"), F.col("b").alias("bad"), bounded.alias("strength"))
-
-
-def _shrunk(own: DataFrame, above: DataFrame, key: list[str]) -> DataFrame:
-    """`own` with `mean`: its rate shrunk towards the mean of its group, as strongly as the group's prior says."""
-    prior = above.select(*key, F.col("mean").alias("_mean"), F.col("strength").alias("_strength"))
-    joined = own.join(prior, key) if key else own.crossJoin(F.broadcast(prior))  # one row: the whole table's
-    return joined.withColumn(
-        "mean", (F.col("bad") + F.col("_strength") * F.col("_mean")) / (F.col("pages") + F.col("_strength"))
+    extra = F.col("br") - n * m * m - (F.col("k") - 1) * m * (1 - m)
+    sums = groups.where("k > 1").agg(
+        F.sum(extra).alias("extra"), F.sum(weight * m * (1 - m)).alias("within")
+    )
+    fitted = F.when(F.coalesce(F.col("within"), F.lit(0.0)) == 0, F.lit(LEAST_STRENGTH)).when(
+        F.col("extra") > 0, F.col("within") / F.col("extra") - 1
+    )
+    bounded = F.least(F.greatest(F.coalesce(fitted, F.lit(MOST_STRENGTH)), F.lit(LEAST_STRENGTH)), F.lit(MOST_STRENGTH))
+    return sums.select(bounded.alias("_strength"))
+
+
+def _priors(own: DataFrame, above: DataFrame, key: list[str], strength: DataFrame) -> DataFrame:
+    """`own` with `prior`: the rate of the rest of its group, shrunk towards the group's own prior."""
+    group = above.select(*key, F.col("pages").alias("_pages"), F.col("bad").alias("_bad"), F.col("prior").alias("_prior"))
+    joined = own.join(group, key).crossJoin(F.broadcast(strength))  # one row
+    prior = (F.col("_bad") - F.col("bad") + F.col("_strength") * F.col("_prior")) / (
+        F.col("_pages") - F.col("pages") + F.col("_strength")
     )
+    return joined.withColumn("prior", prior).drop("_pages", "_bad", "_prior", "_strength")
 
 
 def host_reputation(labelled: DataFrame) -> DataFrame:
     """Reputation of every host of `labelled` (host, bad 0/1): host, pages, bad, mean, bound.
 
-    Page outcomes are counted per host, domain and suffix. From the top down each level's rate is shrunk towards the one
-    above, with a beta prior whose strength is fitted to the spread among its children. `bound` is the posterior mean
-    less `SIGMAS` posterior deviations. Rows without an outcome count as unlabelled.
+    Page outcomes are counted per host, domain and suffix. A host's rate is shrunk towards the rate of the rest of its
+    domain, that towards the rest of the suffix, and that towards all other suffixes; so no page counts twice. The strength
+    of each level is fitted to the spread among the children of all its groups. `bound` is the posterior mean less `SIGMAS`
+    posterior deviations. Rows without an outcome count as unlabelled.
     """
-    hosts = (
+    hosts = written(
         labelled.where("bad IS NOT NULL").groupBy("host").agg(F.count("*").alias("pages"), F.sum("bad").alias("bad"))
-        .withColumns({"domain": registered_domain(F.col("host")), "suffix": suffix_of(F.col("host"))})
+        .withColumns({"domain": registered_domain(F.col("host")), "suffix": suffix_of(F.col("host"))}),
+        "hosts",
     )
-    domains = _with_prior(hosts, ["domain", "suffix"])
-    suffixes = _with_prior(domains, ["suffix"])
-    root = _with_prior(suffixes, []).withColumn("mean", (F.col("bad") + 1) / (F.col("pages") + 2))
-    suffixes = _shrunk(suffixes, root, []).select("suffix", "mean", "strength")
-    domains = _shrunk(domains, suffixes, ["suffix"]).select("domain", "suffix", "mean", "strength")
-    hosts = _shrunk(hosts, domains, ["domain", "suffix"])
+    domains = _sums(hosts, ["domain", "suffix"])
+    suffixes = _sums(domains, ["suffix"])
+    root = _sums(suffixes, [])
+    whole = root.select(F.col("pages").alias("_pages"), F.col("bad").alias("_bad"))
+    rest = (F.col("_bad") - F.col("bad") + 1) / (F.col("_pages") - F.col("pages") + 2)
+    above = suffixes.crossJoin(F.broadcast(whole)).withColumn("prior", rest)  # one row
+    above = _priors(domains, above, ["suffix"], _strength(root))
+    above = _priors(hosts, above, ["domain", "suffix"], _strength(suffixes))
     weight = F.col("pages") + F.col("_strength")
-    deviation = F.sqrt(F.col("mean") * (1 - F.col("mean")) / (weight + 1))
-    return hosts.select("host", "pages", "bad", "mean", (F.col("mean") - SIGMAS * deviation).alias("bound"))
+    mean = (F.col("bad") + F.col("_strength") * F.col("prior")) / weight
+    judged = above.crossJoin(F.broadcast(_strength(domains))).withColumns({"mean": mean, "_weight": weight})  # one row
+    deviation = F.sqrt(F.col("mean") * (1 - F.col("mean")) / (F.col("_weight") + 1))
+    return judged.select("host", "pages", "bad", "mean", (F.col("mean") - SIGMAS * deviation).alias("bound"))
 
 
 def filter_urls(pages: DataFrame, outcomes: DataFrame, rules=RULES) -> DataFrame:

@@ -156,6 +156,25 @@ def test_rules_and_reputation(spark):
     assert verdicts == {("h0.com", "allow"), ("h1.com", "block")}
 
 
+def test_one_bad_page_of_a_host_alone_in_its_domain_blocks_nothing(spark):
+    # 100 domains of one host, 45 of them all bad; then a host with one bad page, and a new host beside many bad ones.
+    rows = [(f"h.d{i}.com", int(i < 45)) for i in range(100) for _ in range(20)] + [("h.single.com", 1)]
+    rows += [(f"h{i}.farm.com", 1) for i in range(30) for _ in range(10)] + [("new.farm.com", 1)]
+    got = {r["host"]: r for r in url_reputation.host_reputation(spark.createDataFrame(rows, "host string, bad int")).collect()}
+    over = {h for h, r in got.items() if r["bound"] > url_reputation.BAD_LIMIT}
+    assert "h.single.com" not in over and not any(f"h.d{i}.com" in over for i in range(45, 100))
+    assert all(f"h.d{i}.com" in over for i in range(45)) and all(f"h{i}.farm.com" in over for i in range(30))
+    assert got["new.farm.com"]["mean"] > got["h.single.com"]["mean"]
+    none = spark.createDataFrame([], "host string, bad int")
+    assert url_reputation.host_reputation(none).count() == 0
+
+
+def test_filtering_no_pages_and_pages_without_outcomes(spark):
+    pages, outcomes = spark.createDataFrame([(1, "http://a.b/" + "x" * 200_000)] * 2, "page_id long, url string"), spark.createDataFrame([], "page_id long, bad int")
+    assert url_reputation.filter_urls(pages.limit(0), outcomes).count() == 0
+    assert [r["verdict"] for r in url_reputation.filter_urls(pages, outcomes).collect()] == ["allow", "allow"]
+
+
 def test_code_lengths_are_exact_and_unknown_texts_und():
     grams = pd.DataFrame([("a", int.from_bytes(b"\0\0\0x", "big"), 8), ("b", int.from_bytes(b"\0\0\0y", "big"), 8)], columns=["lang", "gram", "n"])
     model = languages.build(grams).prepare()
