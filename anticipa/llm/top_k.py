@@ -1,5 +1,6 @@
 """Exact top-k inner products by norm-bucketed retrieval."""
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,20 +12,45 @@ K, SCALE = 5, 256
 BUCKET_ROWS, QUERY_BLOCK = 2048, 2048
 FOCUS = 4
 _EXACT = 1 << 53
+_LEAST, _MOST = -(1 << 63), (1 << 63) - 1
 
 
-def scaled(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
-    """(vec_id, v): floor(scale * x) of every component, in longs.
-
-    Rows with a null vec_id, a null or empty vector, or a null, infinite or NaN component are left out, as are
-    components too large for a long.
-    """
+def usable(vectors: DataFrame) -> DataFrame:
+    """(vec_id, v): vectors in doubles. Rows with a null vec_id, a null or empty vector, or a null, infinite or NaN component
+    are left out."""
     x = F.col("embedding").cast("array<double>")
-    bad = F.exists(x, lambda c: c.isNull() | F.isnan(c) | (F.abs(c) > float(1 << 62) / scale))
-    return vectors.where(F.col("vec_id").isNotNull() & (F.size(x) > 0) & ~bad).select(
-        F.col("vec_id").cast("long").alias("vec_id"),
-        F.transform(x, lambda c: F.floor(c * scale).cast("long")).alias("v"),
-    )
+    bad = F.exists(x, lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == float("inf")))
+    found = vectors.where(F.col("vec_id").isNotNull() & (F.size(x) > 0) & ~bad)
+    return found.select(F.col("vec_id").cast("long").alias("vec_id"), x.alias("v"))
+
+
+def scaled(x: np.ndarray, scale: int) -> np.ndarray:
+    """floor(scale * x) in doubles, or in whole numbers without a bound where a product could leave the doubles."""
+    if np.abs(x).max(initial=0) < 2.0**900:
+        return np.floor(x * scale)
+    return np.array([[math.floor(c * scale) if abs(c) < _EXACT else int(c) * scale for c in row] for row in x], object)
+
+
+def _whole(matrix: np.ndarray) -> np.ndarray:
+    """The same numbers as Python integers."""
+    return np.array([[int(c) for c in row] for row in matrix], object).reshape(matrix.shape)
+
+
+def lengths(matrix: np.ndarray) -> np.ndarray:
+    """Lengths in doubles; of vectors too long for that, infinite, which rules nothing out."""
+    with np.errstate(over="ignore"):
+        try:
+            return np.sqrt((matrix.astype(float) ** 2).sum(axis=1))
+        except OverflowError:  # a whole number beyond the doubles
+            return np.full(len(matrix), np.inf)
+
+
+def _units(matrix: np.ndarray, norms: np.ndarray) -> np.ndarray:
+    """Directions; zeros for vectors of infinite length, which no threshold is sharp against."""
+    units = np.zeros(matrix.shape)
+    some = np.isfinite(norms)
+    units[some] = matrix[some].astype(float) / np.maximum(norms[some], 1e-300)[:, None]
+    return units
 
 
 class TopK:
@@ -32,20 +58,23 @@ class TopK:
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int):
         self.ids, self.vectors, self.k = ids, vectors, k
-        self.norms = np.sqrt((vectors.astype(float) ** 2).sum(axis=1))
-        self.units = vectors / np.maximum(self.norms, 1e-300)[:, None]
+        self.norms = lengths(vectors)
+        self.units = _units(vectors, self.norms)
+        self.largest = np.array([int(abs(row).max()) for row in vectors], object)
         self.scores = np.full((len(ids), k), np.iinfo(np.int64).min)
         self.found = np.zeros((len(ids), k), np.int64)
         self.count = np.zeros(len(ids), int)
 
     def _products(self, q: np.ndarray, rows: np.ndarray) -> np.ndarray:
-        largest = float(np.abs(self.vectors).max(initial=0)) * float(np.abs(rows).max(initial=0)) * rows.shape[1]
-        if largest < _EXACT:
-            return (self.vectors[q].astype(float) @ rows.astype(float).T).astype(np.int64)
-        if largest < 1 << 62:
-            return self.vectors[q] @ rows.T
-        exact = self.vectors[q].astype(object) @ rows.astype(object).T
-        return exact.astype(np.int64)  # raises where a score is no long
+        """Exact inner products. Those beyond a long are the nearest long."""
+        bound = max(self.largest[q]) * int(abs(rows).max()) * rows.shape[1]
+        vectors = self.vectors[q]
+        if bound < _EXACT:
+            return (vectors.astype(float) @ rows.astype(float).T).astype(np.int64)
+        if bound < 1 << 62:
+            return vectors.astype(np.int64) @ rows.astype(np.int64).T
+        whole = _whole(vectors) @ _whole(rows).T
+        return np.clip(whole, _LEAST, _MOST).astype(np.int64)
 
     def add(self, ids: np.ndarray, rows: np.ndarray, norms: np.ndarray) -> None:
         """Verify a bucket's rows against the queries that could still take one of them."""
@@ -62,7 +91,7 @@ class TopK:
             sharp = np.flatnonzero(local[q] > 0.5)
             if len(sharp):
                 # Coordinate pruning: within angle c of the query, a row's unit vector is within c of each coordinate's angle.
-                units = rows / np.maximum(norms, 1e-300)[:, None]
+                units = _units(rows, norms)
                 for s in sharp:
                     u, c = self.units[q[s]], np.arccos(min(1.0, local[q[s]]))
                     for f in np.argsort(-np.abs(u))[:FOCUS]:
@@ -99,22 +128,22 @@ class TopK:
 def top_k(vectors: DataFrame, is_query: Column, k: int = K, scale: int = SCALE) -> DataFrame:
     """For every row of `vectors` (vec_id, embedding) with `is_query` its `k` best others: query_id, rank, vec_id, score.
 
-    The score is the inner product of the scaled components; of equal scores the smaller vec_id comes first. vec_id is
+    The score is the inner product of the scaled components, and of products beyond a long the nearest long; of equal scores the smaller vec_id comes first. vec_id is
     a vector's name: a query never finds its own, repeated rows of one are one row with their best score, and repeated
-    queries count once (their smallest vector in array order). Rows that `scaled` leaves out take no part, and rows with
+    queries count once (their smallest vector in array order). Rows that `usable` leaves out take no part, and rows with
     another number of components than a query's are none of its others. Fewer than k others: all of them.
 
     Queries go in blocks of `QUERY_BLOCK`, each held by every task while it reads its rows once. A task groups its rows
     by length, longest first, and compares a bucket only with queries whose k-th score it can reach, by the bucket's
     local cosine threshold; what coordinates or lengths don't rule out is verified exactly.
     """
-    rows = scaled(vectors, scale)
+    rows = usable(vectors)
     queries = rows.where(is_query).groupBy("vec_id").agg(F.min("v").alias("v"))
     blocks = -(-queries.count() // QUERY_BLOCK)
     found = None
     for b in range(blocks):
         part = queries.where(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == b)
-        best = _of_block(rows, part.collect(), k)  # about QUERY_BLOCK rows
+        best = _of_block(rows, part.collect(), k, scale)  # about QUERY_BLOCK rows
         found = best if found is None else found.union(best)
     if found is None:
         return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
@@ -124,13 +153,13 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K, scale: int = SCALE)
     return ranked.select("query_id", "rank", "vec_id", "score")
 
 
-def _of_block(rows: DataFrame, queries: list, k: int) -> DataFrame:
+def _of_block(rows: DataFrame, queries: list, k: int, scale: int) -> DataFrame:
     by_size: dict[int, tuple[list, list]] = {}
     for r in queries:
         ids, values = by_size.setdefault(len(r["v"]), ([], []))
         ids.append(r["vec_id"])
         values.append(r["v"])
-    packed = {n: (np.array(i, np.int64), np.array(v, np.int64)) for n, (i, v) in by_size.items()}
+    packed = {n: (np.array(i, np.int64), scaled(np.array(v, float), scale)) for n, (i, v) in by_size.items()}
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         states = {n: TopK(i, v, k) for n, (i, v) in packed.items()}
@@ -141,8 +170,8 @@ def _of_block(rows: DataFrame, queries: list, k: int) -> DataFrame:
             sizes = np.diff(starts)
             for n in np.intersect1d(np.unique(sizes), list(states)):
                 at = np.flatnonzero(sizes == n)
-                matrix = flat[starts[at][:, None] + np.arange(n)]
-                norms = np.sqrt((matrix.astype(float) ** 2).sum(axis=1))
+                matrix = scaled(flat[starts[at][:, None] + np.arange(n)], scale)
+                norms = lengths(matrix)
                 order = np.lexsort((ids[at], -norms))
                 for j in range(0, len(order), BUCKET_ROWS):
                     o = order[j : j + BUCKET_ROWS]

@@ -1,8 +1,11 @@
 """Nulls, empty and very long texts, repeated rows, empty tables and clashing names; brute force and round trips."""
 
 import hashlib
+import math
+import operator
 import re
 import zlib
+from fractions import Fraction
 
 import numpy as np
 import pandas as pd
@@ -141,6 +144,37 @@ def test_top_k_with_ties_nulls_and_bad_components(spark):
     assert [(r["vec_id"], r["score"]) for r in got] == [(2, 32768), (3, 32768)]
 
 
+def test_top_k_of_huge_repeated_and_no_vectors(spark):
+    most = (1 << 63) - 1
+    vectors = [(0, [1e15, 1e15]), (1, [1e15, 1e15]), (2, [1e300, 1.0]), (3, [1.7e308, -1.7e308]), (4, [-1e300, 0.0]), (5, [0.1, 0.0])]
+    vectors += [(6, [3.0, 2.0])] * 3 + [(7, [0.0, 0.0]), (8, [-1e5, 3.0]), (50, [0.25, 1e18]), (9, [1.0])]
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<double>")
+    floors = {i: [math.floor(Fraction(x) * 256) for x in v] for i, v in vectors}
+    want = []
+    for q in (0, 50):
+        scores = {i: max(-most - 1, min(most, sum(map(operator.mul, floors[q], v)))) for i, v in floors.items() if i != q and len(v) == 2}
+        want += [(q, r + 1, i, scores[i]) for r, i in enumerate(sorted(scores, key=lambda i: (-scores[i], i))[:9])]
+    got = top_k.top_k(df.withColumn("v", F.lit(1)), F.col("vec_id") % 50 == 0, k=9)
+    assert sorted(map(tuple, got.collect())) == sorted(want) and got.columns == ["query_id", "rank", "vec_id", "score"]
+    assert top_k.top_k(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
+    assert top_k.top_k(df.where("vec_id = 0"), F.col("vec_id") % 50 == 0).count() == 0
+
+
+@pytest.mark.parametrize("size", [1.0, 1e4, 1e9])
+def test_top_k_prunes_nothing_it_needs(spark, size):
+    rng = np.random.default_rng(int(size))
+    vectors = rng.normal(size=(700, 6)) * rng.lognormal(0, 2, (700, 1)) * size
+    vectors[100:150] = vectors[:50] * 2
+    v = [[math.floor(Fraction(x) * 256) for x in row] for row in vectors.tolist()]
+    want = []
+    for q in range(0, 700, 50):
+        scores = [max(-(1 << 63), min((1 << 63) - 1, sum(map(operator.mul, v[q], row)))) for row in v]
+        best = sorted((i for i in range(700) if i != q), key=lambda i: (-scores[i], i))[:5]
+        want += [(q, r + 1, i, scores[i]) for r, i in enumerate(best)]
+    df = spark.createDataFrame([(i, row) for i, row in enumerate(vectors.tolist())], "vec_id long, embedding array<double>")
+    assert sorted(map(tuple, top_k.top_k(df, F.col("vec_id") % 50 == 0).collect())) == want
+
+
 def test_rules_and_reputation(spark):
     urls = ["http://a.net/x", "http://www.example.net/en/1", "http://a.net", None, "no url", "HTTP://BAD.org/?q=/fr/", "s://b.org/fr/#x"]
     pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
