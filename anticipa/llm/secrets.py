@@ -1,6 +1,7 @@
 """Secrets in texts, found by regular expressions behind a trigram inverted index."""
 
 import re
+from collections.abc import Callable
 from re import _constants as ops
 from re import _parser as parser
 
@@ -55,6 +56,35 @@ def trigram_query(pattern: str) -> list[set[str]] | None:
     return alternatives if all(alternatives) else None
 
 
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use` of a value that is worked out once, also where it is needed within lambdas."""
+    return F.transform(F.array(value), use)[0]
+
+
+def before_each(values: Column, combine: Callable[[Column, Column], Column]) -> Column:
+    """For every number of an array what `combine` makes of those before it, 0 at first.
+
+    Arrays grow by copying, so the array is taken in blocks of its size's root: n values cost n to the power of 1.5.
+    """
+
+    def within(block: Column, start: Column) -> Column:
+        state = F.struct(start.alias("at"), F.array().cast("array<int>").alias("seen"))
+        step = lambda s, x: F.struct(combine(s.at, x).alias("at"), F.concat(s.seen, F.array(s.at)).alias("seen"))
+        return F.aggregate(block, state, step).seen
+
+    def of_blocks(blocks: Column) -> Column:
+        starts = within(F.transform(blocks, lambda block: F.aggregate(block, F.lit(0), combine)), F.lit(0))
+        return F.flatten(F.zip_with(blocks, starts, within))
+
+    def of_values(v: Column) -> Column:
+        width = F.ceil(F.sqrt(F.size(v))).cast("int")
+        last = F.floor((F.size(v) - 1) / width).cast("int")
+        blocks = F.transform(F.sequence(F.lit(0), last), lambda k: F.slice(v, k * width + 1, width))
+        return F.when(F.size(v) > 0, _bound(blocks, of_blocks)).otherwise(F.array().cast("array<int>"))
+
+    return _bound(values, of_values)
+
+
 def _spans(text: Column, kind: str, rules: dict) -> Column:
     """Every match of a rule as a span in code points. Matches and what lies between them give the places."""
     pattern, group, least = rules[kind]
@@ -66,19 +96,20 @@ def _spans(text: Column, kind: str, rules: dict) -> Column:
         F.transform(counted, F.length),
         lambda p, n: F.struct(p.b.alias("b"), p.m.alias("m"), n.alias("n")),
     )
-    empty = F.struct(F.lit(0).alias("at"), F.array().cast(SPANS).alias("spans"))
-
-    def step(state: Column, p: Column) -> Column:
-        start = state.at + p.b
-        end = start + p.m
-        span = F.struct(
-            start.alias("start"), F.lit(list(rules).index(kind)).alias("kind_rank"), end.alias("end"),
-            F.lit(kind).alias("kind"),
+
+    def placed(p: Column, at: Column) -> Column:
+        start = at + p.b
+        return F.struct(
+            start.alias("start"), F.lit(list(rules).index(kind)).alias("kind_rank"), (start + p.m).alias("end"),
+            F.lit(kind).alias("kind"), p.n.alias("n"),
         )
-        spans = F.when(p.n >= least, F.concat(state.spans, F.array(span))).otherwise(state.spans)
-        return F.struct(end.alias("at"), spans.alias("spans"))
 
-    return F.aggregate(steps, empty, step).spans
+    def of_steps(s: Column) -> Column:
+        ends = before_each(F.transform(s, lambda p: p.b + p.m), lambda x, y: x + y)
+        return F.filter(F.zip_with(s, ends, placed), lambda p: p.n >= least)
+
+    plain = lambda p: F.struct(*(p[c].alias(c) for c in ("start", "kind_rank", "end", "kind")))
+    return F.transform(_bound(steps, of_steps), plain)
 
 
 def trigram_index(docs: DataFrame, trigrams: list[str]) -> DataFrame:
@@ -139,13 +170,19 @@ def listed(spans: Column) -> Column:
 
 def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
     """`text` with every span, and spans that overlap as one, replaced by `mark`."""
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
-    def step(state: Column, s: Column) -> Column:
-        before = F.substring(text, state.at + 1, s.start - state.at)
-        fresh = F.struct(s.end.alias("at"), F.concat(state.out, before, F.lit(mark)).alias("out"))
-        longer = F.struct(F.greatest(state.at, s.end).alias("at"), state.out.alias("out"))
-        return F.when((s.start >= state.at) & ((s.start > 0) | (state.at == 0)), fresh).otherwise(longer)
+    def of_spans(found: Column) -> Column:
+        ends = F.transform(found, lambda s: s.end)
+        covered = before_each(ends, lambda x, y: F.greatest(x, y))
+
+        def of_letters(letters: Column) -> Column:
+            def piece(s: Column, end: Column) -> Column:
+                before = F.concat(F.slice(letters, end + 1, F.greatest(s.start - end, F.lit(0))), F.array(F.lit(mark)))
+                return F.when(s.start >= end, before).otherwise(F.array().cast("array<string>"))
+
+            tail = F.slice(letters, F.array_max(ends) + 1, F.size(letters))
+            return F.array_join(F.concat(F.flatten(F.zip_with(found, covered, piece)), tail), "")
+
+        return _bound(F.split(text, ""), of_letters)
 
-    done = F.aggregate(spans, start, step)
-    return F.when(F.size(spans) > 0, F.concat(done.out, F.substring(text, done.at + 1, F.length(text)))).otherwise(text)
+    return F.when(F.size(spans) > 0, _bound(spans, of_spans)).otherwise(text)
