@@ -1,6 +1,8 @@
 """Benchmark passages in training documents, found through a positional inverted index."""
 
 from collections.abc import Iterator
+from functools import reduce
+from math import ceil
 
 import numpy as np
 import pandas as pd
@@ -12,10 +14,11 @@ from pyspark.sql import functions as F
 from anticipa.session import written
 
 WINDOW_WORDS = 10
-SEGMENT_WORDS = 500_000
+SEGMENT_WORDS = 2_000_000
 ANCHORS = 3
 WINDOW_BLOCK = 100_000
 BROADCAST_ROWS = 300_000
+MATCHES = "segment long, window_id long, size int, starts array<int>"
 # Byte by byte: A-Z to lower case, the other ASCII characters that are no letter or digit to spaces.
 _WORD_BYTES = bytes(
     b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256)
@@ -117,43 +120,48 @@ def _starts(lists: dict[str, np.ndarray], window: list[str], order: list[int]) -
         here = lists.get(window[k])
         if here is None:
             return np.empty(0, np.int64)
-        here = here - k
-        if found is None:
-            found = here
-        else:
-            at = np.searchsorted(here, found)
-            at[at == len(here)] = 0
-            found = found[here[at] == found] if len(here) else found[:0]
+        found = here.astype(np.int64) - k if found is None else found[_held(here, found + k)]
         if not len(found):
             return found
     return found
 
 
+def _held(places: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Which of `wanted` are among the sorted `places`, looked up one by one: `places` may be far more."""
+    at = np.searchsorted(places, wanted.astype(places.dtype))
+    at[at == len(places)] = 0
+    return places[at] == wanted if len(places) else np.zeros(len(wanted), bool)
+
+
 def phrase_matches(index: DataFrame, windows: DataFrame) -> DataFrame:
-    """(segment, window_id, starts) of every occurrence of the windows (window_id, window) in the index.
+    """(segment, window_id, size, starts) of every occurrence of the windows (window_id, window, block) in the index.
 
-    Blocks of `WINDOW_BLOCK` windows at most are sent to the tasks. For each window the words are ranked by how often they
+    Windows are sent to the tasks block by block. For each window the words are ranked by how often they
     occur in the whole index. Only postings of the `ANCHORS` rarest are read first; where their lists meet, the
     postings of the other words of just those segments are read too and decide.
     """
     spark = index.sparkSession
     postings = index.where("term IS NOT NULL").select("segment", "term", "n", "positions")
-    ids = windows.agg(F.min("window_id"), F.max("window_id")).first()
-    parts = []
-    for low in range(ids[0], ids[1] + 1, WINDOW_BLOCK) if ids[0] is not None else ():
-        block = windows.where(F.col("window_id").between(low, low + WINDOW_BLOCK - 1)).collect()
-        parts.append(_block_matches(spark, postings, {r["window_id"]: list(r["window"]) for r in block}))
-    if not parts:
-        return spark.createDataFrame([], "segment long, window_id long, starts array<int>")
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.union(part)
-    return out
+    last = windows.agg(F.max("block")).first()[0]
+    parts = [spark.createDataFrame([], MATCHES)]
+    for number in range(0 if last is None else last + 1):
+        block = windows.where(F.col("block") == number).collect()
+        if block:
+            parts.append(_block_matches(spark, postings, {r["window_id"]: list(r["window"]) for r in block}))
+    return reduce(DataFrame.union, parts)
+
+
+def numbered(windows: DataFrame, most: int | None = None) -> DataFrame:
+    """`windows` (distinct) with a window_id each and a block, written. Hashes deal them into blocks of some `most` windows."""
+    windows = written(windows, "cuts")
+    blocks = ceil(windows.count() / (most or WINDOW_BLOCK)) or 1
+    block = F.pmod(F.xxhash64("window"), F.lit(blocks)).cast("int")
+    return written(windows.select("*", F.monotonically_increasing_id().alias("window_id"), block.alias("block")), "windows")
 
 
 def _block_matches(spark, postings: DataFrame, windows: dict[int, list[str]]) -> DataFrame:
     vocabulary = spark.createDataFrame([(t,) for t in {t for w in windows.values() for t in w}], "term string")
-    # At most WINDOW_BLOCK times the window's length.
+    # At most a block's windows times their length.
     counts = dict(postings.join(F.broadcast(vocabulary), "term").groupBy("term").agg(F.sum("n")).collect())
     plans = {
         i: (w, sorted(range(len(w)), key=lambda k: (counts.get(w[k], 0), k)))
@@ -163,7 +171,7 @@ def _block_matches(spark, postings: DataFrame, windows: dict[int, list[str]]) ->
     anchors = spark.createDataFrame([(t,) for t in {w[k] for w, o in plans.values() for k in o[:ANCHORS]}], "term string")
 
     def lists_of(batch: pd.DataFrame) -> dict[str, np.ndarray]:
-        return {t: np.frombuffer(p, "<i4").astype(np.int64) for t, p in zip(batch["term"], batch["positions"])}
+        return {t: np.frombuffer(p, "<i4") for t, p in zip(batch["term"], batch["positions"])}
 
     by_anchor: dict[str, list[int]] = {}
     for i, (w, order) in plans.items():
@@ -193,18 +201,19 @@ def _block_matches(spark, postings: DataFrame, windows: dict[int, list[str]]) ->
     others = postings.drop("n").join(F.broadcast(needed) if few else needed, ["segment", "term"])
 
     def verify(found: pd.DataFrame, batch: pd.DataFrame) -> pd.DataFrame:
-        lists, rows = lists_of(batch), []
+        lists, rows, none = lists_of(batch), [], np.empty(0, np.int32)
         for segment, i, starts in zip(found["segment"], found["window_id"], found["starts"]):
             w, order = plans[i]
             left = np.asarray(starts, np.int64)
             for k in order[ANCHORS:]:
-                here = lists.get(w[k], np.empty(0, np.int64)) - k
-                left = left[np.isin(left, here, assume_unique=True)]
-            if len(left):
-                rows.append((segment, i, left.astype(np.int32)))
-        return pd.DataFrame(rows, columns=["segment", "window_id", "starts"])
+                left = left[_held(lists.get(w[k], none), left + k)]
+                if not len(left):
+                    break
+            else:
+                rows.append((segment, i, len(w), left.astype(np.int32)))
+        return pd.DataFrame(rows, columns=["segment", "window_id", "size", "starts"])
 
-    return met.groupBy("segment").cogroup(others.groupBy("segment")).applyInPandas(verify, schema)
+    return met.groupBy("segment").cogroup(others.groupBy("segment")).applyInPandas(verify, MATCHES)
 
 
 def proximity_matches(index: DataFrame, pairs: DataFrame, distance: int) -> DataFrame:
@@ -251,9 +260,8 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW_WORDS) -
     Without documents there are no rows, without items no hits. doc_id comes back as it was.
     """
     index = build_index(docs)
-    windows = written(windows_of(items, size).coalesce(1).withColumn("window_id", F.monotonically_increasing_id()), "windows")
-    matches = written(phrase_matches(index, windows.select("window_id", "window")), "matches")
-    lengths = dict(windows.select("window_id", F.size("window")).collect()) if not matches.isEmpty() else {}
+    windows = numbered(windows_of(items, size))
+    matches = written(phrase_matches(index, windows.select("window_id", "window", "block")), "matches")
     places = index.where("term IS NULL").select("segment", "doc_id", "base", F.col("n").alias("n_words"))
 
     def cover(found: pd.DataFrame, docs_of: pd.DataFrame) -> pd.DataFrame:
@@ -264,10 +272,10 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW_WORDS) -
         end = int(bases[-1] + docs_of["n_words"].iloc[-1])
         change = np.zeros(end + 2, np.int32)
         inside: list[set] = [set() for _ in range(len(docs_of))]
-        for i, starts in zip(found["window_id"], found["starts"]):
+        for i, n, starts in zip(found["window_id"], found["size"], found["starts"]):
             starts = np.asarray(starts, np.int64)
             np.add.at(change, starts, 1)
-            np.add.at(change, starts + lengths[i], -1)
+            np.add.at(change, starts + n, -1)
             for d in np.unique(np.searchsorted(bases, starts, "right") - 1):
                 inside[d].add(i)
         hit = np.append(0, np.cumsum(np.cumsum(change)[:-1] > 0))
