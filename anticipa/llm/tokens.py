@@ -12,9 +12,9 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-CACHED_WORDS = 300_000
+CACHED_WORDS = 250_000
 ROWS_AT_ONCE = 1000  # texts of a batch that are Python strings at a time
-_CHARS_AT_ONCE = 1_500_000
+_CHARS_AT_ONCE = 3_500_000
 _SIMPLE = "\u0130"  # letters before this one are single code points in normal form with one lower-case letter each
 
 
@@ -22,8 +22,9 @@ class WordCache:
     """Encodes texts word by word, each new word once.
 
     The tokenizer's pre-tokens never cross white space, so the ids of a text are those of its parts between spaces and
-    line breaks; letters and the punctuation after them are separate pre-tokens too. Ids are kept as little-endian
-    bytes of `dtype`. The cache is emptied when it holds over `limit` parts.
+    line breaks; letters and the punctuation after them are separate pre-tokens too, so only these parts are kept, in lower
+    case where the tokenizer drops it. Ids are kept as little-endian bytes of `dtype`. Once `limit` parts are in use
+    the cache starts anew and keeps those of the time before as `older`, from which parts still in use come back.
     """
 
     def __init__(self, path: str, limit: int = CACHED_WORDS):
@@ -41,9 +42,10 @@ class WordCache:
         self.whole = self.tokenizer.normalizer, self.tokenizer.pre_tokenizer
         self.limit = limit
         self.cache: dict[str, bytes] = {"": b""}
+        self.older: dict[str, bytes] = {}
 
     def _learn(self, words: list[str]) -> None:
-        """Put new words into the cache."""
+        """Put new parts into the cache."""
         letters, learnt, width = [w for w in words if w.isalpha()], {}, self.dtype.itemsize
         simple = [w for w in letters if w.isascii() or max(w) < _SIMPLE]
         other = [w for w in letters if max(w) >= _SIMPLE]
@@ -75,23 +77,24 @@ class WordCache:
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         if len(self.cache) > self.limit:
-            self.cache = {"": b""}
-        cache = self.cache
+            self.cache, self.older = {"": b""}, self.cache
         split = [t.replace("\n", " ").split(" ") for t in texts]
-        parts = []
-        for word in set().union(*split).difference(cache):
-            body = word.rstrip(punctuation)
-            if not body.isalpha():
-                parts.append((word, word, ""))
-            elif body.isascii() or max(body) < _SIMPLE:  # the tokenizer drops letter case itself
-                parts.append((word, body.lower(), word[len(body) :]))
-            else:
-                parts.append((word, body, word[len(body) :]))
-        wanted = {body for _, body, _ in parts} | {tail for _, _, tail in parts}
-        self._learn(list(wanted.difference(cache)))
-        for word, body, tail in parts:
-            cache[word] = cache[body] + cache[tail] if tail else cache[body]
-        return [b"".join([cache[w] for w in words]) for words in split]
+        words = list(set().union(*split))
+        bodies = [w.rstrip(punctuation) for w in words]
+        for k, body in enumerate(bodies):
+            if body.isascii():
+                bodies[k] = body.lower() if body.isalpha() else words[k]
+            elif not body.isalpha():
+                bodies[k] = words[k]
+            elif max(body) < _SIMPLE:  # the tokenizer drops letter case itself
+                bodies[k] = body.lower()
+        tails = [w[len(b) :] for w, b in zip(words, bodies)]
+        cache, older = self.cache, self.older
+        new = set(bodies).union(tails).difference(cache)
+        cache.update((part, older[part]) for part in new.intersection(older))
+        self._learn(list(new.difference(older)))
+        ids = {word: cache[body] + cache[tail] if tail else cache[body] for word, body, tail in zip(words, bodies, tails)}
+        return [b"".join([ids[w] for w in words]) for words in split]
 
 
 @lru_cache(maxsize=2)
