@@ -370,3 +370,16 @@ def test_a_language_tree_does_not_depend_on_others():
         alone = languages.build(little, contexts).prepare().scores(texts)[:, 0]
         both = languages.build(pd.concat([little, much]), contexts).prepare().scores(texts)
         assert np.allclose(both[:, 0], alone) and np.allclose(both[:, 1], languages.build(much, contexts).prepare().scores(texts)[:, 0])
+
+
+def test_postings_are_intersected_by_alternative(spark):
+    """A document is a candidate of a rule if the postings of all trigrams of one alternative hold it, whatever rows they come from."""
+    rows = [(1, "abcd"), (2, "abc"), (3, "xbcdx"), (4, "ABC bcd"), (None, "abcd"), (5, "xyz"), (5, None), (6, ""), (7, "abc"), (7, "bcd"), (7, "abc")]
+    queries = {"first": [{"abc", "bcd"}, {"xyz"}], "second": [{"bcd"}], "never": [{"qqq", "abc"}]}
+    index = secrets.trigram_index(spark.createDataFrame(rows, "doc_id long, text string"), ["abc", "bcd", "qqq", "xyz"])
+    got = {r["doc_id"]: sorted(r["kinds"]) for r in secrets.candidates(index, queries).collect()}
+    held: dict = {}
+    for i, text in rows:
+        held.setdefault(i, set()).update(t for t in ("abc", "bcd", "qqq", "xyz") if t in (text or "").lower())
+    want = {i: sorted(k for k, q in queries.items() if any(n <= h for n in q)) for i, h in held.items()}
+    assert got == {i: kinds for i, kinds in want.items() if kinds}
