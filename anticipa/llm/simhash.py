@@ -16,8 +16,9 @@ from anticipa.session import written
 SHINGLE_WORDS, RADIUS, SEED, TILE_ROWS = 4, 4, 42, 4096
 _SHINGLES_AT_ONCE = 50_000
 _ROWS_AT_ONCE = 64
+BROADCAST_WORDS = 1_000_000
 # Column names of our own, which no table of a user has.
-_ROW, _BITS = "anticipa simhash row", "anticipa simhash bits"
+_ROW, _BITS, _WORD, _KEPT = (f"anticipa simhash {name}" for name in ("row", "bits", "word", "kept"))
 
 
 def text_fingerprint(text: str | None, shingle: int = SHINGLE_WORDS) -> int:
@@ -191,16 +192,30 @@ def one_of_each_group(docs: DataFrame, **options) -> DataFrame:
 
     Of several rows under that doc_id the one with the smallest fingerprint (as a signed long) and then the smallest
     text digest stays, and of rows that are equal in all three any one. Only ids, fingerprints and digests are shuffled to
-    find it; texts are read once for their fingerprint and once to be kept, and move no further.
+    find it; texts are read once for their fingerprint and once to be kept, and move no further (see `_kept_rows`).
     """
     digest = F.md5(F.coalesce("text", F.lit("")).cast("binary"))
     marked = written(
         docs.withColumns({_ROW: F.monotonically_increasing_id(), _BITS: fingerprint(F.col("text"), options.get("shingle", SHINGLE_WORDS))}),
         "marked",
+        compression="zstd",
     )
     rows = marked.select("doc_id", F.col(_BITS).alias("fingerprint"), digest.alias("digest"), F.col(_ROW).alias("row"))
     groups = groups_of(rows, options.get("radius", RADIUS), options.get("tile_rows", TILE_ROWS))
     mine = rows.join(groups, "fingerprint").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     first = mine.groupBy("group_key").agg(F.min(F.struct("fingerprint", "digest", "row")).alias("least"))
-    first = written(first.select(F.col("least.row").alias(_ROW)), "first")
-    return marked.join(first, _ROW, "left_semi").select(*columns_of(docs))
+    return _kept_rows(marked, first.select(F.col("least.row").alias("row"))).select(*columns_of(docs))
+
+
+def _kept_rows(marked: DataFrame, kept: DataFrame, most: int = BROADCAST_WORDS) -> DataFrame:
+    """The rows of `marked` whose number is in `kept` (row).
+
+    The numbers are sent to the tasks as words of 64 bits, one bit a row, so that `marked` is not shuffled. Beyond `most`
+    words, counted first, Spark joins the two as it sees fit.
+    """
+    bit = F.expr("shiftleft(1L, CAST(row % 64 AS INT))")
+    words = kept.groupBy(F.shiftright("row", 6).alias(_WORD)).agg(F.bit_or(bit).alias(_KEPT))
+    words = written(words, "kept")
+    few = words.count() <= most
+    found = marked.join(F.broadcast(words) if few else words, F.shiftright(_ROW, 6) == F.col(_WORD))
+    return found.where(F.getbit(F.col(_KEPT), (F.col(_ROW) % 64).cast("int")) == 1)

@@ -136,6 +136,23 @@ def test_one_of_each_group_is_one_row_of_the_smallest_id(spark):
     assert kept == {least, (None, "other words here now", "d"), (8, "", "f")}
 
 
+def test_kept_rows_move_no_texts(spark):
+    numbers = [0, 1, 63, 64, 130, (3 << 33) + 62, (3 << 33) + 63, (7 << 33) + 5]
+    marked = spark.createDataFrame([(n, f"text {n}") for n in numbers], [simhash._ROW, "text"])
+    kept = spark.createDataFrame([(n,) for n in (0, 63, 64, (3 << 33) + 63)], "row long")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for most, moved in ((100, False), (1, True)):
+            got = simhash._kept_rows(marked, kept, most)
+            assert {r["text"] for r in got.collect()} == {f"text {n}" for n in (0, 63, 64, (3 << 33) + 63)}
+            assert ("hashpartitioning" in got._jdf.queryExecution().toString()) == moved
+        docs = spark.createDataFrame([(i, f"{WORDS} {'x y z ' * i}") for i in range(6)], "doc_id long, text string")
+        assert "hashpartitioning" not in simhash.one_of_each_group(docs)._jdf.queryExecution().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
 def test_top_k_with_ties_nulls_and_bad_components(spark):
     nan = float("nan")
     vectors = [(0, [0.5, 0.5]), (3, [0.5, 0.5]), (2, [0.5, 0.5]), (4, None), (5, [nan, 1.0]), (6, [None, 1.0]), (7, [-1.0, 0.0]), (None, [9.0, 9.0])]
