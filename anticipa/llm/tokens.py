@@ -9,13 +9,16 @@ from string import punctuation
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-CACHED_WORDS = 250_000
-ROWS_AT_ONCE = 1000  # texts of a batch that are Python strings at a time
-_CHARS_AT_ONCE = 3_500_000
+CACHED_WORDS = 200_000
+ROWS_AT_ONCE = 2000  # texts that go into a batch of ids
+_BYTES_AT_ONCE = 6_000_000  # of texts whose words are looked up together, each distinct one once
 _SIMPLE = "\u0130"  # letters before this one are single code points in normal form with one lower-case letter each
+_LETTERS = "".join(filter(str.isalpha, map(chr, range(ord(_SIMPLE)))))
+_SIMPLE_LETTERS = "A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f"  # the same as ranges
 
 
 class WordCache:
@@ -53,7 +56,7 @@ class WordCache:
             self.tokenizer.normalizer, self.tokenizer.pre_tokenizer = steps
             for k in range(0, len(plain), 256):  # one pre-token each, so whole runs can be encoded at once
                 part = plain[k : k + 256]
-                ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids)
+                ids = np.array(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids)
                 stops = np.flatnonzero(self.ends[ids]) + 1
                 if len(stops) == len(part) and stops[-1] == len(ids):
                     raw, stops = ids.astype(self.dtype).tobytes(), (stops * width).tolist()
@@ -63,38 +66,53 @@ class WordCache:
             learnt[word] = np.array(found.ids, self.dtype).tobytes()
         self.cache.update(learnt)
 
+    def _ids(self, parts: pa.Array) -> pa.Array:
+        """The ids of each part, looked up once for each distinct one."""
+        coded, cache, older = parts.dictionary_encode(), self.cache, self.older
+        known = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        new = [p for p in known if p not in cache]
+        cache.update((p, older[p]) for p in new if p in older)
+        self._learn([p for p in new if p not in older])
+        return pa.array([cache[p] for p in known], pa.large_binary()).take(coded.indices)
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as bytes."""
-        out: list[bytes] = []
-        batch, room = [], _CHARS_AT_ONCE
-        for text in texts:
-            batch.append(text)
-            room -= len(text)
-            if room < 0:
-                out += self._encode(batch)
-                batch, room = [], _CHARS_AT_ONCE
-        return out + self._encode(batch)
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
+        return self.encode_array(pa.array(texts, pa.string())).to_pylist()
+
+    def encode_array(self, texts: pa.Array, end: bytes = b"") -> pa.Array:
+        """`encode` from strings to binaries, each with `end` after its ids. No text becomes a Python object, only new words."""
+        sizes = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64)
+        parts, start = [], 0
+        while start < len(texts):
+            before = int(sizes[start - 1]) if start else 0
+            stop = max(start + 1, int(np.searchsorted(sizes, before + _BYTES_AT_ONCE, "right")))
+            ids = self._encode(texts.slice(start, stop - start))
+            parts.append(pc.binary_join_element_wise(ids, *(pa.scalar(x, pa.binary()) for x in (end, b""))) if end else ids)
+            start = stop
+            pa.default_memory_pool().release_unused()
+        return pa.concat_arrays(parts) if parts else pa.array([], pa.binary())
+
+    def _encode(self, texts: pa.Array) -> pa.Array:
         if len(self.cache) > self.limit:
             self.cache, self.older = {"": b""}, self.cache
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        words = list(set().union(*split))
-        bodies = [w.rstrip(punctuation) for w in words]
-        for k, body in enumerate(bodies):
-            if body.isascii():
-                bodies[k] = body.lower() if body.isalpha() else words[k]
-            elif not body.isalpha():
-                bodies[k] = words[k]
-            elif max(body) < _SIMPLE:  # the tokenizer drops letter case itself
-                bodies[k] = body.lower()
-        tails = [w[len(b) :] for w, b in zip(words, bodies)]
-        cache, older = self.cache, self.older
-        new = set(bodies).union(tails).difference(cache)
-        cache.update((part, older[part]) for part in new.intersection(older))
-        self._learn(list(new.difference(older)))
-        ids = {word: cache[body] + cache[tail] if tail else cache[body] for word, body, tail in zip(words, bodies, tails)}
-        return [b"".join([ids[w] for w in words]) for words in split]
+        split = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        coded = split.flatten().dictionary_encode()
+        words = coded.dictionary
+        stripped = pc.utf8_rtrim(words, characters=punctuation)
+        simple = pc.match_substring_regex(stripped, f"^[{_SIMPLE_LETTERS}]+$")
+        others = words.filter(pc.invert(simple)).to_pylist()
+        # The tokenizer drops letter case itself. Words that are no letters before their last punctuation stay whole.
+        bodies = [b if (b := w.rstrip(punctuation)).isalpha() else w for w in others]
+        tails = [w[len(b) :] for w, b in zip(others, bodies)]
+        body = pa.concat_arrays([pc.utf8_lower(stripped.filter(simple)), pa.array(bodies, pa.string())])
+        tail = pa.concat_arrays([pc.utf8_ltrim(words.filter(simple), characters=_LETTERS), pa.array(tails, pa.string())])
+        ids = pc.binary_join_element_wise(self._ids(body), self._ids(tail), pa.scalar(b"", pa.large_binary()))
+        chosen = simple.to_numpy(zero_copy_only=False)
+        place = np.where(chosen, np.cumsum(chosen), len(chosen) - len(others) + np.cumsum(~chosen)) - 1
+        laid = ids.take(pa.array(place[coded.indices.to_numpy()]))
+        ends = np.frombuffer(laid.buffers()[1], np.int64, len(laid) + 1)[split.offsets.to_numpy()]
+        whole = [None, pa.py_buffer(ends.tobytes()), laid.buffers()[2]]
+        return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(texts), whole).cast(pa.binary())
 
 
 @lru_cache(maxsize=2)
@@ -113,11 +131,7 @@ def id_bytes(text: Column, path: str, end_id: int | None = None) -> Column:
         words = worker_cache(path)
         end = b"" if end_id is None else np.array([end_id], words.dtype).tobytes()
         for texts in batches:
-            parts = [
-                pa.array([ids + end for ids in words.encode(texts.slice(a, ROWS_AT_ONCE).to_pylist())], pa.binary())
-                for a in range(0, len(texts), ROWS_AT_ONCE)
-            ]
-            yield pa.concat_arrays(parts) if parts else pa.array([], pa.binary())
+            yield words.encode_array(texts, end)
 
     return encode(F.coalesce(text, F.lit("")))
 

@@ -4,11 +4,13 @@ import hashlib
 import math
 import operator
 import re
+import tracemalloc
 import zlib
 from fractions import Fraction
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import public_tokenizers
 import pytest
 import xxhash
@@ -252,6 +254,33 @@ def test_id_width_is_that_of_the_tokenizer():
     assert tokens.id_width(PATH) == tokens.WordCache(PATH).dtype.itemsize
 
 
+def test_ids_of_odd_words_are_those_of_the_tokenizer():
+    texts = [
+        "", " ", "\n\n", "The dog, THE Dog. the dog!!", "don't WE'LL x's 's", "x--y!! ?? !hello ,", "ª º µ ÀÉÎ Öß, ẞ ÷ ×", "e\u0301 E\u0301", "İstanbul ŞIK ǅ ſ \u212a",
+        "Σας ΣΑΣ.", "日本語 テキスト。", "123 4.5 a1 1a!", "\t tab\u00a0nbsp \u2003em\r\nx\u200by", "a" * 1000 + " " + "Ab" * 300 + "...", "😀 😀! x😀", "\x00 a\x00b", "the dog",
+    ]
+    own = Tokenizer.from_file(PATH)
+    want = [own.encode(t, add_special_tokens=False).ids for t in texts]
+    for limit in (2, 10_000):
+        cache = tokens.WordCache(PATH, limit)
+        for _ in range(3):
+            assert [np.frombuffer(x, "<u2").tolist() for x in cache.encode(texts)] == want
+        assert [np.frombuffer(cache.encode([t])[0], "<u2").tolist() for t in texts] == want
+        some = cache.encode_array(pa.array(texts).slice(3, 5), b"\2\0").to_pylist()
+        assert [np.frombuffer(x, "<u2").tolist() for x in some] == [x + [2] for x in want[3:8]]
+
+
+def test_words_of_a_text_take_little_memory():
+    cache, text = tokens.WordCache(PATH), "the Dog, a Cat " * 400_000
+    cache.encode([text[:100]])
+    tracemalloc.start()
+    try:
+        ids = cache.encode([text])[0]
+        assert tracemalloc.get_traced_memory()[1] < 10 * len(text) and len(ids) == 10 * 400_000
+    finally:
+        tracemalloc.stop()
+
+
 def test_stages_keep_clashing_columns(spark, tmp_path):
     names = ["_language", "_hit", "_spans", "_own_bits", "_candidate_id", "_candidate_kinds", "_first_id", "language", "recognised"]
     rows = [(i, f"{WORDS} number {i} of the many " + ("x y z " * i), "en", "s", 9, *names) for i in range(4)] + [(9, None, None, None, None, *names)]
