@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -68,12 +69,12 @@ def _numbered(docs: DataFrame, path: str, end_id: int, tokens: int) -> DataFrame
         for batch in batches:
             for a in range(0, batch.num_rows, ROWS_AT_ONCE):
                 some = batch.slice(a, ROWS_AT_ONCE)
-                ids = [x + end for x in words.encode(some["text"].to_pylist())]
-                n = np.array([len(x) // words.dtype.itemsize for x in ids], np.int64)
+                ids = words.encode_array(some["text"], end)
+                n = pc.binary_length(ids).to_numpy(zero_copy_only=False).astype(np.int64) // words.dtype.itemsize
                 ends = before + np.cumsum(-(-n // tokens))
                 starts = np.append(before, ends[:-1])
-                columns = [np.full(len(n), part, np.int64), starts, some["doc_id"], n, pa.array(ids, pa.binary())]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
+                columns = [np.full(len(n), part, np.int64), starts, some["doc_id"], n, ids]
+                yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], names)
                 before = int(ends[-1])
 
     given = docs.select(F.col("doc_id").cast("string"), F.coalesce("text", F.lit("")).alias("text"))
