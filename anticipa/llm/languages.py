@@ -74,20 +74,27 @@ def sampled(labelled: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
     return known.join(F.broadcast(limit), "lang").where(share <= F.col("most")).select("lang", "text").distinct()
 
 
-def train(labelled: DataFrame, rows: int = SAMPLE_ROWS, contexts: int = MOST_CONTEXTS) -> Model | None:
+def train(
+    labelled: DataFrame, rows: int = SAMPLE_ROWS, contexts: int = MOST_CONTEXTS, once_a_text: bool = False
+) -> Model | None:
     """A model of the languages of `labelled` (text, lang); None without labelled rows.
 
     It learns from a bounded sample, at most `rows` distinct texts a language. Contexts are kept by how often they
     occur in their language, `contexts` of them a language at most and none under `LEAST_COUNT` times, so the model's
-    size is bounded too, and no language's tree depends on the others.
+    size is bounded too, and no language's tree depends on the others. With `once_a_text` a string counts once in each text,
+    so that a long text that repeats itself does not make all others of its language look like noise.
     """
 
+    def strings(data: bytes) -> np.ndarray:
+        piece = np.frombuffer(data, np.uint8).astype(np.int64)
+        return piece[:-3] << 24 | piece[1:-2] << 16 | piece[2:-1] << 8 | piece[3:]
+
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for lang, texts in batch.groupby("lang")["text"]:
-                data = b"".join(b"\0" * ORDER + t.encode("utf-8", "surrogatepass") for t in texts)
-                piece = np.frombuffer(data, np.uint8).astype(np.int64)
-                grams, n = np.unique(piece[:-3] << 24 | piece[1:-2] << 16 | piece[2:-1] << 8 | piece[3:], return_counts=True)
+                data = [b"\0" * ORDER + t.encode("utf-8", "surrogatepass") for t in texts]
+                found = np.concatenate([np.unique(strings(d)) for d in data]) if once_a_text else strings(b"".join(data))
+                grams, n = np.unique(found, return_counts=True)
                 yield pd.DataFrame({"lang": lang, "gram": grams, "n": n})
 
     counted = sampled(labelled, rows).mapInPandas(count, "lang string, gram long, n long")
