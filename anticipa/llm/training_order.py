@@ -13,10 +13,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from anticipa.llm.tokens import ROWS_AT_ONCE, id_width, worker_cache
-from anticipa.session import written
+from anticipa.session import shuffles_removed, written
 
 SEQUENCE_TOKENS, SHARD_SLOTS = 512, 16384
 ROUNDS = 6
+PASSES = 2  # over the encoded table, each for its part of the shards
 _HEAD = "<QqQII"  # slot, doc_id, start, tokens, 1 if doc_id is null
 _END = "\r\n\r\n"
 
@@ -45,13 +46,22 @@ def permuted(index: np.ndarray, size: int, key: int) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def slot(index: Column, size: int, key: int) -> Column:
-    @F.pandas_udf("long")
-    def of(values: pd.Series) -> pd.Series:
+def places(first: Column, count: Column, size: int, key: int, slots: range) -> Column:
+    """Array column: k and slot of each sequence first + k, k in 0..count-1, whose slot is in `slots`."""
+
+    @F.arrow_udf("array<struct<k: long, slot: long>>")
+    def of(first: pa.Array, count: pa.Array) -> pa.Array:
         worker_cache.cache_clear()  # of a stage before this one in the same worker: sorting needs the room
-        return pd.Series(permuted(values.to_numpy(), size, key))
+        n = count.to_numpy()
+        ends = np.cumsum(n)
+        k = np.arange(n.sum()) - np.repeat(ends - n, n)
+        slot = permuted(np.repeat(first.to_numpy(), n) + k, size, key)
+        here = (slot >= slots.start) & (slot < slots.stop)
+        offsets = np.append(0, np.cumsum(here))[np.append(0, ends)]
+        found = pa.StructArray.from_arrays([pa.array(k[here]), pa.array(slot[here])], ["k", "slot"])
+        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), found)
 
-    return of(index)
+    return of.asNondeterministic()(first, count)  # only so that no filter made of it has them computed twice
 
 
 def record_bytes(width: int, tokens: int = SEQUENCE_TOKENS) -> int:
@@ -84,15 +94,16 @@ def _numbered(docs: DataFrame, path: str, end_id: int, tokens: int) -> DataFrame
 
 def write_in_order(
     docs: DataFrame, folder: str, path: str, key: int, end_id: int = 2,
-    tokens: int = SEQUENCE_TOKENS, shard_slots: int = SHARD_SLOTS,
+    tokens: int = SEQUENCE_TOKENS, shard_slots: int = SHARD_SLOTS, passes: int = PASSES,
 ) -> int:
     """Write every sequence of `docs` (doc_id, text) to its slot under `folder`; the number of sequences.
 
     A document's ids (null and empty texts: the end id alone) are cut into sequences of `tokens`, the last one filled
     with zeros. Sequences are numbered, and a keyed permutation of 0..n-1 gives each its slot. Shard k, the one file in
     `shard=k`, holds slots k * shard_slots onwards in order, each in `record_bytes`: head, ids, end mark. Spark's own
-    writer commits the files, so a lost task is written anew. Repeated rows are sequences of their own. No
-    documents: no shard.
+    writer commits the files, so a lost task is written anew. The shards are written in `passes` runs of them, one after
+    the other, so that the shuffle of only one run is on disk at a time; `_SUCCESS` comes with the last. Repeated rows are
+    sequences of their own. No documents: no shard.
     """
     width = id_width(path)
     table = _numbered(docs, path, end_id, tokens)
@@ -100,17 +111,7 @@ def write_in_order(
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row per task that wrote the table
     parts = parts.select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"), "n")
     size = parts.agg(F.max(F.col("base") + F.col("n"))).first()[0] or 0
-    cut = (
-        table.join(F.broadcast(parts), "part")  # a row per task that wrote the table
-        .withColumn("k", F.explode(F.expr(f"sequence(0L, (doc_tokens - 1) DIV {tokens})")))
-        .select(
-            "doc_id", (F.col("k") * tokens).alias("start"),
-            (F.col("base") + F.col("before") + F.col("k")).alias("index"),
-            F.least(F.lit(tokens).cast("long"), F.col("doc_tokens") - F.col("k") * tokens).alias("n"),
-            F.expr(f"substring(ids, CAST(k * {tokens * width} + 1 AS INT), {tokens * width})").alias("ids"),
-        )
-        .withColumn("slot", slot(F.col("index"), max(1, size), key))
-    )
+    placed = table.join(F.broadcast(parts), "part")  # a row per task that wrote the table
 
     def record(slots: pd.Series, ids: pd.Series, starts: pd.Series, n: pd.Series, tokens_of: pd.Series) -> pd.Series:
         known = ids.notna()
@@ -124,15 +125,28 @@ def write_in_order(
 
     packed = F.pandas_udf(record, "binary")("slot", "doc_id", "start", "n", "ids")
     shards = max(1, -(-size // shard_slots))
-    (
-        cut.withColumn("shard", F.expr(f"slot DIV {shard_slots}"))
-        .repartitionById(shards, F.col("shard").cast("int"))  # ranges of slots: one task and one file a shard
-        .sortWithinPartitions("slot")
-        .select("shard", packed.cast("string").alias("value"))
-        .write.partitionBy("shard")
-        .option("lineSep", _END)
-        .text(folder)
-    )
+    each = -(-shards // passes)
+    with shuffles_removed(docs.sparkSession):
+        for first in range(0, shards, each):
+            n = min(each, shards - first)
+            slots = range(first * shard_slots, (first + n) * shard_slots)
+            here = places(F.col("base") + F.col("before"), F.ceil(F.col("doc_tokens") / tokens), max(1, size), key, slots)
+            (
+                placed.withColumn("place", F.explode(here))  # of whole documents: their ids are not repeated before they are cut
+                .select(
+                    "place.slot", "doc_id", (F.col("place.k") * tokens).alias("start"),
+                    F.least(F.lit(tokens).cast("long"), F.expr(f"doc_tokens - place.k * {tokens}")).alias("n"),
+                    F.expr(f"substring(ids, CAST(place.k * {tokens * width} + 1 AS INT), {tokens * width})").alias("ids"),
+                    F.expr(f"place.slot DIV {shard_slots}").alias("shard"),
+                )
+                .repartitionById(n, (F.col("shard") - first).cast("int"))  # ranges of slots: one task and one file a shard
+                .sortWithinPartitions("slot")
+                .select("shard", packed.cast("string").alias("value"))
+                .write.mode("append" if first else "error").partitionBy("shard")
+                .option("lineSep", _END)
+                .option("mapreduce.fileoutputcommitter.marksuccessfuljobs", first + n == shards)
+                .text(folder)
+            )
     return size
 
 

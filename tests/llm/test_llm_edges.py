@@ -4,9 +4,11 @@ import hashlib
 import math
 import operator
 import re
+import time
 import tracemalloc
 import zlib
 from fractions import Fraction
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -14,6 +16,7 @@ import pyarrow as pa
 import public_tokenizers
 import pytest
 import xxhash
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -67,6 +70,36 @@ def test_records_read_back(spark, docs, tmp_path):
     assert ids.tolist() == Tokenizer.from_file(PATH).encode(ROWS[6][1], add_special_tokens=False).ids + [2]
 
 
+def shuffle_files(spark):
+    folders = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return {f for d in folders for f in Path(d).glob("*/shuffle_*.data")}
+
+
+def test_shards_are_written_pass_by_pass_and_their_shuffles_go(spark, docs, tmp_path, monkeypatch):
+    shards, marked = [], []
+
+    def text(writer, folder, put=DataFrameWriter.text):
+        before, ends = shuffle_files(spark), time.monotonic() + 10
+        put(writer, folder)
+        while (left := shuffle_files(spark) - before) and time.monotonic() < ends:
+            time.sleep(0.1)  # they are removed in the background
+        assert not left
+        shards.append(sorted(int(p.name[6:]) for p in Path(folder).glob("shard=*")))
+        marked.append(Path(folder, "_SUCCESS").exists())
+
+    monkeypatch.setattr(DataFrameWriter, "text", text)
+    got = []
+    for passes, reached in ((1, [7]), (2, [4, 7]), (3, [3, 6, 7]), (9, [1, 2, 3, 4, 5, 6, 7])):
+        shards.clear(), marked.clear()
+        out = f"{tmp_path}/{passes}"
+        size = training_order.write_in_order(docs, out, PATH, key=3, tokens=64, shard_slots=100, passes=passes)
+        assert shards == [list(range(n)) for n in reached] and marked == [False] * (len(reached) - 1) + [True]
+        assert all(len(list(p.glob("part-*"))) == 1 for p in Path(out).glob("shard=*"))
+        got.append(sorted(training_order.read_in_order(spark, out, 2, tokens=64).collect(), key=lambda r: r["slot"]))
+    assert [r["slot"] for r in got[0]] == list(range(size)) and all(rows == got[0] for rows in got)
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
 @pytest.mark.parametrize("size", [1, 2, 5, 1000, 4097])
 def test_permutation_is_one_to_one(size):
     assert sorted(training_order.permuted(np.arange(size), size, 9)) == list(range(size))
